@@ -1,0 +1,6 @@
+"""No streaming operators.
+
+The settlement job closes a calendar period and runs once per month or
+quarter over the whole event history; it keeps no state between runs and has
+no late-data rule, so it is a batch job (see plans/job.py).
+"""
