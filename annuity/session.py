@@ -7,11 +7,16 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "annuity") -> SparkSession:
+def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "annuity",
+                  **conf: str) -> SparkSession:
+    builder = SparkSession.builder
+    for key, value in conf.items():
+        builder = builder.config(key, value)
     spark = (
-        SparkSession.builder.master(f"local[{cores}]")
+        builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.host", "127.0.0.1")
         .config("spark.driver.bindAddress", "127.0.0.1")
         .config("spark.driver.memory", "8g")
