@@ -161,13 +161,12 @@ def _bad_length(lines: Column) -> Column:
 
 def _checked(df: DataFrame, required: list[str], lines: Column) -> DataFrame:
     """Add ``_lines`` (array) and ``_reason`` (null when the row is accepted)."""
-    df = df.withColumn("_missing", _missing(required))
-    df = df.withColumn("_lines", F.when(F.col("_missing").isNull(), lines))
+    missing = _missing(required)
+    df = df.withColumn("_lines", F.when(missing.isNull(), lines))
     bad = _bad_length(F.col("_lines"))
     return df.withColumn(
         "_reason",
-        F.coalesce(F.col("_missing"), F.when(bad.isNotNull(), F.concat(_lit("length "), bad.cast("string")))),
-    ).drop("_missing")
+        F.coalesce(missing, F.when(bad.isNotNull(), F.concat(_lit("length "), bad.cast("string")))))
 
 
 def renewal_rows(split: DataFrame, cfg: RunConfig) -> DataFrame:

@@ -35,21 +35,17 @@ def renewal_due_dates(df: DataFrame) -> DataFrame:
     due = F.when((grant >= F.add_months(due, -GRACE_MONTHS)) & (grant <= due),
                  F.add_months(grant, GRACE_MONTHS)).otherwise(due)
     groups = (df.where(F.col("date_filed").isNotNull())
-              .groupBy("application_num", "date_filed")
+              .groupBy(F.col("application_num").alias("_app"), F.col("date_filed").alias("_filed"))
               .agg(F.count(F.lit(1)).alias("_n"))
-              .where(F.col("_n") > 1)
-              .select(F.col("application_num").alias("_app"), F.col("date_filed").alias("_filed"),
-                      F.lit(True).alias("_multiple")))
+              .where(F.col("_n") > 1))
     joined = df.join(
         groups,
         F.col("application_num").eqNullSafe(F.col("_app")) & (F.col("date_filed") == F.col("_filed")),
         "left")
-    return (joined
-            .withColumn("renewal_due_date", due)
-            .withColumn("renewal_due_date",
-                        F.when(F.col("_multiple"), F.add_months("renewal_due_date", 12))
-                        .otherwise(F.col("renewal_due_date")))
-            .drop("_app", "_filed", "_multiple", "next_renewal_date"))
+    keep = [c for c in df.columns if c not in ("renewal_due_date", "next_renewal_date")]
+    return joined.select(
+        *keep,
+        F.when(F.col("_n").isNotNull(), F.add_months(due, 12)).otherwise(due).alias("renewal_due_date"))
 
 
 def multiple_payment_groups(df: DataFrame) -> DataFrame:
@@ -78,62 +74,47 @@ def lor_endorsement(renewals_due: DataFrame, lor: DataFrame) -> DataFrame:
     entry is on or before it and there is no cancellation on or before it.
     """
     cmp = F.least(F.col("renewal_due_date"), F.col("date_processed"))
-    endorsed = (F.col("A") <= F.col("renewal_comparison_date")) & (
-        (F.col("renewal_comparison_date") < F.col("D")) | F.col("D").isNull())
-    return (renewals_due.join(lor_pivot(lor), "application_num", "left")
-            .withColumn("renewal_comparison_date", cmp)
-            .withColumn("lor_endorsement", F.when(endorsed, F.lit("YES")).otherwise(F.lit("NO")))
-            .drop("A", "D"))
-
-
-def lor_with_years(lor: DataFrame, renewals: DataFrame) -> DataFrame:
-    """Licence-of-right rows with their renewal year, due date and first reduced year.
-
-    The renewal year is the ordinal year of the event; the matching renewal
-    payment is the first one processed for that (application, year), so the
-    join never multiplies licence rows.
-    """
-    lor = lor.withColumn(
-        "renewal_year", (F.year("date_processed") - (F.year("filing_date") - 1)).cast("int"))
-    lor = renewal_due_dates(lor)
-    paid = (renewals.groupBy("application_num", "renewal_year")
-            .agg(F.min("date_processed").alias("renewal_date_processed")))
-    lor = lor.join(paid, ["application_num", "renewal_year"], "left")
-    on_time = F.col("date_processed") <= F.col("renewal_comparison_date")
-    return (lor
-            .withColumn("renewal_comparison_date",
-                        F.least(F.col("renewal_due_date"), F.col("renewal_date_processed")))
-            .withColumn("first_reduced_year",
-                        F.when(on_time, F.col("renewal_year")).otherwise(F.col("renewal_year") + 1))
-            .withColumn("_on_time", on_time))
+    endorsed = (F.col("A") <= cmp) & ((cmp < F.col("D")) | F.col("D").isNull())
+    return renewals_due.join(lor_pivot(lor), "application_num", "left").select(
+        *renewals_due.columns,
+        cmp.alias("renewal_comparison_date"),
+        F.when(endorsed, F.lit("YES")).otherwise(F.lit("NO")).alias("lor_endorsement"))
 
 
 def lor_year_ranges(lor: DataFrame, renewals: DataFrame, keep_unmatched: bool = False) -> DataFrame:
     """First and last renewal years reduced by each licence-of-right event.
 
-    An entry reduces from its first year to year 20. A cancellation closes the
-    range opened by the application's earliest entry: it keeps that first year
-    and ends the year before its own year when processed on time, else at its
-    own year. Entries are aggregated to one first year per application before
-    the join, so no application pairs every entry with every cancellation.
-    Rows whose first year is missing (a cancellation with no entry) or beyond
-    20 are dropped unless ``keep_unmatched``.
+    Each event gets its ordinal year (year processed - filing year + 1) and
+    that year's due date (``renewal_due_dates``). The comparison date is the
+    earlier of the due date and the first renewal payment processed for that
+    (application, year); an event on or before it is "on time".
+
+    An entry (A) reduces from its year (the next year when late) to year 20.
+    A cancellation (D) closes the range opened by the application's earliest
+    entry: it keeps that first year and ends the year before its own year
+    when on time, else at its own year. Entries are aggregated to one first
+    year per application before the join, so no application pairs every
+    entry with every cancellation, and the payment lookup is one row per key,
+    so no event is multiplied. Rows whose first year is missing (a
+    cancellation with no entry) or beyond 20 are dropped unless
+    ``keep_unmatched``.
     """
-    staged = lor_with_years(lor, renewals)
-    additions = (staged.where(F.col("Addition_Deletion") == "A")
-                 .withColumn("last_reduced_year", F.lit(LAST_REDUCED_YEAR)))
-    opened = additions.groupBy("application_num").agg(
-        F.min("first_reduced_year").alias("_opened_year"))
-    deletions = (staged.where(F.col("Addition_Deletion") == "D")
-                 .join(opened, "application_num", "left")
-                 .withColumn("first_reduced_year", F.col("_opened_year"))
-                 .withColumn("last_reduced_year",
-                             F.when(F.col("_on_time"), F.col("renewal_year") - 1)
-                             .otherwise(F.col("renewal_year")))
-                 .drop("_opened_year"))
-    out = additions.unionByName(deletions).drop(
-        "renewal_year", "renewal_due_date", "renewal_date_processed", "renewal_comparison_date",
-        "_on_time")
+    year = F.col("renewal_year")
+    staged = renewal_due_dates(lor.withColumn(
+        "renewal_year", (F.year("date_processed") - (F.year("filing_date") - 1)).cast("int")))
+    paid = (renewals.groupBy("application_num", "renewal_year")
+            .agg(F.min("date_processed").alias("_paid")))
+    staged = staged.join(paid, ["application_num", "renewal_year"], "left").withColumn(
+        "_on_time", F.col("date_processed") <= F.least(F.col("renewal_due_date"), F.col("_paid")))
+    own_first = F.when(F.col("_on_time"), year).otherwise(year + 1)
+    entry = F.col("Addition_Deletion") == "A"
+    opened = (staged.where(entry).groupBy(F.col("application_num").alias("_app"))
+              .agg(F.min(own_first).alias("_opened")))
+    out = staged.join(opened, F.col("application_num") == F.col("_app"), "left").select(
+        *[c for c in lor.columns],
+        F.when(entry, own_first).otherwise(F.col("_opened")).alias("first_reduced_year"),
+        F.when(entry, F.lit(LAST_REDUCED_YEAR))
+        .otherwise(F.when(F.col("_on_time"), year - 1).otherwise(year)).alias("last_reduced_year"))
     return out if keep_unmatched else out.where(F.col("first_reduced_year") <= LAST_REDUCED_YEAR)
 
 
@@ -169,21 +150,22 @@ def fee_splits(renewals: DataFrame, fees: DataFrame, pct_split: int,
     total = round(share + fee3 + fee4 + interest3 + interest4, 2).
     ``fees`` is ``minimum_fee_table`` output (broadcast when small).
     """
-    out = renewals
     due_year = F.year("renewal_due_date")
+    out = renewals
     for y in SHARED_FEE_YEARS:
         lookup = fees.select(F.col("year_set").alias(f"_ys{y}"), F.col(f"fee{y}").alias(f"_min{y}"))
-        owed = (F.col("grant_date") <= F.add_months("filing_date", 12 * (y - 1))) & (
-            F.col("renewal_year") == SPLIT_RENEWAL_YEAR)
-        out = (out.join(lookup, (due_year - (5 - y)) == F.col(f"_ys{y}"), "left")
-               .withColumn(f"renewal_fee_year{y}",
-                           F.when(owed, F.col(f"_min{y}")).otherwise(F.lit(Decimal("0.00"))).cast(MONEY))
-               .drop(f"_ys{y}", f"_min{y}"))
-    share = F.lit(Decimal(pct_split).scaleb(-2))
+        out = out.join(lookup, (due_year - (5 - y)) == F.col(f"_ys{y}"), "left")
+    owed = {y: (F.col("grant_date") <= F.add_months("filing_date", 12 * (y - 1)))
+            & (F.col("renewal_year") == SPLIT_RENEWAL_YEAR) for y in SHARED_FEE_YEARS}
+    fee = {y: F.when(owed[y], F.col(f"_min{y}")).otherwise(F.lit(Decimal("0.00"))).cast(MONEY)
+           for y in SHARED_FEE_YEARS}
+    prescribed = F.col("renewal_fee").cast(MONEY)
+    share = F.round(prescribed * F.lit(Decimal(pct_split).scaleb(-2)), 2).cast(MONEY)
     interest = F.lit(Decimal(interest_year3) + Decimal(interest_year4))
-    return (out
-            .withColumn("renewal_fee", F.col("renewal_fee").cast(MONEY))
-            .withColumn("renewal_fee_epo", F.round(F.col("renewal_fee") * share, 2).cast(MONEY))
-            .withColumn("total_epo_amount",
-                        F.round(F.col("renewal_fee_epo") + F.col("renewal_fee_year3")
-                                + F.col("renewal_fee_year4") + interest, 2).cast(MONEY)))
+    keep = [c for c in renewals.columns if c != "renewal_fee"]
+    return out.select(
+        *keep,
+        prescribed.alias("renewal_fee"),
+        *[fee[y].alias(f"renewal_fee_year{y}") for y in SHARED_FEE_YEARS],
+        share.alias("renewal_fee_epo"),
+        F.round(share + fee[3] + fee[4] + interest, 2).cast(MONEY).alias("total_epo_amount"))
