@@ -183,3 +183,30 @@ def from_catalog(spark: SparkSession, minimum_fee_path: str) -> SourceTables:
             "RegisterIndicator": "register_indicator"}),
         minimum_fee=read_minimum_fees(spark, minimum_fee_path),
     ).validate()
+
+
+MINIMUM_FEE_CSV = "minimum_fee.csv"
+
+
+def from_storage(spark: SparkSession, root: str, fmt: str = "parquet") -> SourceTables:
+    """Canonical tables stored one folder per table under ``root``, fees as CSV.
+
+    ``{root}/{table}`` holds each table in ``fmt``; ``{root}/minimum_fee.csv``
+    is the minimum-fee file with a header row.
+    """
+    root = root.rstrip("/")
+    tables = {name: spark.read.format(fmt).load(f"{root}/{name}")
+              for name in CANONICAL if name != "minimum_fee"}
+    return SourceTables(**tables, minimum_fee=read_minimum_fees(spark, f"{root}/{MINIMUM_FEE_CSV}")).validate()
+
+
+def write_storage(src: SourceTables, root: str, fmt: str = "parquet") -> str:
+    """Store every table of ``src`` in the layout ``from_storage`` reads."""
+    root = root.rstrip("/")
+    for name in CANONICAL:
+        df = getattr(src, name).select(*CANONICAL[name])
+        if name == "minimum_fee":
+            df.write.mode("overwrite").option("header", True).csv(f"{root}/{MINIMUM_FEE_CSV}")
+        else:
+            df.write.mode("overwrite").format(fmt).save(f"{root}/{name}")
+    return root
