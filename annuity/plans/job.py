@@ -24,7 +24,7 @@ from annuity.config import RunConfig
 from annuity.operators import exchange
 from annuity.operators.reports import MONTHLY_REPORT_HEADINGS
 from annuity.plans.pipeline import Pipeline
-from annuity.schemas import EVENT_COLUMNS, HISTORY_COLUMNS, KIND_RENEWAL, KIND_RESTORATION
+from annuity.schemas import EVENT_COLUMNS, HISTORY_COLUMNS, KIND_LOR, KIND_RENEWAL, KIND_RESTORATION
 from annuity.sources import sinks
 from annuity.sources.tables import SourceTables
 
@@ -52,7 +52,10 @@ def run(spark: SparkSession, src: SourceTables, cfg: RunConfig) -> RunResult:
     result = RunResult()
     p = Pipeline(src, cfg)
 
-    # 1. History: all renewals, restorations and licence cancellations.
+    # 1. History: all renewals, restorations and licence cancellations. The
+    #    combined licence-of-right events are cached by this write and reused
+    #    by the endorsement and the reduced-year ranges.
+    p.lor = p.lor.persist(StorageLevel.MEMORY_AND_DISK)
     kind = F.col("type_identifier")
     obs_history = Observation("history")
     history = p.history.observe(
@@ -70,32 +73,50 @@ def run(spark: SparkSession, src: SourceTables, cfg: RunConfig) -> RunResult:
     stored = spark.read.table(cfg.history_table)
     p.renewals = stored.where(kind == KIND_RENEWAL).select(*HISTORY_COLUMNS)
     p.restorations = stored.where(kind == KIND_RESTORATION).select(*EVENT_COLUMNS, "source", "type_identifier")
-    p.lor = p.lor.persist(StorageLevel.MEMORY_AND_DISK)
 
-    split = p.renewals_split.persist(StorageLevel.MEMORY_AND_DISK)
+    obs_split = Observation("period")
+    any_null = F.greatest(*[F.col(c).isNull().cast("int") for c in exchange.RENEWAL_REQUIRED]) == 1
+    split = p.renewals_split.observe(
+        obs_split,
+        F.count(F.lit(1)).alias("renewals_in_period"),
+        _count_if(F.date_format("date_filed", "yyyy-MM") != F.date_format("date_processed", "yyyy-MM"))
+        .alias("cross_month_renewals"),
+        _count_if(any_null).alias("renewals_with_missing_fields"),
+    ).persist(StorageLevel.MEMORY_AND_DISK)
     p.renewals_split = split
 
     if not cfg.quarterly:
-        obs = Observation("monthly")
-        report = p.monthly_report.observe(obs, F.count(F.lit(1)).alias("renewals_in_period"))
         order = [MONTHLY_REPORT_HEADINGS["renewal_due_date"]]
         with _timed(result, "monthly_report"):
             result.outputs["monthly_report"] = sinks.write_single_csv(
-                report, sinks.report_path(cfg, sinks.MONTHLY_REPORT), order)
+                p.monthly_report, sinks.report_path(cfg, sinks.MONTHLY_REPORT), order)
         with _timed(result, "monthly_totals"):
             result.outputs["monthly_totals"] = sinks.write_single_csv(
                 p.totals_table, sinks.report_path(cfg, sinks.MONTHLY_TOTALS), [])
-        result.metrics.update(obs.get)
+        result.metrics.update(obs_split.get)
     else:
-        lor_period = p.lor_period.persist(StorageLevel.MEMORY_AND_DISK)
-        p.lor_period = lor_period
+        # Checked rows feed both the exchange file and the rejects table.
+        kept = []
+        for name in ["lapses", "lor_period", "renewal_rows", "lapse_rows", "restoration_rows", "lor_rows"]:
+            df = getattr(p, name).persist(StorageLevel.MEMORY_AND_DISK)
+            setattr(p, name, df)
+            kept.append(df)
+        obs_status = Observation("status")
+        status = p.status_report.observe(
+            obs_status,
+            _count_if(F.col("type") == KIND_RESTORATION).alias("restorations_in_period"),
+            _count_if(F.col("type") == KIND_LOR).alias("licences_of_right_in_period"),
+            _count_if(~F.col("type").isin(KIND_RESTORATION, KIND_LOR) | F.col("type").isNull())
+            .alias("lapses_in_period"))
         with _timed(result, "status_report"):
             result.outputs["status_report"] = sinks.write_single_csv(
-                p.status_report, sinks.report_path(cfg, sinks.QUARTERLY_REPORT), ["type", "filing_date"])
+                status, sinks.report_path(cfg, sinks.QUARTERLY_REPORT), ["type", "filing_date"])
+        result.metrics.update(obs_status.get)
         with _timed(result, "quarterly_totals"):
             result.outputs["quarterly_totals"] = sinks.write_single_csv(
                 p.monthly_totals, sinks.report_path(cfg, sinks.QUARTERLY_TOTALS), ["_total", "_month"],
                 ["Month", "Amount"])
+        result.metrics.update(obs_split.get)
         obs_lines = Observation("exchange")
         lines = p.exchange_lines.observe(
             obs_lines, F.count(F.lit(1)).alias("exchange_lines"),
@@ -109,7 +130,8 @@ def run(spark: SparkSession, src: SourceTables, cfg: RunConfig) -> RunResult:
             result.outputs["rejects"] = sinks.write_table(
                 rejects, f"{cfg.out_root.rstrip('/')}/rejects/{cfg.run_stamp}")
         result.metrics.update(obs_rejects.get)
-        lor_period.unpersist()
+        for df in kept:
+            df.unpersist()
     split.unpersist()
     p.lor.unpersist()
     return result

@@ -200,11 +200,17 @@ def from_storage(spark: SparkSession, root: str, fmt: str = "parquet") -> Source
     return SourceTables(**tables, minimum_fee=read_minimum_fees(spark, f"{root}/{MINIMUM_FEE_CSV}")).validate()
 
 
-def write_storage(src: SourceTables, root: str, fmt: str = "parquet") -> str:
-    """Store every table of ``src`` in the layout ``from_storage`` reads."""
+def write_storage(src: SourceTables, root: str, fmt: str = "parquet", files: int | None = None) -> str:
+    """Store every table of ``src`` in the layout ``from_storage`` reads.
+
+    ``files`` spreads each table over that many files (a lake table is rarely
+    one file); by default each task writes its own file.
+    """
     root = root.rstrip("/")
     for name in CANONICAL:
         df = getattr(src, name).select(*CANONICAL[name])
+        if files and name != "minimum_fee":
+            df = df.repartition(files)
         if name == "minimum_fee":
             df.write.mode("overwrite").option("header", True).csv(f"{root}/{MINIMUM_FEE_CSV}")
         else:
