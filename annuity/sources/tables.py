@@ -10,7 +10,7 @@ minimum-fee reference table. Column names are canonical (see ``CANONICAL``);
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,30 +48,39 @@ CANONICAL = {
 }
 
 
-@dataclass(frozen=True)
 class SourceTables:
-    standing: DataFrame
-    formslog: DataFrame
-    reghist: DataFrame
-    incident: DataFrame
-    servicerequest: DataFrame
-    right: DataFrame
-    register_right: DataFrame
-    fees: DataFrame
-    case: DataFrame
-    casecategory: DataFrame
-    terminationreason: DataFrame
-    licenceofright: DataFrame
-    registerevent: DataFrame
-    minimum_fee: DataFrame
+    """The canonical source tables; each may be given as a DataFrame or a zero-argument factory.
+
+    Factories are called on first access, so a plan that reads two tables
+    never builds the other twelve.
+    """
+
+    def __init__(self, **tables: DataFrame | Callable[[], DataFrame]):
+        unknown = set(tables) - set(CANONICAL)
+        missing = set(CANONICAL) - set(tables)
+        if unknown or missing:
+            raise ValueError(f"source tables: unknown {sorted(unknown)}, missing {sorted(missing)}")
+        self._tables = dict(tables)
+
+    def __getattr__(self, name: str) -> DataFrame:
+        tables = self.__dict__.get("_tables", {})
+        if name not in tables:
+            raise AttributeError(name)
+        value = tables[name]
+        if not isinstance(value, DataFrame):
+            value = tables[name] = value()
+        return value
+
+    def __repr__(self) -> str:
+        return f"SourceTables({', '.join(CANONICAL)})"
 
     def validate(self) -> "SourceTables":
         """Fail fast when a table lacks a canonical column."""
-        for f in fields(self):
-            have = set(getattr(self, f.name).columns)
-            missing = [c for c in CANONICAL[f.name] if c not in have]
+        for name, cols in CANONICAL.items():
+            have = set(getattr(self, name).columns)
+            missing = [c for c in cols if c not in have]
             if missing:
-                raise ValueError(f"source table {f.name} lacks columns {missing}")
+                raise ValueError(f"source table {name} lacks columns {missing}")
         return self
 
 

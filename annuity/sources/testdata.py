@@ -204,29 +204,45 @@ def minimum_fee(orders: DataFrame) -> DataFrame:
 
 
 def fixture_tables(spark: SparkSession, sf_dir: str) -> SourceTables:
-    orders = _read(spark, sf_dir, "orders")
-    lineitem = _read(spark, sf_dir, "lineitem")
-    region = _read(spark, sf_dir, "region")
-    std = standing(orders)
-    lines = new_system_lines(lineitem)
-    base = _right_base(std)
-    cases = case(lines)
+    """Canonical source tables over the driver tables in ``sf_dir``, built on first use."""
+    from functools import cache
+
+    @cache
+    def table(name: str) -> DataFrame:
+        return _read(spark, sf_dir, name)
+
+    @cache
+    def std() -> DataFrame:
+        return standing(table("orders"))
+
+    @cache
+    def lines() -> DataFrame:
+        return new_system_lines(table("lineitem"))
+
+    @cache
+    def base() -> DataFrame:
+        return _right_base(std())
+
+    @cache
+    def cases() -> DataFrame:
+        return case(lines())
+
     return SourceTables(
         standing=std,
-        formslog=formslog(lineitem, orders),
-        reghist=reghist(std),
-        incident=incident(lines),
-        servicerequest=servicerequest(lines),
-        right=base.select("right_id", "application_num", "publication_num", "filing_date",
-                          "grant_date", "renewal_year", "next_renewal_date"),
-        register_right=base.select("right_id", "application_num", "publication_num", "filing_date",
-                                   "grant_date", "termination_reason_id", "termination_date",
-                                   "restoration_date"),
-        fees=fees(orders),
+        formslog=lambda: formslog(table("lineitem"), table("orders")),
+        reghist=lambda: reghist(std()),
+        incident=lambda: incident(lines()),
+        servicerequest=lambda: servicerequest(lines()),
+        right=lambda: base().select("right_id", "application_num", "publication_num", "filing_date",
+                                    "grant_date", "renewal_year", "next_renewal_date"),
+        register_right=lambda: base().select("right_id", "application_num", "publication_num", "filing_date",
+                                             "grant_date", "termination_reason_id", "termination_date",
+                                             "restoration_date"),
+        fees=lambda: fees(table("orders")),
         case=cases,
-        casecategory=casecategory(region),
-        terminationreason=terminationreason(region),
-        licenceofright=licenceofright(base),
-        registerevent=registerevent(cases),
-        minimum_fee=minimum_fee(orders),
+        casecategory=lambda: casecategory(table("region")),
+        terminationreason=lambda: terminationreason(table("region")),
+        licenceofright=lambda: licenceofright(base()),
+        registerevent=lambda: registerevent(cases()),
+        minimum_fee=lambda: minimum_fee(table("orders")),
     )
