@@ -39,6 +39,10 @@ class RunConfig:
     out_root: str | None = None
     table_format: str = "parquet"
     history_table: str = "renewals_ldb.renewal_history"
+    # Files per period output (reports, exchange file). None writes one file
+    # per range of the global sort, in order, so no task holds a whole output;
+    # 1 gives one physical file when the receiving side needs it.
+    output_files: int | None = None
     extra: dict = field(default_factory=dict, compare=False)
 
     def __post_init__(self):

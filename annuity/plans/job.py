@@ -88,11 +88,13 @@ def run(spark: SparkSession, src: SourceTables, cfg: RunConfig) -> RunResult:
     if not cfg.quarterly:
         order = [MONTHLY_REPORT_HEADINGS["renewal_due_date"]]
         with _timed(result, "monthly_report"):
-            result.outputs["monthly_report"] = sinks.write_single_csv(
-                p.monthly_report, sinks.report_path(cfg, sinks.MONTHLY_REPORT), order)
+            result.outputs["monthly_report"] = sinks.write_csv(
+                p.monthly_report, sinks.report_path(cfg, sinks.MONTHLY_REPORT), order,
+                files=cfg.output_files)
         with _timed(result, "monthly_totals"):
-            result.outputs["monthly_totals"] = sinks.write_single_csv(
-                p.totals_table, sinks.report_path(cfg, sinks.MONTHLY_TOTALS), [])
+            # Three rows by construction: always one file.
+            result.outputs["monthly_totals"] = sinks.write_csv(
+                p.totals_table, sinks.report_path(cfg, sinks.MONTHLY_TOTALS), [], files=1)
         result.metrics.update(obs_split.get)
     else:
         # Checked rows feed both the exchange file and the rejects table.
@@ -102,27 +104,30 @@ def run(spark: SparkSession, src: SourceTables, cfg: RunConfig) -> RunResult:
             setattr(p, name, df)
             kept.append(df)
         obs_status = Observation("status")
-        status = p.status_report.observe(
+        status_metrics = (
             obs_status,
             _count_if(F.col("type") == KIND_RESTORATION).alias("restorations_in_period"),
             _count_if(F.col("type") == KIND_LOR).alias("licences_of_right_in_period"),
             _count_if(~F.col("type").isin(KIND_RESTORATION, KIND_LOR) | F.col("type").isNull())
             .alias("lapses_in_period"))
         with _timed(result, "status_report"):
-            result.outputs["status_report"] = sinks.write_single_csv(
-                status, sinks.report_path(cfg, sinks.QUARTERLY_REPORT), ["type", "filing_date"])
+            result.outputs["status_report"] = sinks.write_csv(
+                p.status_report, sinks.report_path(cfg, sinks.QUARTERLY_REPORT), ["type", "filing_date"],
+                files=cfg.output_files, observe=status_metrics)
         result.metrics.update(obs_status.get)
         with _timed(result, "quarterly_totals"):
-            result.outputs["quarterly_totals"] = sinks.write_single_csv(
+            # One row per month of the period plus the total: always one file.
+            result.outputs["quarterly_totals"] = sinks.write_csv(
                 p.monthly_totals, sinks.report_path(cfg, sinks.QUARTERLY_TOTALS), ["_total", "_month"],
-                ["Month", "Amount"])
+                ["Month", "Amount"], files=1)
         result.metrics.update(obs_split.get)
         obs_lines = Observation("exchange")
-        lines = p.exchange_lines.observe(
+        line_metrics = (
             obs_lines, F.count(F.lit(1)).alias("exchange_lines"),
             _count_if(F.col("type") == exchange.TYPE_RENEWAL).alias("renewal_lines"))
         with _timed(result, "exchange_file"):
-            result.outputs["exchange_file"] = sinks.write_exchange_file(lines, sinks.exchange_path(cfg))
+            result.outputs["exchange_file"] = sinks.write_exchange_file(
+                p.exchange_lines, sinks.exchange_path(cfg), cfg.output_files, observe=line_metrics)
         result.metrics.update(obs_lines.get)
         obs_rejects = Observation("rejects")
         rejects = p.rejects.observe(obs_rejects, F.count(F.lit(1)).alias("rejects"))

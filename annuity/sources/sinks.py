@@ -1,4 +1,4 @@
-"""Output sinks: history table, single-file CSV reports, fixed-width exchange file."""
+"""Output sinks: history table, ordered CSV reports, fixed-width exchange file."""
 
 from __future__ import annotations
 
@@ -46,29 +46,47 @@ def write_history(spark: SparkSession, history: DataFrame, cfg: RunConfig) -> st
     return cfg.history_table
 
 
-def write_single_csv(df: DataFrame, path: str, order_by: list[str],
-                     columns: list[str] | None = None) -> str:
-    """One CSV file with a header, rows in ``order_by`` order, then ``columns`` kept.
+def _sorted_output(df: DataFrame, order_by: list[str], files: int | None,
+                   observe: tuple | None = None) -> DataFrame:
+    """Rows in global ``order_by`` order, split into ``files`` contiguous ranges.
 
-    A report holds one period's rows; the upstream work stays distributed and
-    only the final ordered write runs in a single task.
+    ``orderBy`` range-partitions on the sort key, so every task sorts and
+    writes one contiguous slice, and the part files follow the global order by
+    name. ``files=1`` concatenates the sorted slices in order into one file.
+    ``observe`` = (Observation, *metrics) is attached above the sort: the job
+    that samples the range bounds runs the plan below it, and metrics observed
+    there would be counted twice.
     """
-    out = df.repartition(1)
-    if order_by:
-        out = out.sortWithinPartitions(*order_by)
+    out = df.orderBy(*order_by) if order_by else df
+    if observe:
+        out = out.observe(*observe)
+    return out.coalesce(files) if files else out
+
+
+def write_csv(df: DataFrame, path: str, order_by: list[str], columns: list[str] | None = None,
+              files: int | None = None, observe: tuple | None = None) -> str:
+    """A CSV report with a header line, rows in ``order_by`` order, then ``columns`` kept.
+
+    With several files each part carries the header, so the folder reads back
+    as one CSV dataset (``header=True``).
+    """
+    out = _sorted_output(df, order_by, files, observe)
     if columns:
         out = out.select(*columns)
     out.write.mode("overwrite").option("header", True).csv(path)
     return path
 
 
-def write_exchange_file(lines: DataFrame, path: str) -> str:
+def write_exchange_file(lines: DataFrame, path: str, files: int | None = None,
+                        observe: tuple | None = None) -> str:
     """The exchange file: one fixed-width record per line, sorted, Latin-1.
 
-    The text writer ignores an encoding option, so the CSV writer is used with
-    quoting and whitespace trimming turned off; records hold no delimiter.
+    The header record sorts first and the trailer last, so the part files
+    concatenated by name are the file. The text writer ignores an encoding
+    option, so the CSV writer is used with quoting and whitespace trimming
+    turned off; records hold no delimiter.
     """
-    (lines.select("record").repartition(1).sortWithinPartitions("record")
+    (_sorted_output(lines, ["record"], files, observe).select("record")
      .write.mode("overwrite")
      .option("header", False)
      .option("encoding", EXCHANGE_ENCODING)

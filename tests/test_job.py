@@ -14,17 +14,39 @@ from annuity.sources.testdata import fixture_tables
 
 
 def _part_files(path):
-    return [f for f in glob.glob(f"{path}/part-*")]
+    return sorted(glob.glob(f"{path}/part-*"))
+
+
+def _text(path, encoding="utf-8"):
+    """The output as one file: part files concatenated in name order."""
+    return "".join(open(f, encoding=encoding).read() for f in _part_files(path))
+
+
+def test_ordered_parts_concatenate_to_sorted_file(spark, scratch):
+    """Without a file count, each range of the global sort is its own part, in order."""
+    from annuity.sources import sinks
+    lines = spark.range(0, 5000, 1, 7).select(
+        F.format_string("%03d%077d", (F.col("id") * 7919) % 1000, F.col("id")).alias("record"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        path = sinks.write_exchange_file(lines, f"{scratch}/parts")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(_part_files(path)) > 1
+    got = _text(path, "iso-8859-1").split("\n")[:-1]
+    assert got == sorted(r.record for r in lines.collect())
+    one = sinks.write_exchange_file(lines, f"{scratch}/one", files=1)
+    assert len(_part_files(one)) == 1
+    assert _text(one, "iso-8859-1").split("\n")[:-1] == got
 
 
 def test_quarterly_run(spark, sf_small, scratch):
     cfg = RunConfig(run_date=dt.date(2001, 1, 3), quarterly=True, out_root=scratch)
     result = job.run(spark, fixture_tables(spark, sf_small), cfg)
     assert set(result.outputs) == {"history", "status_report", "quarterly_totals", "exchange_file", "rejects"}
-    for key in ["status_report", "quarterly_totals", "exchange_file"]:
-        assert len(_part_files(result.outputs[key])) == 1, key
+    assert len(_part_files(result.outputs["quarterly_totals"])) == 1
 
-    text = open(_part_files(result.outputs["exchange_file"])[0], encoding="iso-8859-1").read()
+    text = _text(result.outputs["exchange_file"], "iso-8859-1")
     lines = text.split("\n")[:-1]
     assert lines[0].startswith("100") and lines[-1].startswith("900")
     assert {len(x) for x in lines} == {80}
@@ -49,9 +71,11 @@ def test_quarterly_run(spark, sf_small, scratch):
 
 
 def test_monthly_run(spark, sf_small, scratch):
-    cfg = RunConfig(run_date=dt.date(2001, 1, 3), quarterly=False, out_root=scratch)
+    cfg = RunConfig(run_date=dt.date(2001, 1, 3), quarterly=False, out_root=scratch, output_files=1)
     result = job.run(spark, fixture_tables(spark, sf_small), cfg)
     assert set(result.outputs) == {"history", "monthly_report", "monthly_totals"}
+    for key in ["monthly_report", "monthly_totals"]:
+        assert len(_part_files(result.outputs[key])) == 1, key
     rows = open(_part_files(result.outputs["monthly_report"])[0]).read().splitlines()
     assert rows[0].startswith("European Patent (UK) Publication Number,Due Date For Payment Of Renewal")
     assert len(rows) - 1 == result.metrics["renewals_in_period"]
