@@ -94,7 +94,7 @@ def run(spark: SparkSession, src: SourceTables, cfg: RunConfig) -> RunResult:
         with _timed(result, "monthly_totals"):
             # Three rows by construction: always one file.
             result.outputs["monthly_totals"] = sinks.write_csv(
-                p.totals_table, sinks.report_path(cfg, sinks.MONTHLY_TOTALS), [], files=1)
+                p.totals_table, sinks.report_path(cfg, sinks.MONTHLY_TOTALS), [], files=1, small=True)
         result.metrics.update(obs_split.get)
     else:
         # Checked rows feed both the exchange file and the rejects table.
@@ -119,7 +119,7 @@ def run(spark: SparkSession, src: SourceTables, cfg: RunConfig) -> RunResult:
             # One row per month of the period plus the total: always one file.
             result.outputs["quarterly_totals"] = sinks.write_csv(
                 p.monthly_totals, sinks.report_path(cfg, sinks.QUARTERLY_TOTALS), ["_total", "_month"],
-                ["Month", "Amount"], files=1)
+                ["Month", "Amount"], files=1, small=True)
         result.metrics.update(obs_split.get)
         obs_lines = Observation("exchange")
         line_metrics = (
