@@ -55,3 +55,17 @@ def test_stored_sources_give_the_same_extracts(spark, sf_small, stored):
 def test_minimum_fee_csv_is_read_as_text(stored):
     assert [f.dataType.simpleString() for f in stored.minimum_fee.schema.fields] == ["string"] * 3
     assert stored.minimum_fee.count() > 0
+
+
+def test_period_outputs_sort_by_range_not_in_one_task(spark):
+    from annuity.sources.sinks import _sorted_output
+    lines = spark.range(0, 1000, 1, 4).selectExpr("format_string('%080d', id) AS record")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        spread = plan(_sorted_output(lines, ["record"], None))
+        one = plan(_sorted_output(lines, ["record"], 1))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert "rangepartitioning(record" in spread and "SinglePartition" not in spread
+    # One file on request: the sort stays range-partitioned, the slices are concatenated.
+    assert "rangepartitioning(record" in one and "Coalesce 1" in one
