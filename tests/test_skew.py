@@ -109,3 +109,12 @@ def test_endorsement_with_a_hot_application(skew_session):
         else:
             want = r.application_num == "A1"
         assert r.lor_endorsement == ("YES" if want else "NO")
+
+
+def test_hot_payment_group_is_split_by_adaptive_execution(skew_session):
+    """A third of all rows in one (application, date filed) group: the join back is split."""
+    rows = [r[:5] + (dt.date(2000, 1, 5) if r[0] == "HOT" else r[5],) + r[6:] for r in skewed_rows(30000)]
+    out = rules.renewal_due_dates(frame(skew_session, RENEWAL, rows))
+    got = Counter((r.application_num, r.date_filed, r.renewal_year, r.renewal_due_date) for r in out.collect())
+    assert got == brute_due(rows)
+    assert "SortMergeJoin(skew=true)" in out._jdf.queryExecution().executedPlan().toString()
