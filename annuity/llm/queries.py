@@ -2,20 +2,32 @@
 
 from __future__ import annotations
 
-from annuity.llm import rule_ledger
+from annuity.llm import license_scan, rule_ledger, sharding
 from annuity.llm.common import read_table
 
 
+def op2_sharding(spark, sf_dir):
+    return sharding.op2(read_table(spark, sf_dir, "documents"))
+
+
+def op6_license_scans(spark, sf_dir):
+    return license_scan.op6(read_table(spark, sf_dir, "documents"))
+
+
 def op10_quality_rules(spark, sf_dir):
     return rule_ledger.op10(read_table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op2_sharding": op2_sharding,
+    "op6_license_scans": op6_license_scans,
     "op10_quality_rules": op10_quality_rules,
 }
 
 
 def oracle_queries() -> dict[str, str]:
     return {
+        "op2_sharding": sharding.op2_sql(),
+        "op6_license_scans": license_scan.op6_sql(),
         "op10_quality_rules": rule_ledger.op10_sql(),
     }
