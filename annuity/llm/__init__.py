@@ -1 +1,8 @@
 """Operators for preparing training corpora; queries in ``queries.py``."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run on executors travel with the job, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from annuity.llm import license_scan, rule_ledger, sharding
+from annuity.llm import license_scan, rule_ledger, sharding, simhash
 from annuity.llm.common import read_table
 
 
@@ -10,6 +10,10 @@ def op2_sharding(spark, sf_dir):
     return sharding.op2(read_table(spark, sf_dir, "documents"))
 
 
+def op3_simhash_near_dedup(spark, sf_dir):
+    return simhash.op3(read_table(spark, sf_dir, "documents"))
+
+
 def op6_license_scans(spark, sf_dir):
     return license_scan.op6(read_table(spark, sf_dir, "documents"))
 
@@ -20,6 +24,7 @@ def op10_quality_rules(spark, sf_dir):
 
 QUERIES = {
     "op2_sharding": op2_sharding,
+    "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op6_license_scans": op6_license_scans,
     "op10_quality_rules": op10_quality_rules,
 }
