@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from annuity.llm import license_scan, rule_ledger, sharding, simhash
+from annuity.llm import (language_id, license_scan, quality_classifier, rule_ledger, sharding, simhash,
+                         toxicity)
 from annuity.llm.common import read_table
 
 
@@ -14,10 +15,22 @@ def op3_simhash_near_dedup(spark, sf_dir):
     return simhash.op3(read_table(spark, sf_dir, "documents"))
 
 
+def op5_quality_classifier(spark, sf_dir):
+    return quality_classifier.op5(spark, sf_dir)
+
+
 def op6_license_scans(spark, sf_dir):
     return license_scan.op6(read_table(spark, sf_dir, "documents"))
 
 
+def op8_toxicity(spark, sf_dir):
+    return toxicity.op8(spark, sf_dir)
+
+
+def op9_language_id(spark, sf_dir):
+    return language_id.op9_table(spark, sf_dir)
+
+
 def op10_quality_rules(spark, sf_dir):
     return rule_ledger.op10(read_table(spark, sf_dir, "documents"))
 
@@ -25,7 +38,10 @@ def op10_quality_rules(spark, sf_dir):
 QUERIES = {
     "op2_sharding": op2_sharding,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
+    "op5_quality_classifier": op5_quality_classifier,
     "op6_license_scans": op6_license_scans,
+    "op8_toxicity": op8_toxicity,
+    "op9_language_id": op9_language_id,
     "op10_quality_rules": op10_quality_rules,
 }
 
