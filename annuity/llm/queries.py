@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from annuity.llm import (language_id, license_scan, quality_classifier, rule_ledger, sharding, simhash,
-                         toxicity)
+from annuity.llm import (inner_product, language_id, license_scan, mixing, packing, quality_classifier, rule_ledger,
+                         sharding, simhash, toxicity)
 from annuity.llm.common import read_table
 
 
+def op1_best_fit_packing(spark, sf_dir):
+    return packing.op1(read_table(spark, sf_dir, "documents"))
+
+
 def op2_sharding(spark, sf_dir):
     return sharding.op2(read_table(spark, sf_dir, "documents"))
 
@@ -15,6 +19,10 @@ def op3_simhash_near_dedup(spark, sf_dir):
     return simhash.op3(read_table(spark, sf_dir, "documents"))
 
 
+def op4_exact_top_k(spark, sf_dir):
+    return inner_product.op4(read_table(spark, sf_dir, "embeddings"))
+
+
 def op5_quality_classifier(spark, sf_dir):
     return quality_classifier.op5(spark, sf_dir)
 
@@ -23,6 +31,10 @@ def op6_license_scans(spark, sf_dir):
     return license_scan.op6(read_table(spark, sf_dir, "documents"))
 
 
+def op7_mixing_sources(spark, sf_dir):
+    return mixing.op7(read_table(spark, sf_dir, "documents"))
+
+
 def op8_toxicity(spark, sf_dir):
     return toxicity.op8(spark, sf_dir)
 
@@ -36,10 +48,13 @@ def op10_quality_rules(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_best_fit_packing": op1_best_fit_packing,
     "op2_sharding": op2_sharding,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
+    "op4_exact_top_k": op4_exact_top_k,
     "op5_quality_classifier": op5_quality_classifier,
     "op6_license_scans": op6_license_scans,
+    "op7_mixing_sources": op7_mixing_sources,
     "op8_toxicity": op8_toxicity,
     "op9_language_id": op9_language_id,
     "op10_quality_rules": op10_quality_rules,
@@ -49,6 +64,7 @@ QUERIES = {
 def oracle_queries() -> dict[str, str]:
     return {
         "op2_sharding": sharding.op2_sql(),
+        "op4_exact_top_k": inner_product.op4_sql(),
         "op6_license_scans": license_scan.op6_sql(),
         "op10_quality_rules": rule_ledger.op10_sql(),
     }

@@ -44,7 +44,7 @@ SEED = 42
 FANOUT = 8
 NODE_ROWS = 16384
 DEEPER_BITS = 8
-PAIRS_AT_ONCE = 1 << 21
+PAIRS_AT_ONCE = 1 << 18
 SHINGLES_AT_ONCE = 1 << 16
 
 
