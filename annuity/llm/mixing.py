@@ -30,7 +30,7 @@ from annuity.llm.common import fresh, stage
 
 MAX_CATEGORIES = 64
 TEMPERATURE = 0.5
-KEEP = 0.7
+KEEP = 0.5
 SEED = 7
 ROUNDS, TOLERANCE = 500, 1e-9
 MARGINALS = ("source", "lang", "topic")
@@ -52,13 +52,17 @@ def form(text: Column) -> Column:
             .when(F.length(t) >= 2000, "article").otherwise("note"))
 
 
-def rake(cells: np.ndarray, tokens: np.ndarray, targets: Sequence[np.ndarray]) -> tuple[np.ndarray, float]:
+def rake(cells: np.ndarray, tokens: np.ndarray, targets: Sequence[np.ndarray],
+         keep: float = 0.0) -> tuple[np.ndarray, float]:
     """(shares of the cells, largest deviation of a marginal). ``cells``: one column of categories per marginal.
 
-    Targets of categories without tokens are spread over the others. Where
-    empty cells make the targets contradict each other, the last round stands.
+    No cell gets more than it has when ``keep`` of all tokens is sampled (0:
+    no such limit); the other cells of its categories make up for it. Targets
+    of categories without tokens are spread over the others. Where the
+    targets cannot all be met, the last round stands.
     """
     share = tokens / tokens.sum()
+    most = share / keep if keep else np.full(len(share), np.inf)
     wanted = []
     for k, target in enumerate(targets):
         there = np.bincount(cells[:, k], weights=share, minlength=len(target)) > 0
@@ -69,7 +73,7 @@ def rake(cells: np.ndarray, tokens: np.ndarray, targets: Sequence[np.ndarray]) -
         for k, target in enumerate(wanted):
             now = np.bincount(cells[:, k], weights=share, minlength=len(target))
             share = share * np.divide(target, now, out=np.zeros_like(now), where=now > 0)[cells[:, k]]
-        share = share / max(share.sum(), 1e-300)
+            share = np.minimum(share, most)
         off = max(np.abs(np.bincount(cells[:, k], weights=share, minlength=len(t)) - t).max()
                   for k, t in enumerate(wanted))
         if off < TOLERANCE:
@@ -136,19 +140,21 @@ def mixed(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, k
         index = np.array([[places[k].index(r[m]) for k, m in enumerate(MARGINALS)] for r in cells])
         tokens = np.array([float(r["tokens"]) for r in cells])
         share, _ = rake(index, tokens, [np.array([wanted[m].get(c, 0.0) for c in places[k]])
-                                        for k, m in enumerate(MARGINALS)])
-        chance = probabilities(share, tokens, keep)
+                                        for k, m in enumerate(MARGINALS)], min(keep, 1.0))
+        odds = probabilities(share, tokens, keep)
         table = [(*[r[m] for m in MARGINALS], float(s * tokens.sum() / t), float(p))
-                 for r, t, s, p in zip(cells, tokens, share, chance)]
+                 for r, t, s, p in zip(cells, tokens, share, odds)]
     else:
         table = []
-    lookup = docs.sparkSession.createDataFrame(table, "_source string, _lang string, _topic string, _weight double, _chance double")
-    on = [category(F.col(at[m]), list(wanted[m])) == F.col(f"_{m}") for m in MARGINALS]
+    *keys, weight, chance = fresh(rows, *[f"cell_{m}" for m in MARGINALS], "cell_weight", "cell_chance")
+    lookup = docs.sparkSession.createDataFrame(
+        table, ", ".join([*[f"`{k}` string" for k in keys], f"`{weight}` double", f"`{chance}` double"]))
+    on = [category(F.col(at[m]), list(wanted[m])) == F.col(k) for m, k in zip(MARGINALS, keys)]
     draw = F.conv(F.substring(F.md5(F.concat_ws(
         ":", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("")),
         F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).cast("string"))), 1, HASH_DIGITS), 16, 10)
     picked = rows.join(F.broadcast(lookup), on).select(
-        *rows.columns, F.col("_weight").alias(names["weight"]), F.col("_chance").alias(names["probability"]))
+        *rows.columns, F.col(weight).alias(names["weight"]), F.col(chance).alias(names["probability"]))
     chosen = draw.cast("long") < F.col(names["probability"]) * float(16 ** HASH_DIGITS)
     return picked.withColumn(names["selected"], chosen), names
 

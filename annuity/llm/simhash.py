@@ -365,21 +365,44 @@ def components(edges: DataFrame) -> DataFrame:
     return roots.unionByName(roots.select(F.col("root").alias("fp"), "root").distinct())
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3, text: str = "text",
-                    doc_id: str = "doc_id", node_rows: int = NODE_ROWS) -> DataFrame:
-    """(doc_id, fingerprint, component_id) of every row; component_id is the smallest id reached."""
+def _components_of_rows(docs: DataFrame, shingle: int, max_bits: int, text: str, doc_id: str,
+                        node_rows: int) -> DataFrame:
+    """(doc_id, text_hash, fp, root, component_id) of every row; root is the component's smallest fingerprint."""
     (name,) = fresh(docs, "fingerprint")
     rows = stage(fingerprints(docs, shingle, text, name).select(
-        F.col(doc_id).alias("doc_id"), F.col(name).alias("fp")), "fingerprints")
+        F.col(doc_id).alias("doc_id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("text_hash"),
+        F.col(name).alias("fp")), "fingerprints")
     distinct = stage(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct-fingerprints")
     roots = components(links(distinct, max_bits, node_rows))
     rooted = distinct.join(roots.withColumnRenamed("fp", "_fp"), F.col("fp") == F.col("_fp"), "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root"))
     rooted = stage(rooted, "rooted-fingerprints")
     lowest = rooted.groupBy(F.col("root").alias("_root")).agg(F.min("first").alias("component_id"))
-    ids = rooted.join(lowest, F.col("root") == F.col("_root")).select(F.col("fp").alias("_fp"), "component_id")
-    return (rows.join(ids, F.col("fp") == F.col("_fp"))
-            .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
+    ids = rooted.join(lowest, F.col("root") == F.col("_root")).select(F.col("fp").alias("_fp"), "root", "component_id")
+    return rows.join(ids, F.col("fp") == F.col("_fp")).drop("_fp")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3, text: str = "text",
+                    doc_id: str = "doc_id", node_rows: int = NODE_ROWS) -> DataFrame:
+    """(doc_id, fingerprint, component_id) of every row; component_id is the smallest id reached."""
+    return _components_of_rows(docs, shingle, max_bits, text, doc_id, node_rows).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = 3, text: str = "text",
+             doc_id: str = "doc_id", node_rows: int = NODE_ROWS) -> DataFrame:
+    """One row of each component, with all columns of ``docs``: the smallest id (null last), then text hash."""
+    rows = _components_of_rows(docs, shingle, max_bits, text, doc_id, node_rows)
+    kept = rows.groupBy("root").agg(F.min(F.struct(
+        F.col("doc_id").isNull().alias("n"), F.coalesce("doc_id", F.lit(0)).alias("i"), F.col("text_hash").alias("h"))).alias("k"))
+    n, i, h, *wanted = fresh(docs, "id_is_null", "id_or_zero", "text_hash", "kept_null", "kept_id", "kept_hash")
+    names = [n, i, h]
+    kept = kept.select(*[F.col(f"k.{c}").alias(name) for c, name in zip("nih", wanted)])
+    keyed = (docs.withColumn(n, F.col(doc_id).isNull()).withColumn(i, F.coalesce(F.col(doc_id), F.lit(0)))
+             .withColumn(h, F.xxhash64(F.coalesce(F.col(text), F.lit("")))))
+    same = [F.col(a) == F.col(b) for a, b in zip(names, wanted)]
+    # The join and the removal of repeated rows share one exchange of the texts.
+    return keyed.join(kept, same, "left_semi").dropDuplicates(names).select(*docs.columns)
 
 
 def op3(docs: DataFrame) -> DataFrame:
