@@ -12,7 +12,7 @@ other groups, ``ROUNDS`` times.
 
 Tokens: the tokenizer splits at white space before it merges, so texts of
 plain letters and punctuation are looked up word by word in a table that the
-tokenizer itself fills; other texts are given to it whole.
+vocabulary's own merge model fills; other texts are given to the tokenizer whole.
 
 Rows: one per piece. Null and empty texts are one piece holding the end id. Repeated
 rows and ids are packed one by one. Other columns are ignored. An empty
@@ -22,6 +22,7 @@ table gives an empty result.
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -39,11 +40,34 @@ GROUP_ROWS = 4096
 ROUNDS = 3
 # A bin with at most this much room counts as full between rounds.
 SLACK = 8
-CACHED_WORDS = 400_000
+CACHED_WORDS = 600_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PLACED = PIECES + ", sequence_id long, offset long, room long"
-# Characters that lower-case one by one and are white space for everyone alike.
-_PLAIN = re.compile("[\t-\r -~¡-įı-ſ–—‘-”…]*")
+# Characters that lower-case one by one, compose with nothing and are white space for everyone alike.
+_PLAIN = re.compile("[\t-\r -~¡-±´-¸º»¿-įı-ſ–—‘-”…]*")
+# How the vocabulary's tokenizer cuts a lower-cased word (a fixed value), for such characters.
+_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
+
+
+class _Words(dict):
+    """Token ids by word; the vocabulary's model fills in what is missing."""
+
+    def __init__(self, model, spelled):
+        super().__init__()
+        self.model, self.spelled = model, spelled
+
+    def __missing__(self, word: str) -> bytes:
+        core = word.rstrip(",.;:!?")
+        if len(core) < len(word) and core and core[-1].isalnum():
+            # A cut falls between a letter or digit and what follows.
+            found = self[core] + self[word[len(core):]]
+        else:
+            parts = [word] if word.isalpha() else _PARTS.findall(word)
+            ids = [t.id for part in parts
+                   for t in self.model.tokenize(part if part.isascii() else self.spelled(part)[0][0])]
+            found = struct.pack(f"<{len(ids)}I", *ids)
+        self[word] = found
+        return found
 
 
 class Tokens:
@@ -51,10 +75,11 @@ class Tokens:
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.words: dict[str, bytes] = {}
+        self.words = _Words(self.tokenizer.model, ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str)
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -63,17 +88,9 @@ class Tokens:
         text = text or ""
         if not _PLAIN.fullmatch(text) or any(s in text for s in self.special):
             return self.whole(text)
-        words = text.lower().split()
-        table = self.words
-        new = {w for w in words if w not in table}
-        if new:
-            if len(table) > CACHED_WORDS:
-                table.clear()
-                new = set(words)
-            new = sorted(new)
-            for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-                table[w] = np.array(e.ids, "<u4").tobytes()
-        return b"".join([table[w] for w in words])
+        if len(self.words) > CACHED_WORDS:
+            self.words.clear()
+        return b"".join(map(self.words.__getitem__, text.lower().split()))
 
 
 def tokenizer_path(name: str = VOCABULARY) -> str:
@@ -129,23 +146,29 @@ def best_fit(lengths: np.ndarray, capacity: int) -> list[list[int]]:
 
 
 def improve(bins: list[list[int]], lengths: np.ndarray, capacity: int) -> list[list[int]]:
-    """Drain the emptiest bins into the others by moves and swaps that raise the sum of squared fills."""
+    """Drain the emptier bins into the fuller ones by moves and swaps that raise the sum of squared fills.
+
+    Bins are visited from the emptiest on, until a whole round finds no step
+    or no bin can be saved any more.
+    """
     least = -(-int(lengths.sum()) // capacity)
     fill = np.array([lengths[b].sum() for b in bins], np.int64)
     where = np.empty(len(lengths), np.int64)
     for b, items in enumerate(bins):
         where[items] = b
-    live = len(bins)
-    for b in np.argsort(fill, kind="stable").tolist():
-        if live <= least:
-            break
-        while fill[b] and (step := _step(b, where, lengths, fill, capacity)):
-            out, to, back = step
-            where[out], where[back] = to, b
-            gain = int(lengths[out].sum() - lengths[back].sum())
-            fill[to] += gain
-            fill[b] -= gain
-        live -= fill[b] == 0
+    better = True
+    while better and (fill > 0).sum() > least:
+        better = False
+        for b in np.argsort(fill, kind="stable").tolist():
+            while 0 < fill[b] < capacity and (step := _step(b, where, lengths, fill, capacity)):
+                out, to, back = step
+                where[out], where[back] = to, b
+                gain = int(lengths[out].sum() - lengths[back].sum())
+                fill[to] += gain
+                fill[b] -= gain
+                better = True
+            if better and (fill > 0).sum() <= least:
+                break
     order = np.argsort(where, kind="stable")
     cuts = np.flatnonzero(np.r_[True, np.diff(where[order]) != 0])
     return [part.tolist() for part in np.split(order, cuts[1:])]

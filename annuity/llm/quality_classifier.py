@@ -116,7 +116,8 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> np.
     rows = rows.select("at", "label", "text").mapInPandas(_featured, "at long, label int, ids binary, vals binary")
     # Sorted also by content, so repeated ids are met in one order.
     ordered = rows.repartition(1).sortWithinPartitions("at", "ids")
-    return np.frombuffer(ordered.mapInPandas(_trained, "weights binary").first()["weights"], np.float32)
+    learned = ordered.mapInPandas(_trained, "weights binary").first()
+    return np.frombuffer(learned["weights"], np.float32) if learned else follow_leader(iter(()))
 
 
 def scored(docs: DataFrame, weights: np.ndarray, name: str) -> DataFrame:
