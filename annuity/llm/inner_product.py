@@ -178,7 +178,8 @@ with v as (select vec_id, min(list_transform(embedding, lambda c: c::double)) as
            where vec_id is not null and embedding is not null
              and len(list_filter(embedding, lambda c: c is null or not isfinite(c))) = 0 group by vec_id),
 w as (select vec_id, list_transform(x, lambda c: floor({SCALE} * c)) as w from v),
-s as (select q.vec_id as query_id, c.vec_id as vec_id, list_dot_product(q.w, c.w)::bigint as score
+s as (select q.vec_id as query_id, c.vec_id as vec_id, 
+             coalesce(list_sum(list_transform(range(1, least(len(q.w), len(c.w)) + 1), lambda i: q.w[i] * c.w[i])), 0)::bigint as score
       from w q join w c on q.vec_id <> c.vec_id where q.vec_id % {EVERY} = 0),
 r as (select query_id, (row_number() over (partition by query_id order by score desc, vec_id))::int as rank, vec_id, score from s)
 select query_id, rank, vec_id, score from r where rank <= {TOP}"""
