@@ -108,17 +108,26 @@ def category(column: Column, own: Sequence[str]) -> Column:
     return F.when(named.isin(list(own)), named).otherwise(OTHER)
 
 
-def mixed(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, keep: float = KEEP,
-          seed: int = SEED, topic: Column | None = None) -> tuple[DataFrame, dict[str, str]]:
-    """``docs`` with tokens, topic, weight, probability and selected; and the names those columns got.
+def measured(docs: DataFrame, seed: int = SEED, topic: Column | None = None) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with tokens, topic and draw (0 to 16^13, by seed, id and text); and the names those columns got."""
+    names = dict(zip(("tokens", "topic", "draw"), fresh(docs, "tokens", "topic", "draw")))
+    draw = F.conv(F.substring(F.md5(F.concat_ws(
+        ":", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("")),
+        F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).cast("string"))), 1, HASH_DIGITS), 16, 10)
+    topic = form(F.col("text")) if topic is None else topic
+    return docs.withColumns({names["topic"]: topic, names["tokens"]: token_count(F.col("text")),
+                             names["draw"]: draw.cast("long")}), names
+
+
+def mixed(rows: DataFrame, names: dict[str, str], targets: dict[str, dict[str, float]] | None = None,
+          keep: float = KEEP) -> tuple[DataFrame, dict[str, str]]:
+    """``measured`` rows with weight, probability and selected; and the names of all added columns.
 
     ``targets``: shares by marginal and category (``other`` for the rest); a
     marginal without targets gets ``tempered`` shares of its own tokens.
     """
-    names = dict(zip(("tokens", "topic", "weight", "probability", "selected"),
-                     fresh(docs, "tokens", "topic", "weight", "probability", "selected")))
-    rows = docs.withColumn(names["topic"], form(F.col("text")) if topic is None else topic)
-    rows = rows.withColumn(names["tokens"], token_count(F.col("text")))
+    added = ("weight", "probability", "selected")
+    names = names | dict(zip(added, fresh(rows, *added)))
     at = {"source": "source", "lang": "lang", "topic": names["topic"]}
     # One row per (source, lang, topic) that occurs, before categories are folded.
     seen = stage(rows.groupBy(*[F.coalesce(F.col(at[m]), F.lit(NONE)).alias(m) for m in MARGINALS])
@@ -147,19 +156,18 @@ def mixed(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, k
     else:
         table = []
     *keys, weight, chance = fresh(rows, *[f"cell_{m}" for m in MARGINALS], "cell_weight", "cell_chance")
-    lookup = docs.sparkSession.createDataFrame(
+    lookup = rows.sparkSession.createDataFrame(
         table, ", ".join([*[f"`{k}` string" for k in keys], f"`{weight}` double", f"`{chance}` double"]))
     on = [category(F.col(at[m]), list(wanted[m])) == F.col(k) for m, k in zip(MARGINALS, keys)]
-    draw = F.conv(F.substring(F.md5(F.concat_ws(
-        ":", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("")),
-        F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).cast("string"))), 1, HASH_DIGITS), 16, 10)
     picked = rows.join(F.broadcast(lookup), on).select(
         *rows.columns, F.col(weight).alias(names["weight"]), F.col(chance).alias(names["probability"]))
-    chosen = draw.cast("long") < F.col(names["probability"]) * float(16 ** HASH_DIGITS)
+    chosen = F.col(names["draw"]) < F.col(names["probability"]) * float(16 ** HASH_DIGITS)
     return picked.withColumn(names["selected"], chosen), names
 
 
 def op7(docs: DataFrame) -> DataFrame:
-    rows, names = mixed(docs.select("doc_id", "text", "source", "lang"))
+    rows, names = measured(docs.select("doc_id", "text", "source", "lang"))
+    # Texts are read once; what the mixture needs of them is written.
+    rows, names = mixed(stage(rows.drop("text"), "mixture-rows"), names)
     return rows.select("doc_id", "source", "lang", *[names[c] for c in
                                                      ("topic", "tokens", "weight", "probability", "selected")])

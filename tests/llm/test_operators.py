@@ -98,7 +98,7 @@ def test_rake_keeps_within_what_is_there():
 
 def test_mixture_follows_given_targets(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    rows, names = mixing.mixed(docs, {"lang": {"en": 0.4, "fr": 0.2, "de": 0.2, "es": 0.2}, "topic": {"article": 0.7, "other": 0.3}}, 0.3)
+    rows, names = mixing.mixed(*mixing.measured(docs), {"lang": {"en": 0.4, "fr": 0.2, "de": 0.2, "es": 0.2}, "topic": {"article": 0.7, "other": 0.3}}, 0.3)
     pdf = rows.select("lang", names["tokens"], names["weight"], names["probability"], names["selected"]).toPandas()
     raked = pdf[names["weight"]].mul(pdf[names["tokens"]]).groupby(pdf["lang"]).sum() / pdf[names["tokens"]].sum()
     assert raked["en"] == pytest.approx(0.4, abs=0.01) and raked["fr"] == pytest.approx(0.2, abs=0.01)
@@ -190,7 +190,7 @@ def test_pipeline_equals_its_plain_version(spark):
     assert ids(single) == sorted(kept)
 
     sample = stage(steps["mixing sources"](spark, single, folder), "test")
-    chosen, names = mixing.mixed(single)
+    chosen, names = mixing.mixed(*mixing.measured(single))
     assert ids(sample) == ids(chosen.where(names["selected"]))
 
     out = steps["best-fit packing"](spark, sample, folder).toPandas()
