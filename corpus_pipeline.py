@@ -39,7 +39,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A sample of the documents by their raked probabilities."""
-    rows, names = mixing.mixed(docs)
+    rows, names = mixing.mixed(*mixing.measured(docs))
     return rows.where(F.col(names["selected"])).select(*docs.columns)
 
 
