@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from decimal import Decimal
 
 
@@ -34,16 +34,13 @@ class RunConfig:
     interest_year3: Decimal = Decimal("0.00")
     interest_year4: Decimal = Decimal("0.00")
     ep_prefix: str = "EP"
-    # Minimum-fee rows above this are joined by shuffle instead of broadcast.
-    fee_broadcast_max_rows: int = 100_000
     out_root: str | None = None
     table_format: str = "parquet"
     history_table: str = "renewals_ldb.renewal_history"
-    # Files per period output (reports, exchange file). None writes one file
-    # per range of the global sort, in order, so no task holds a whole output;
-    # 1 gives one physical file when the receiving side needs it.
+    # Files per period output (reports, exchange file), each one range of the
+    # global sort. None leaves the number to Spark; 1 puts the whole output
+    # through one task, for a receiving side that needs one physical file.
     output_files: int | None = None
-    extra: dict = field(default_factory=dict, compare=False)
 
     def __post_init__(self):
         # The share is written as two digits followed by "00" in the exchange file.

@@ -10,6 +10,7 @@ from annuity.functions.fixedwidth import (
     money_parts,
     pad_left,
     signed_int,
+    wrong_width,
 )
 
 __all__ = [
@@ -22,4 +23,5 @@ __all__ = [
     "money_parts",
     "pad_left",
     "signed_int",
+    "wrong_width",
 ]

@@ -66,5 +66,13 @@ def fixed_width(fields: list[Field]) -> Column:
     return F.concat(*[f.column for f in fields])
 
 
+def wrong_width(fields: list[Field]) -> Column:
+    """``width <name>`` of the first field whose text is not as wide as the field, else null.
+
+    Line length alone would let a short field make up for a long one.
+    """
+    return F.coalesce(*[F.when(F.length(f.column) != f.width, F.lit(f"width {f.name}")) for f in fields])
+
+
 def layout_width(fields: list[Field]) -> int:
     return sum(f.width for f in fields)

@@ -16,9 +16,11 @@ Layouts (width in brackets, ``_`` = blank until the line is accepted):
                    POA 35/28(9) _(17)
 
 Dates are ddMMyy. A renewal emits its year 3 and year 4 lines (when that fee
-is at least 1.00) before its own line. A row with a missing required field,
-or any line that is not 80 characters, is routed to the rejects table with a
-reason; the trailer totals cover exactly the accepted renewal rows.
+is at least 1.00) before its own line. A row with a missing required field, an
+unknown code or a field that does not have its width goes to the rejects table
+with a reason. Payments that would print the same lines are written once; the
+repeats are rejected as such. So the trailer totals plus the rejected amounts
+are the totals of the period.
 """
 
 from __future__ import annotations
@@ -27,12 +29,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from annuity.config import RunConfig
-from annuity.functions import Field, blank, ddmmyy, fixed_width, money_parts, signed_int
+from annuity.functions import Field, blank, ddmmyy, fixed_width, money_parts, signed_int, wrong_width
+from annuity.schemas import MONEY_SUM
 
 RECORD_LENGTH = 80
 
 # Record type codes and constant fields.
 TYPE_HEADER, TYPE_RENEWAL, TYPE_LAPSE, TYPE_RESTORATION, TYPE_LOR, TYPE_TRAILER = 100, 200, 400, 500, 600, 900
+DETAIL_TYPES = (TYPE_RENEWAL, TYPE_LAPSE, TYPE_RESTORATION, TYPE_LOR)
 COUNTRY, CURRENCY = "GB", "GBP"
 TRAILER_REFERENCE = "POA 35/28"
 LOR_REDUCTION_PCT = "50"
@@ -142,54 +146,64 @@ def lor_layout() -> list[Field]:
     ]
 
 
-def _missing(required: list[str]) -> Column:
-    """Name of the first required column that is null, else null."""
-    return F.coalesce(*[F.when(F.col(c).isNull(), _lit(f"missing {c}")) for c in required])
+# A missing minimum fee leaves the renewal's year 3 or 4 amount empty.
+MISSING_REASONS = {"renewal_fee_year3": "no minimum fee for year 3", "renewal_fee_year4": "no minimum fee for year 4"}
+UNKNOWN_LAPSE = "unknown lapse reason"
+DUPLICATE_PAYMENT = "duplicate payment"
 
 
-def _renewal_lines(pct_split: int) -> Column:
-    lines = [F.when(F.col(f"renewal_fee_year{y}") >= 1, fixed_width(year_share_layout(y)))
-             for y in (3, 4)]
-    return F.filter(F.array(*lines, fixed_width(renewal_layout(pct_split))), lambda x: x.isNotNull())
+def missing_reason(required: list[str]) -> Column:
+    """Why the first required column that is null is missing, else null."""
+    return F.coalesce(*[F.when(F.col(c).isNull(), _lit(MISSING_REASONS.get(c, f"missing {c}"))) for c in required])
 
 
-def _bad_length(lines: Column) -> Column:
-    """Length of the first line that is not 80 characters, else null."""
-    return F.try_element_at(
-        F.filter(F.transform(lines, lambda x: F.length(x)), lambda n: n != RECORD_LENGTH), F.lit(1))
+def _checked(df: DataFrame, required: list[str], layouts: list[tuple[Column, list[Field]]],
+             unknown: Column | None = None, where: Column | None = None) -> DataFrame:
+    """Add ``_lines`` (array) and ``_reason`` (null when the row is accepted).
 
-
-def _checked(df: DataFrame, required: list[str], lines: Column) -> DataFrame:
-    """Add ``_lines`` (array) and ``_reason`` (null when the row is accepted)."""
-    missing = _missing(required)
-    df = df.withColumn("_lines", F.when(missing.isNull(), lines))
-    bad = _bad_length(F.col("_lines"))
-    return df.withColumn(
-        "_reason",
-        F.coalesce(missing, F.when(bad.isNotNull(), F.concat(_lit("length "), bad.cast("string")))))
+    ``layouts``: the row's lines in order, each with the condition under which
+    it is written. ``unknown``: a reason of its own, looked at once no field is
+    missing. ``where`` keeps only the caller's rows.
+    """
+    if where is not None:
+        df = df.where(where)
+    missing = missing_reason(required)
+    lines = F.filter(F.array(*[F.when(on, fixed_width(fields)) for on, fields in layouts]), lambda x: x.isNotNull())
+    wrong = F.coalesce(*[F.when(on, wrong_width(fields)) for on, fields in layouts])
+    return (df.withColumn("_lines", F.when(missing.isNull(), lines))
+            .withColumn("_reason", F.coalesce(missing, *([] if unknown is None else [unknown]), wrong)))
 
 
-def renewal_rows(split: DataFrame, cfg: RunConfig) -> DataFrame:
+def renewal_rows(split: DataFrame, cfg: RunConfig, where: Column | None = None) -> DataFrame:
     """Period renewals with their lines and reject reason (null when accepted).
 
-    Rows identical in every field the lines and trailer use are one payment
-    line set, so they are collapsed before formatting.
+    Payments equal in every field that the lines and trailer use are one row
+    with their number in ``_copies``, counted with partial sums.
     """
-    rows = split.select(*RENEWAL_REQUIRED).dropDuplicates()
-    return _checked(rows, RENEWAL_REQUIRED, _renewal_lines(cfg.pct_split))
+    if where is not None:
+        split = split.where(where)
+    rows = split.groupBy(*RENEWAL_REQUIRED).agg(F.count(F.lit(1)).alias("_copies"))
+    layouts = [(F.col(f"renewal_fee_year{y}") >= 1, year_share_layout(y)) for y in (3, 4)]
+    return _checked(rows, RENEWAL_REQUIRED, [*layouts, (F.lit(True), renewal_layout(cfg.pct_split))])
+
 
+def not_expired() -> Column:
+    return ~F.col("lapsed_reason").eqNullSafe(EXCLUDED_LAPSE_REASON)
 
-def lapse_rows(lapses: DataFrame) -> DataFrame:
-    rows = lapses.where(~F.col("lapsed_reason").eqNullSafe(EXCLUDED_LAPSE_REASON))
-    return _checked(rows, LAPSE_REQUIRED, F.array(fixed_width(lapse_layout())))
 
+def lapse_rows(lapses: DataFrame, where: Column | None = None) -> DataFrame:
+    """Lapses but the expired ones; ``where`` replaces that choice."""
+    unknown = F.when(~F.col("lapsed_reason").isin(*LAPSE_CODES), _lit(UNKNOWN_LAPSE))
+    return _checked(lapses, LAPSE_REQUIRED, [(F.lit(True), lapse_layout())], unknown,
+                    not_expired() if where is None else where)
 
-def restoration_rows(restorations: DataFrame) -> DataFrame:
-    return _checked(restorations, RESTORATION_REQUIRED, F.array(fixed_width(restoration_layout())))
 
+def restoration_rows(restorations: DataFrame, where: Column | None = None) -> DataFrame:
+    return _checked(restorations, RESTORATION_REQUIRED, [(F.lit(True), restoration_layout())], where=where)
 
-def lor_rows(lor_ranges: DataFrame) -> DataFrame:
-    return _checked(lor_ranges, LOR_REQUIRED, F.array(fixed_width(lor_layout())))
+
+def lor_rows(lor_ranges: DataFrame, where: Column | None = None) -> DataFrame:
+    return _checked(lor_ranges, LOR_REQUIRED, [(F.lit(True), lor_layout())], where=where)
 
 
 def records(rows: DataFrame, record_type: int) -> DataFrame:
@@ -199,12 +213,32 @@ def records(rows: DataFrame, record_type: int) -> DataFrame:
                     F.explode("_lines").alias("record")))
 
 
+REJECT_AMOUNTS = {"prescribed": "renewal_fee", "remitted": "total_epo_amount"}
+
+
+def _reject_columns(record_type: int, reason: Column, record: Column, payments: Column,
+                    amounts: dict[str, Column]) -> list[Column]:
+    none = F.lit(None).cast(MONEY_SUM)
+    return [F.lit(record_type).alias("type"), F.col("publication_num"), reason.alias("reason"), record.alias("record"),
+            payments.cast("long").alias("payments"),
+            *[amounts.get(name, none).cast(MONEY_SUM).alias(name) for name in REJECT_AMOUNTS]]
+
+
 def rejects(rows: DataFrame, record_type: int) -> DataFrame:
-    """Rejected rows of one record type: (type, publication_num, reason, record)."""
-    return (rows.where(F.col("_reason").isNotNull())
-            .select(F.lit(record_type).alias("type"), "publication_num",
-                    F.col("_reason").alias("reason"),
-                    F.array_join("_lines", "|").alias("record")))
+    """Rejected rows of one record type with their reason and, for renewals, their amounts.
+
+    A renewal row stands for ``_copies`` equal payments: all of them when it
+    is rejected, else all but the one that is written.
+    """
+    record = F.array_join("_lines", "|")
+    if "_copies" not in rows.columns:
+        return rows.where(F.col("_reason").isNotNull()).select(
+            *_reject_columns(record_type, F.col("_reason"), record, F.lit(1), {}))
+    repeated = F.col("_reason").isNull()
+    n = F.when(repeated, F.col("_copies") - 1).otherwise(F.col("_copies"))
+    amounts = {name: F.col(c) * n for name, c in REJECT_AMOUNTS.items()}
+    return rows.where(~repeated | (F.col("_copies") > 1)).select(*_reject_columns(
+        record_type, F.coalesce("_reason", _lit(DUPLICATE_PAYMENT)), record, n, amounts))
 
 
 def control_lines(accepted_renewals: DataFrame, cfg: RunConfig) -> DataFrame:
@@ -271,7 +305,5 @@ def all_rejects(renewals: DataFrame, lapses: DataFrame, restorations: DataFrame,
            .unionByName(rejects(lor, TYPE_LOR)))
     if unmatched_lor is not None:
         out = out.unionByName(unmatched_lor.select(
-            F.lit(TYPE_LOR).alias("type"), "publication_num",
-            F.lit("cancellation without entry").alias("reason"),
-            F.lit(None).cast("string").alias("record")))
-    return out.unionByName(bad_control)
+            *_reject_columns(TYPE_LOR, F.col("gap"), F.lit(None).cast("string"), F.lit(1), {})))
+    return out.unionByName(bad_control, allowMissingColumns=True)

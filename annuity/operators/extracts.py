@@ -40,12 +40,21 @@ def _pub(col: str = "publication_num") -> F.Column:
     return F.trim(F.col(col)).alias("publication_num")
 
 
+def one_fee_per_right(fees: DataFrame) -> DataFrame:
+    """(right_id, total_fee): fails when a right has several fee rows, which would multiply its payments."""
+    several = F.raise_error(F.concat(F.lit("several fee rows for right "), F.col("right_id").cast("string")))
+    return (fees.where(F.col("right_id").isNotNull()).groupBy("right_id")
+            .agg(F.max("total_fee").alias("_fee"), F.count(F.lit(1)).alias("_rows"))
+            .select("right_id", F.when(F.col("_rows") == 1, F.col("_fee")).otherwise(several.cast(MONEY))
+                    .alias("total_fee")))
+
+
 def renewals_new(src: SourceTables) -> DataFrame:
     """Renewal payments recorded as service requests in the new system."""
     i = src.incident.alias("i")
     sr = src.servicerequest.where(F.col("type_name") == SERVICE_RENEWAL).alias("sr")
     r = src.right.alias("r")
-    fee = src.fees.select("right_id", "total_fee").alias("f")
+    fee = one_fee_per_right(src.fees).alias("f")
     year = F.coalesce(
         F.col("sr.renewal_year"),
         F.col("r.renewal_year"),
@@ -183,7 +192,7 @@ def lapses_legacy(src: SourceTables, start: dt.date, end: dt.date, ep_prefix: st
     s = (src.standing
          .where(F.col("date_not_in_force").isNotNull()
                 & F.col("reason_not_in_force").isin(*LEGACY_LAPSE_REASONS)
-                & F.col("publication_num").startswith(ep_prefix))
+                & F.trim("publication_num").startswith(ep_prefix))
          .alias("s"))
     h = src.reghist.where(_between("reg_date", start, end)).alias("h")
     reason = F.coalesce(*[F.when(F.col("s.reason_not_in_force") == code, F.lit(text))
@@ -208,7 +217,7 @@ def lapses_new(src: SourceTables, start: dt.date, end: dt.date, ep_prefix: str =
     cc = src.casecategory.where(F.col("case_category").isin(*LAPSE_CATEGORIES)).alias("cc")
     re_ = src.registerevent.where(
         _between("event_date", start, end) & (F.col("register_indicator") == 1)).alias("re")
-    r = src.register_right.where(F.col("publication_num").startswith(ep_prefix)).alias("r")
+    r = src.register_right.where(F.trim("publication_num").startswith(ep_prefix)).alias("r")
     t = src.terminationreason.alias("t")
     return (
         c.join(cc, F.col("c.case_category_id") == F.col("cc.case_category_id"), "inner")
@@ -230,7 +239,7 @@ def incident_join_chain(src: SourceTables) -> DataFrame:
     i = src.incident.alias("i")
     sr = src.servicerequest.alias("sr")
     r = src.right.alias("r")
-    fee = src.fees.select("right_id", "total_fee").alias("f")
+    fee = one_fee_per_right(src.fees).alias("f")
     return (
         i.join(sr, F.col("i.servicerequest_id") == F.col("sr.id"), "left")
         .join(r, F.col("i.right_id") == F.col("r.right_id"), "left")

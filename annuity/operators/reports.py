@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 from decimal import Decimal
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from annuity.schemas import MONEY_SUM
+from annuity.schemas import MONEY_SUM, PROCESSED_YEAR
 
 # Report headings and labels.
 MONTHLY_REPORT_HEADINGS = {
@@ -31,14 +32,23 @@ QUARTER_TOTAL_LABEL = "EPO Total"
 
 
 def in_period(df: DataFrame, start: dt.date, end: dt.date, ep_prefix: str = "EP") -> DataFrame:
-    """Rows processed within [start, end] (whole days) for EP publications."""
-    return df.where(F.col("date_processed").between(F.lit(start), F.lit(end))
+    """Rows processed within [start, end] (whole days) for EP publications.
+
+    Stored history is partitioned by year of processing; there the years of
+    the period prune partitions.
+    """
+    rows = df.where(F.col("date_processed").between(F.lit(start), F.lit(end))
                     & F.col("publication_num").startswith(ep_prefix))
+    return rows.where(F.col(PROCESSED_YEAR).between(start.year, end.year)) if PROCESSED_YEAR in df.columns else rows
+
+
+def is_cross_month() -> F.Column:
+    """Filed in one calendar month and processed in another."""
+    return F.date_format("date_filed", "yyyy-MM") != F.date_format("date_processed", "yyyy-MM")
 
 
 def cross_month(df: DataFrame) -> DataFrame:
-    """Payments filed in one calendar month and processed in another."""
-    return df.where(F.date_format("date_filed", "yyyy-MM") != F.date_format("date_processed", "yyyy-MM"))
+    return df.where(is_cross_month())
 
 
 def _sum(col: str) -> F.Column:
@@ -60,10 +70,7 @@ def totals_table(totals: DataFrame) -> DataFrame:
             .withColumn("Amount", F.format_number("Amount", 2)))
 
 
-MONTHLY_REPORT_COLUMNS = [
-    "publication_num", "renewal_due_date", "renewal_year", "lor_endorsement", "renewal_fee",
-    "renewal_fee_epo", "renewal_fee_year3", "renewal_fee_year4", "total_epo_amount", "source",
-]
+MONTHLY_REPORT_COLUMNS = [*MONTHLY_REPORT_HEADINGS, "source"]
 
 
 def monthly_report(split: DataFrame) -> DataFrame:
@@ -89,15 +96,25 @@ def monthly_totals(split: DataFrame) -> DataFrame:
     )
 
 
+# Columns of the status report, and the column of each kind of event that fills them (null where none does).
+STATUS_SCHEMA = {
+    "publication_num": "string", "filing_date": "date", "date_processed": "date", "type": "string",
+    "Addition_Deletion": "string", "from_year": "int", "to_year": "int",
+}
+STATUS_OF_LAPSE = {"type": "lapsed_reason"}
+STATUS_OF_RESTORATION = {"type": "type_identifier"}
+STATUS_OF_LOR = {"type": "type_identifier", "Addition_Deletion": "Addition_Deletion",
+                 "from_year": "first_reduced_year", "to_year": "last_reduced_year"}
+STATUS_COMMON = {c: c for c in ("publication_num", "filing_date", "date_processed")}
+
+
+def _status_rows(df: DataFrame, filled_by: dict[str, str]) -> DataFrame:
+    source = STATUS_COMMON | filled_by
+    return df.select(*[(F.col(source[c]) if c in source else F.lit(None)).cast(kind).alias(c)
+                       for c, kind in STATUS_SCHEMA.items()])
+
+
 def status_report(lapses: DataFrame, restorations: DataFrame, lor_ranges: DataFrame) -> DataFrame:
     """Lapses, restorations and licence-of-right changes of the period in one table."""
-    lapsed = lapses.select("publication_num", "filing_date", "date_processed",
-                           F.col("lapsed_reason").alias("type"))
-    restored = restorations.select("publication_num", "filing_date", "date_processed",
-                                   F.col("type_identifier").alias("type"))
-    lor = lor_ranges.select("publication_num", "filing_date", "Addition_Deletion",
-                            F.col("first_reduced_year").alias("from_year"),
-                            F.col("last_reduced_year").alias("to_year"),
-                            "date_processed", F.col("type_identifier").alias("type"))
-    return (lapsed.unionByName(restored, allowMissingColumns=True)
-            .unionByName(lor, allowMissingColumns=True))
+    kinds = ((lapses, STATUS_OF_LAPSE), (restorations, STATUS_OF_RESTORATION), (lor_ranges, STATUS_OF_LOR))
+    return reduce(DataFrame.unionByName, [_status_rows(df, filled_by) for df, filled_by in kinds])

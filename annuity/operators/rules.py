@@ -17,13 +17,29 @@ LAST_REDUCED_YEAR = 20
 GRACE_MONTHS = 3
 
 
-def renewal_due_dates(df: DataFrame) -> DataFrame:
+def multiple_payment_groups(payments: DataFrame, among: DataFrame | None = None) -> DataFrame:
+    """(application_num, date_filed) groups holding more than one payment.
+
+    With ``among`` only the groups that occur in it are counted, over all of ``payments``.
+    """
+    keys = ["application_num", "date_filed"]
+    filed = payments.where(F.col("date_filed").isNotNull()).select(*keys)
+    if among is not None:
+        wanted = among.select(*[F.col(k).alias(f"_{k}") for k in keys]).distinct()
+        filed = filed.join(wanted, F.col("application_num").eqNullSafe(F.col("_application_num"))
+                           & (F.col("date_filed") == F.col("_date_filed")), "left_semi")
+    return (filed.groupBy(*keys).agg(F.count(F.lit(1)).alias("payments"))
+            .where(F.col("payments") > 1))
+
+
+def renewal_due_dates(df: DataFrame, payments: DataFrame | None = None) -> DataFrame:
     """Due date of the renewal year a payment settles.
 
     due = filing date + (renewal_year - 1) years; when the grant falls within
     the three months up to that date, due = grant + 3 months. When more than
     one row shares (application_num, date_filed), every row of that group moves
-    on by 12 months.
+    on by 12 months. The groups are counted in ``payments`` when ``df`` is only
+    a part of them (a period).
 
     The group size comes from an aggregate joined back rather than a window:
     the aggregate combines map-side, and the join back can be split by adaptive
@@ -34,10 +50,9 @@ def renewal_due_dates(df: DataFrame) -> DataFrame:
     grant = F.col("grant_date")
     due = F.when((grant >= F.add_months(due, -GRACE_MONTHS)) & (grant <= due),
                  F.add_months(grant, GRACE_MONTHS)).otherwise(due)
-    groups = (df.where(F.col("date_filed").isNotNull())
-              .groupBy(F.col("application_num").alias("_app"), F.col("date_filed").alias("_filed"))
-              .agg(F.count(F.lit(1)).alias("_n"))
-              .where(F.col("_n") > 1))
+    counted = multiple_payment_groups(df) if payments is None else multiple_payment_groups(payments, df)
+    groups = counted.select(F.col("application_num").alias("_app"), F.col("date_filed").alias("_filed"),
+                            F.col("payments").alias("_n"))
     joined = df.join(
         groups,
         F.col("application_num").eqNullSafe(F.col("_app")) & (F.col("date_filed") == F.col("_filed")),
@@ -48,14 +63,6 @@ def renewal_due_dates(df: DataFrame) -> DataFrame:
         F.when(F.col("_n").isNotNull(), F.add_months(due, 12)).otherwise(due).alias("renewal_due_date"))
 
 
-def multiple_payment_groups(df: DataFrame) -> DataFrame:
-    """(application_num, date_filed) groups holding more than one payment."""
-    return (df.where(F.col("date_filed").isNotNull())
-            .groupBy("application_num", "date_filed")
-            .agg(F.count(F.lit(1)).alias("payments"))
-            .where(F.col("payments") > 1))
-
-
 def lor_pivot(lor: DataFrame) -> DataFrame:
     """Latest entry (A) and cancellation (D) date per application.
 
@@ -81,61 +88,71 @@ def lor_endorsement(renewals_due: DataFrame, lor: DataFrame) -> DataFrame:
         F.when(endorsed, F.lit("YES")).otherwise(F.lit("NO")).alias("lor_endorsement"))
 
 
+NO_ENTRY, NO_DATES = "cancellation without entry", "entry without dates"
+
+
 def lor_year_ranges(lor: DataFrame, renewals: DataFrame, keep_unmatched: bool = False) -> DataFrame:
     """First and last renewal years reduced by each licence-of-right event.
 
     Each event gets its ordinal year (year processed - filing year + 1) and
-    that year's due date (``renewal_due_dates``). The comparison date is the
-    earlier of the due date and the first renewal payment processed for that
-    (application, year); an event on or before it is "on time".
+    that year's due date (``renewal_due_dates``). It is "on time" against a
+    renewal payment of that (application, year) when it was processed no later
+    than the earlier of the due date and the payment. Payments may disagree,
+    so an event has one row per outcome. The earliest and the latest payment
+    show every outcome there is: one row per key, so no event is multiplied
+    by its payments.
 
     An entry (A) reduces from its year (the next year when late) to year 20.
-    A cancellation (D) closes the range opened by the application's earliest
-    entry: it keeps that first year and ends the year before its own year
-    when on time, else at its own year. Entries are aggregated to one first
-    year per application before the join, so no application pairs every
-    entry with every cancellation, and the payment lookup is one row per key,
-    so no event is multiplied. Rows whose first year is missing (a
-    cancellation with no entry) or beyond 20 are dropped unless
-    ``keep_unmatched``.
+    A cancellation (D) closes every range opened for the application: one row
+    per first year that its entries have, ending the year before its own when
+    on time, else at its own year. First years are made distinct before the
+    join, so an application pairs with at most as many as there are years.
+    Rows are distinct.
+
+    Rows whose first year is beyond 20 are dropped, as are those without one
+    unless ``keep_unmatched``, which adds ``gap``: why there is none.
     """
     year = F.col("renewal_year")
     staged = renewal_due_dates(lor.withColumn(
         "renewal_year", (F.year("date_processed") - (F.year("filing_date") - 1)).cast("int")))
     paid = (renewals.groupBy("application_num", "renewal_year")
-            .agg(F.min("date_processed").alias("_paid")))
+            .agg(F.min("date_processed").alias("_first_paid"), F.max("date_processed").alias("_last_paid")))
+    on_time = [F.coalesce(F.col("date_processed") <= F.least(F.col("renewal_due_date"), F.col(c)), F.lit(False))
+               for c in ("_first_paid", "_last_paid")]
     staged = staged.join(paid, ["application_num", "renewal_year"], "left").withColumn(
-        "_on_time", F.col("date_processed") <= F.least(F.col("renewal_due_date"), F.col("_paid")))
+        "_on_time", F.explode(F.array_distinct(F.array(*on_time))))
     own_first = F.when(F.col("_on_time"), year).otherwise(year + 1)
     entry = F.col("Addition_Deletion") == "A"
-    opened = (staged.where(entry).groupBy(F.col("application_num").alias("_app"))
-              .agg(F.min(own_first).alias("_opened")))
-    out = staged.join(opened, F.col("application_num") == F.col("_app"), "left").select(
-        *[c for c in lor.columns],
-        F.when(entry, own_first).otherwise(F.col("_opened")).alias("first_reduced_year"),
+    opened = staged.where(entry).select(
+        F.col("application_num").alias("_app"), own_first.alias("_opened")).distinct()
+    first = F.when(entry, own_first).otherwise(F.col("_opened"))
+    out = staged.join(opened, (F.col("application_num") == F.col("_app")) & ~entry, "left").select(
+        *lor.columns,
+        first.alias("first_reduced_year"),
         F.when(entry, F.lit(LAST_REDUCED_YEAR))
-        .otherwise(F.when(F.col("_on_time"), year - 1).otherwise(year)).alias("last_reduced_year"))
-    return out if keep_unmatched else out.where(F.col("first_reduced_year") <= LAST_REDUCED_YEAR)
+        .otherwise(F.when(F.col("_on_time"), year - 1).otherwise(year)).alias("last_reduced_year"),
+        F.when(first.isNull(), F.when(~entry & F.col("_app").isNull(), NO_ENTRY).otherwise(NO_DATES)).alias("gap"),
+    ).distinct()
+    kept = F.col("first_reduced_year") <= LAST_REDUCED_YEAR
+    return out.where(kept | F.col("gap").isNotNull()) if keep_unmatched else out.where(kept).drop("gap")
 
 
 def minimum_fee_table(fee_rows: DataFrame) -> DataFrame:
-    """One row per year: the year 3 and year 4 minimum fees in force that year."""
+    """One row per year: the year 3 and year 4 minimum fees in force that year.
+
+    Fails when a year holds two different amounts for one fee year.
+    """
     fy = F.col("minimum_fee_year").cast("int")
     amount = F.col("minimum_fee_amount").cast(MONEY)
+    low_high = [f(F.when(F.col("fy") == y, F.col("amt"))).alias(f"_{name}{y}")
+                for y in SHARED_FEE_YEARS for name, f in (("low", F.min), ("high", F.max))]
+    two = F.raise_error(F.concat(F.lit("two minimum fees for "), F.col("year_set").cast("string"))).cast(MONEY)
     return (fee_rows
             .select(F.col("year_set").cast("int").alias("year_set"), fy.alias("fy"), amount.alias("amt"))
             .where(F.col("fy").isin(*SHARED_FEE_YEARS))
-            .groupBy("year_set")
-            .agg(*[F.max(F.when(F.col("fy") == y, F.col("amt"))).alias(f"fee{y}") for y in SHARED_FEE_YEARS]))
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only after checking it holds at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows; a larger table is left to a
-    shuffle join.
-    """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+            .groupBy("year_set").agg(*low_high)
+            .select("year_set", *[F.when(F.col(f"_low{y}") < F.col(f"_high{y}"), two)
+                                  .otherwise(F.col(f"_high{y}")).alias(f"fee{y}") for y in SHARED_FEE_YEARS]))
 
 
 def fee_splits(renewals: DataFrame, fees: DataFrame, pct_split: int,
@@ -148,7 +165,8 @@ def fee_splits(renewals: DataFrame, fees: DataFrame, pct_split: int,
     year(due) - (5 - y); other renewals owe 0. A missing minimum fee stays
     null. share = round(fee * pct / 100, 2);
     total = round(share + fee3 + fee4 + interest3 + interest4, 2).
-    ``fees`` is ``minimum_fee_table`` output (broadcast when small).
+    ``fees`` is ``minimum_fee_table`` output; how it is joined is left to Spark's size
+    estimates and adaptive execution.
     """
     due_year = F.year("renewal_due_date")
     out = renewals

@@ -1,10 +1,10 @@
 """The settlement run: history, reports and (quarterly) the exchange file.
 
-Jobs triggered (quarterly): the minimum-fee size check, the history write,
-the two reports, the exchange file and the rejects table. Counts for the run
-log come from ``observe`` on those writes, not from extra count jobs.
+Actions (quarterly): the history write, the two reports, the exchange file and
+the rejects table. Counts for the run log come from ``observe`` on those
+writes, not from extra count jobs.
 
-The history table is written first and read back (one partition per kind) for
+The history table is written first and read back (by kind and year) for
 the period outputs, so they do not repeat the extracts and the merge, and
 their lineage starts at a stored table. Small period frames used by several
 outputs are persisted.
@@ -22,15 +22,22 @@ from pyspark.sql import functions as F
 
 from annuity.config import RunConfig
 from annuity.operators import exchange
-from annuity.operators.reports import MONTHLY_REPORT_HEADINGS
+from annuity.operators.reports import MONTHLY_REPORT_HEADINGS, is_cross_month
 from annuity.plans.pipeline import Pipeline
-from annuity.schemas import EVENT_COLUMNS, HISTORY_COLUMNS, KIND_LOR, KIND_RENEWAL, KIND_RESTORATION
+from annuity.schemas import EVENT_COLUMNS, HISTORY_COLUMNS, KIND_LOR, KIND_RENEWAL, KIND_RESTORATION, PROCESSED_YEAR
 from annuity.sources import sinks
 from annuity.sources.tables import SourceTables
 
 
 @dataclass
 class RunResult:
+    """Outputs by name, counts, and how the run ended.
+
+    ``status``: "ok"; "rejects" when rows were rejected; "failed" when the
+    exchange file lacks its header or trailer.
+    """
+
+    status: str = "ok"
     outputs: dict[str, str] = field(default_factory=dict)
     metrics: dict[str, object] = field(default_factory=dict)
 
@@ -71,17 +78,16 @@ def run(spark: SparkSession, src: SourceTables, cfg: RunConfig) -> RunResult:
 
     # 2. Downstream stages read the stored history instead of re-extracting.
     stored = spark.read.table(cfg.history_table)
-    p.renewals = stored.where(kind == KIND_RENEWAL).select(*HISTORY_COLUMNS)
-    p.restorations = stored.where(kind == KIND_RESTORATION).select(*EVENT_COLUMNS, "source", "type_identifier")
+    p.renewals = stored.where(kind == KIND_RENEWAL).select(*HISTORY_COLUMNS, PROCESSED_YEAR)
+    p.restorations = stored.where(kind == KIND_RESTORATION).select(
+        *EVENT_COLUMNS, "source", "type_identifier", PROCESSED_YEAR)
 
     obs_split = Observation("period")
-    any_null = F.greatest(*[F.col(c).isNull().cast("int") for c in exchange.RENEWAL_REQUIRED]) == 1
     split = p.renewals_split.observe(
         obs_split,
         F.count(F.lit(1)).alias("renewals_in_period"),
-        _count_if(F.date_format("date_filed", "yyyy-MM") != F.date_format("date_processed", "yyyy-MM"))
-        .alias("cross_month_renewals"),
-        _count_if(any_null).alias("renewals_with_missing_fields"),
+        _count_if(is_cross_month()).alias("cross_month_renewals"),
+        _count_if(exchange.missing_reason(exchange.RENEWAL_REQUIRED).isNotNull()).alias("renewals_with_missing_fields"),
     ).persist(StorageLevel.MEMORY_AND_DISK)
     p.renewals_split = split
 
@@ -99,7 +105,7 @@ def run(spark: SparkSession, src: SourceTables, cfg: RunConfig) -> RunResult:
     else:
         # Checked rows feed both the exchange file and the rejects table.
         kept = []
-        for name in ["lapses", "lor_period", "renewal_rows", "lapse_rows", "restoration_rows", "lor_rows"]:
+        for name in ["lapses", "lor_ranges_all", "renewal_rows", "lapse_rows", "restoration_rows", "lor_rows"]:
             df = getattr(p, name).persist(StorageLevel.MEMORY_AND_DISK)
             setattr(p, name, df)
             kept.append(df)
@@ -130,11 +136,20 @@ def run(spark: SparkSession, src: SourceTables, cfg: RunConfig) -> RunResult:
                 p.exchange_lines, sinks.exchange_path(cfg), cfg.output_files, observe=line_metrics)
         result.metrics.update(obs_lines.get)
         obs_rejects = Observation("rejects")
-        rejects = p.rejects.observe(obs_rejects, F.count(F.lit(1)).alias("rejects"))
+        incomplete = F.col("reason").startswith("missing ") | F.col("reason").isin(*exchange.MISSING_REASONS.values())
+        rejects = p.rejects.observe(
+            obs_rejects, F.count(F.lit(1)).alias("rejects"),
+            _count_if(F.col("type").isin(exchange.TYPE_HEADER, exchange.TYPE_TRAILER)).alias("rejected_control_lines"),
+            *[_count_if((F.col("type") == t) & incomplete).alias(f"null_rows_{t}") for t in exchange.DETAIL_TYPES],
+            *[F.sum(c).alias(f"rejected_{c}") for c in exchange.REJECT_AMOUNTS])
         with _timed(result, "rejects"):
             result.outputs["rejects"] = sinks.write_table(
                 rejects, f"{cfg.out_root.rstrip('/')}/rejects/{cfg.run_stamp}")
         result.metrics.update(obs_rejects.get)
+        if result.metrics["rejected_control_lines"]:
+            result.status = "failed"
+        elif result.metrics["rejects"]:
+            result.status = "rejects"
         for df in kept:
             df.unpersist()
     split.unpersist()

@@ -1,9 +1,7 @@
 """Every stage of the settlement run, wired once for a set of sources and a config.
 
 Attributes are lazy DataFrames built on first access, so a query touching one
-stage plans only what it needs. Nothing here triggers a job except
-``fee_table``, which checks the size of the minimum-fee table before
-broadcasting it.
+stage plans only what it needs. Nothing here triggers a job.
 """
 
 from __future__ import annotations
@@ -94,12 +92,11 @@ class Pipeline:
 
     @cached_property
     def lor_ranges(self) -> DataFrame:
-        return self.lor_ranges_all.where(F.col("first_reduced_year") <= rules.LAST_REDUCED_YEAR)
+        return self.lor_ranges_all.where(F.col("gap").isNull()).drop("gap")
 
     @cached_property
     def fee_table(self) -> DataFrame:
-        table = rules.minimum_fee_table(self.src.minimum_fee)
-        return rules.broadcast_if_small(table, self.cfg.fee_broadcast_max_rows)
+        return rules.minimum_fee_table(self.src.minimum_fee)
 
     def split(self, renewals: DataFrame) -> DataFrame:
         c = self.cfg
@@ -111,7 +108,9 @@ class Pipeline:
 
     @cached_property
     def renewals_period(self) -> DataFrame:
-        return self._in_period(self.renewals_enriched)
+        """Period renewals; only the counts of payments per day look beyond the period."""
+        due = rules.renewal_due_dates(self._in_period(self.renewals), self.renewals)
+        return rules.lor_endorsement(due, self.lor)
 
     @cached_property
     def restorations_period(self) -> DataFrame:
@@ -123,7 +122,7 @@ class Pipeline:
 
     @cached_property
     def lor_unmatched_period(self) -> DataFrame:
-        return self._in_period(self.lor_ranges_all.where(F.col("first_reduced_year").isNull()))
+        return self._in_period(self.lor_ranges_all.where(F.col("gap").isNotNull()))
 
     @cached_property
     def renewals_split(self) -> DataFrame:

@@ -9,16 +9,19 @@ month closed by the same run date.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from annuity.config import RunConfig
 from annuity.functions import money_parts
-from annuity.operators import exchange, extracts, merge, rules
+from annuity.operators import exchange, extracts, merge, reports, rules
 from annuity.plans.pipeline import Pipeline
-from annuity.schemas import EVENT_COLUMNS, HISTORY_COLUMNS, LAPSE_COLUMNS, LOR_COLUMNS
+from annuity.schemas import EVENT_COLUMNS, HISTORY_COLUMNS, LAPSE_COLUMNS, LOR_COLUMNS, SOURCE_NEW
+from annuity.sources.tables import read_minimum_fees
 from annuity.sources.testdata import fixture_tables
 
 TEST_RUN_DATE = dt.date(2001, 1, 3)
@@ -82,33 +85,36 @@ def _minimum_fee_lookup(p: Pipeline) -> DataFrame:
 
 
 def _null_rows(p: Pipeline) -> DataFrame:
-    missing = F.coalesce(*[F.when(F.col(c).isNull(), F.lit(f"missing {c}"))
-                           for c in exchange.RENEWAL_REQUIRED])
-    return (p.renewals_split.withColumn("reason", missing).where(F.col("reason").isNotNull())
+    return (p.renewals_split.withColumn("reason", exchange.missing_reason(exchange.RENEWAL_REQUIRED))
+            .where(F.col("reason").isNotNull())
             .select("application_num", "publication_num", "renewal_year", "date_filed", "reason"))
 
 
 def _audit_counts(p: Pipeline) -> DataFrame:
-    """Run counts as (metric, value) rows, computed in one job."""
-    parts = {
-        "renewals_new": p.renewals_new,
-        "renewals_legacy": p.renewals_legacy,
-        "renewals_merged": p.renewals,
-        "duplicate_renewal_keys": merge.overlap_keys(p.renewals_new, p.renewals_legacy),
-        "restorations": p.restorations,
-        "licences_of_right": p.lor,
-        "lapses": p.lapses,
-        "restorations_in_period": p.restorations_period,
-        "licences_of_right_in_period": p.lor_period,
-        "renewals_in_period": p.renewals_period,
-        "cross_month_renewals": p.renewals_period.where(
-            F.date_format("date_filed", "yyyy-MM") != F.date_format("date_processed", "yyyy-MM")),
-    }
-    out = None
-    for name, df in parts.items():
-        one = df.agg(F.count(F.lit(1)).alias("value")).select(F.lit(name).alias("metric"), "value")
-        out = one if out is None else out.unionByName(one)
-    return out
+    """Run counts as (metric, value) rows: one pass over each merged table, conditional counts within it."""
+    every = F.lit(True)
+    period = F.col("date_processed").between(p.cfg.start, p.cfg.end) & F.col("publication_num").startswith(p.cfg.ep_prefix)
+    passes = [
+        (p.renewals, {"renewals_new": F.col("source") == SOURCE_NEW, "renewals_merged": every,
+                      "renewals_in_period": period, "cross_month_renewals": period & reports.is_cross_month()}),
+        (p.renewals_legacy, {"renewals_legacy": every}),
+        (merge.overlap_keys(p.renewals_new, p.renewals_legacy), {"duplicate_renewal_keys": every}),
+        (p.restorations, {"restorations": every, "restorations_in_period": period}),
+        (p.lor, {"licences_of_right": every}),
+        (p.lapses, {"lapses": every}),
+        (p.lor_period, {"licences_of_right_in_period": every}),
+    ]
+    counted = [df.agg(*[F.count(F.when(on, 1)).alias(name) for name, on in counts.items()])
+               .unpivot([], list(counts), "metric", "value") for df, counts in passes]
+    return reduce(DataFrame.unionByName, counted)
+
+
+def _minimum_fee_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The minimum-fee CSV as written and read back with its header."""
+    folder = (spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+    path = f"{folder}/minimum-fee-{uuid.uuid4().hex}"
+    fixture_tables(spark, sf_dir).minimum_fee.write.option("header", True).csv(path)
+    return read_minimum_fees(spark, path)
 
 
 def _records(rows: str, record_type: int) -> Callable[[Pipeline], DataFrame]:
@@ -116,7 +122,8 @@ def _records(rows: str, record_type: int) -> Callable[[Pipeline], DataFrame]:
 
 
 QUERIES: dict[str, Query] = {
-    # extracts
+    # sources and extracts
+    "minimum_fee_csv": _minimum_fee_csv,
     "extract_renewals_new": _q(lambda p: p.renewals_new.select(*NEW_RENEWAL_COLUMNS)),
     "extract_renewals_legacy": _q(lambda p: p.renewals_legacy.select(*LEGACY_RENEWAL_COLUMNS)),
     "extract_restorations_legacy": _q(lambda p: p.restorations_legacy.select(*EVENT_COLUMNS)),
@@ -145,8 +152,7 @@ QUERIES: dict[str, Query] = {
     "fee_splits": _q(lambda p: p.renewals_split.select(*SPLIT_COLUMNS)),
     # reports
     "period_filter": _q(lambda p: p.renewals_period.select(*PERIOD_COLUMNS)),
-    "cross_month": _q(lambda p: p.renewals_period.where(
-        F.date_format("date_filed", "yyyy-MM") != F.date_format("date_processed", "yyyy-MM"))
+    "cross_month": _q(lambda p: reports.cross_month(p.renewals_period)
         .select("application_num", "publication_num", "date_filed", "date_processed", "source")),
     "audit_counts": _q(_audit_counts),
     "grand_totals": _q(lambda p: p.totals),

@@ -37,9 +37,28 @@ LOR_COLUMNS = EVENT_COLUMNS + ["Addition_Deletion"]
 
 LAPSE_COLUMNS = ["publication_num", "filing_date", "lapsed_reason", "lapsed_date", "date_processed"]
 
+# Partition column of the stored history.
+PROCESSED_YEAR = "processed_year"
+
 # Merged history: every renewal column plus the system tag and event kind.
 HISTORY_COLUMNS = RENEWAL_COLUMNS + ["source", "type_identifier"]
 
+# Types of the canonical source columns that rules compute with. Other columns
+# (keys, names, descriptions) keep the type they are stored with.
+DATE_SOURCE_COLUMNS = {
+    "filing_date", "grant_date", "renewal_date", "restore_date", "restore_allowed_date", "date_of_lor",
+    "date_lor_cancel", "date_not_in_force", "date_filed", "date_actioned", "event_date", "reg_date",
+    "date_completed", "next_renewal_date", "termination_date", "restoration_date", "case_create_date",
+    "lor_granted_date", "lor_cancelled_date",
+}
+INT_SOURCE_COLUMNS = {
+    "form_type_num", "last_renewal_year", "extension_months", "renewal_year", "case_category_id",
+    "register_indicator",
+}
+MONEY_SOURCE_COLUMNS = {"fee_taken", "extension_fee_taken", "prescribed_uk_fee", "total_fee"}
+# Codes written with leading zeros, and their width.
+CODE_SOURCE_COLUMNS = {"reason_not_in_force": 2}
+
 MINIMUM_FEE_SCHEMA = T.StructType(
     [
         T.StructField("year_set", T.StringType()),

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from annuity.config import RunConfig
+from annuity.schemas import PROCESSED_YEAR
 
 # Output folder and file names under the run's output root.
 REPORT_DIR = "ipo"
@@ -29,18 +31,21 @@ def history_path(cfg: RunConfig) -> str:
 
 
 def write_history(spark: SparkSession, history: DataFrame, cfg: RunConfig) -> str:
-    """Overwrite the history table at an external path, partitioned by event kind.
+    """Overwrite the history table at an external path, partitioned by event kind and year of processing.
 
-    Each task writes at most one file per kind, and downstream readers of one
-    kind prune the others. Rows are sorted by processing date within each
-    file, so the row-group statistics let a period filter skip most of a file.
+    Readers of one kind and period prune the rest. Rows are first dealt by
+    partition (adaptive execution splits the large ones and joins the small
+    ones), so there are not as many files as tasks times years, and sorted by
+    processing date, so row-group statistics narrow a period further.
     """
     database = cfg.history_table.split(".")[0] if "." in cfg.history_table else None
     if database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    (history.sortWithinPartitions("type_identifier", "date_processed")
+    by = ["type_identifier", PROCESSED_YEAR]
+    (history.withColumn(PROCESSED_YEAR, F.year("date_processed")).hint("rebalance", *by)
+     .sortWithinPartitions(*by, "date_processed")
      .write.mode("overwrite").format(cfg.table_format)
-     .partitionBy("type_identifier")
+     .partitionBy(*by)
      .option("path", history_path(cfg))
      .saveAsTable(cfg.history_table))
     return cfg.history_table
@@ -48,24 +53,27 @@ def write_history(spark: SparkSession, history: DataFrame, cfg: RunConfig) -> st
 
 def _sorted_output(df: DataFrame, order_by: list[str], files: int | None,
                    observe: tuple | None = None, small: bool = False) -> DataFrame:
-    """Rows in global ``order_by`` order, split into ``files`` contiguous ranges.
-
-    ``orderBy`` range-partitions on the sort key, so every task sorts and
-    writes one contiguous slice, and the part files follow the global order by
-    name. ``files=1`` concatenates the sorted slices in order into one file.
-    ``observe`` = (Observation, *metrics) is attached above the sort: the job
-    that samples the range bounds runs the plan below it, and metrics observed
-    there would be counted twice. ``small`` marks a table whose size is bounded
-    by construction (a few total rows).
+    """Rows in global order, one contiguous range per file; part files follow the order by name.
+
+    Rows are ordered by ``order_by`` and then by all other columns, so rows that tie on
+    ``order_by`` neither sit in one task nor come out in varying order. ``files`` sets the
+    number of ranges; ``files=1``, and ``small`` for a table whose size is
+    bounded by construction, sort in one task. ``observe`` = (Observation,
+    *metrics) is attached above the sort: the job that samples the range
+    bounds runs the plan below it, and metrics observed there would be
+    counted twice.
     """
-    if files == 1 and small:
-        # Bounded by construction: one sorted partition, no job to sample bounds.
-        out = df.repartition(1).sortWithinPartitions(*order_by) if order_by else df.repartition(1)
+    order = [*order_by, *[c for c in df.columns if c not in order_by]]
+    if files == 1 or small:
+        # Small tables are ordered by the given columns alone; without any they keep their order.
+        out = df.repartition(1)
+        keys = order_by if small else order
+        out = out.sortWithinPartitions(*keys) if keys else out
+    elif files:
+        out = df.repartitionByRange(files, *order).sortWithinPartitions(*order)
     else:
-        out = df.orderBy(*order_by) if order_by else df
-    if observe:
-        out = out.observe(*observe)
-    return out.coalesce(files) if files else out
+        out = df.orderBy(*order)
+    return out.observe(*observe) if observe else out
 
 
 def write_csv(df: DataFrame, path: str, order_by: list[str], columns: list[str] | None = None,

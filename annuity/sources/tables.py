@@ -15,7 +15,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annuity.schemas import MINIMUM_FEE_SCHEMA
+from annuity.schemas import (
+    CODE_SOURCE_COLUMNS,
+    DATE_SOURCE_COLUMNS,
+    INT_SOURCE_COLUMNS,
+    MINIMUM_FEE_SCHEMA,
+    MONEY,
+    MONEY_SOURCE_COLUMNS,
+)
 
 CANONICAL = {
     "standing": [
@@ -89,6 +96,29 @@ def read_minimum_fees(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(MINIMUM_FEE_SCHEMA).option("header", True).csv(path)
 
 
+def typed(df: DataFrame) -> DataFrame:
+    """Source columns in the types the rules compute with.
+
+    Systems store days as timestamps (an event timed on the last day of a
+    period still belongs to it), years as text, and codes as numbers that have
+    lost their leading zeros. A column that has its type already is left
+    untouched, so filters on it still reach the scan.
+    """
+    def column(name: str, kind: str):
+        c = F.col(name)
+        if name in DATE_SOURCE_COLUMNS and kind != "date":
+            c = F.to_date(c)
+        elif name in INT_SOURCE_COLUMNS and kind != "int":
+            c = c.cast("int")
+        elif name in MONEY_SOURCE_COLUMNS and kind != MONEY.simpleString():
+            c = c.cast(MONEY)
+        elif name in CODE_SOURCE_COLUMNS and kind != "string":
+            c = F.lpad(c.cast("decimal(20,0)").cast("string"), CODE_SOURCE_COLUMNS[name], "0")
+        return c.alias(name)
+
+    return df.select([column(name, kind) for name, kind in df.dtypes])
+
+
 def _renamed(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
     return df.select([F.col(src).alias(dst) for src, dst in mapping.items()])
 
@@ -144,8 +174,8 @@ def from_catalog(spark: SparkSession, minimum_fee_path: str) -> SourceTables:
         t("crm_ldb.incident").select(
             F.col("incidentid").alias("incident_id"),
             F.col("ipo_servicerequestid").alias("servicerequest_id"),
-            F.to_date("ipo_datefiled").alias("date_filed"),
-            F.to_date("ipo_datecompleted").alias("date_completed")),
+            F.col("ipo_datefiled").alias("date_filed"),
+            F.col("ipo_datecompleted").alias("date_completed")),
         "incident_id", "left")
     servicerequest = _renamed(t("crm_ldb.ipo_servicerequest"), {
         "Id": "id", "ipo_servicerequesttypeidname": "type_name", "ipo_renewalyear": "renewal_year",
@@ -171,7 +201,7 @@ def from_catalog(spark: SparkSession, minimum_fee_path: str) -> SourceTables:
                 "CaseId": "_case", "CaseCategoryId": "case_category_id",
                 "CaseCreateDate": "case_create_date"}), "_case", "left")
             .drop("_case"))
-    return SourceTables(
+    tables = dict(
         **legacy,
         incident=incident,
         servicerequest=servicerequest,
@@ -190,8 +220,9 @@ def from_catalog(spark: SparkSession, minimum_fee_path: str) -> SourceTables:
         registerevent=_renamed(t("mds_ldb.RegisterEvent"), {
             "RightCaseId": "case_id", "EventDate": "event_date",
             "RegisterIndicator": "register_indicator"}),
-        minimum_fee=read_minimum_fees(spark, minimum_fee_path),
-    ).validate()
+    )
+    return SourceTables(**{name: typed(df) for name, df in tables.items()},
+                        minimum_fee=read_minimum_fees(spark, minimum_fee_path)).validate()
 
 
 MINIMUM_FEE_CSV = "minimum_fee.csv"
@@ -204,7 +235,7 @@ def from_storage(spark: SparkSession, root: str, fmt: str = "parquet") -> Source
     is the minimum-fee file with a header row.
     """
     root = root.rstrip("/")
-    tables = {name: spark.read.format(fmt).load(f"{root}/{name}")
+    tables = {name: typed(spark.read.format(fmt).load(f"{root}/{name}"))
               for name in CANONICAL if name != "minimum_fee"}
     return SourceTables(**tables, minimum_fee=read_minimum_fees(spark, f"{root}/{MINIMUM_FEE_CSV}")).validate()
 

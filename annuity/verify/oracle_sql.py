@@ -70,7 +70,17 @@ LOR_REQUIRED = ["publication_num", "filing_date", "date_processed", "Addition_De
 
 
 def missing(cols: list[str]) -> str:
-    return "coalesce(" + ", ".join(f"case when {c} is null then 'missing {c}' end" for c in cols) + ")"
+    reason = {"renewal_fee_year3": "no minimum fee for year 3", "renewal_fee_year4": "no minimum fee for year 4"}
+    return ("coalesce(" + ", ".join(f"case when {c} is null then '{reason.get(c, 'missing ' + c)}' end" for c in cols)
+            + ")")
+
+
+def widths(*fields: tuple[str, str, int]) -> str:
+    """First field whose text does not have its width; dates always have theirs."""
+    fields = (("publication_prefix", "'_' || substring(publication_num, 1, 2) || 'B'", 4),
+              ("publication_number", "'_' || substring(publication_num, 3, 1048576)", 8), *fields)
+    return "coalesce(" + ", ".join(
+        f"case when length({text}) <> {n} then 'width {name}' end" for name, text, n in fields) + ")"
 
 
 def pub_fields(code: int) -> str:
@@ -106,10 +116,6 @@ LOR_LINE = (f"{pub_fields(600)} || (case when Addition_Deletion = 'A' then '_' e
             f"{signed_int('last_reduced_year')} || '50' || repeat('_', 46)")
 
 
-def bad_length(lines: str) -> str:
-    return (f"list_filter(list_transform({lines}, lambda x: length(x)), lambda n: n <> 80)[1]")
-
-
 def due_dates_ctes(prefix: str, source: str) -> list[tuple[str, str]]:
     """Due-date rule as SQL: base date, grace shift, +12 months for groups of payments."""
     d0 = add_months("filing_date", "(renewal_year - 1) * 12")
@@ -358,12 +364,11 @@ def build_ctes(cfg: RunConfig) -> list[tuple[str, str]]:
             select * exclude (_d0, _d1, _same),
                    case when _same > 1 then {add_months('_d1', '12')} else _d1 end as renewal_due_date
             from ld_d1"""),
-        ("paid", """
-            select application_num, renewal_year, min(date_processed) as renewal_date_processed
-            from renewals group by application_num, renewal_year"""),
+        # Every payment of the event's year, each with its own comparison date.
         ("lor_x", """
-            select l.*, least(l.renewal_due_date, p.renewal_date_processed) as cmp
-            from lor_due l left join paid p
+            select distinct l.*, p.date_processed as renewal_date_processed,
+                   least(l.renewal_due_date, p.date_processed) as cmp
+            from lor_due l left join renewals p
               on l.application_num = p.application_num and l.renewal_year = p.renewal_year"""),
         ("lor_add", """
             select application_num, publication_num, filing_date, grant_date, date_filed, date_processed,
@@ -371,17 +376,18 @@ def build_ctes(cfg: RunConfig) -> list[tuple[str, str]]:
                    case when date_processed <= cmp then renewal_year else renewal_year + 1 end as first_reduced_year,
                    20 as last_reduced_year
             from lor_x where Addition_Deletion = 'A'"""),
-        ("lor_opened", """
-            select application_num, min(first_reduced_year) as opened from lor_add group by application_num"""),
-        ("lor_ranges_all", """
-            select * from lor_add
-            union all
-            select x.application_num, x.publication_num, x.filing_date, x.grant_date, x.date_filed,
-                   x.date_processed, x.Addition_Deletion, x.source, x.type_identifier, o.opened,
-                   case when x.date_processed <= x.cmp then x.renewal_year - 1 else x.renewal_year end
-            from lor_x x left join lor_opened o on x.application_num = o.application_num
+        # Every first year of the application's entries.
+        ("lor_del", """
+            select distinct x.application_num, x.publication_num, x.filing_date, x.grant_date, x.date_filed,
+                   x.date_processed, x.Addition_Deletion, x.source, x.type_identifier, a.first_reduced_year,
+                   case when x.date_processed <= x.cmp then x.renewal_year - 1 else x.renewal_year end as last_reduced_year,
+                   a.application_num is null as no_entry
+            from lor_x x left join lor_add a on x.application_num = a.application_num
             where x.Addition_Deletion = 'D'"""),
-        ("lor_ranges", "select * from lor_ranges_all where first_reduced_year <= 20"),
+        ("lor_ranges_all", """
+            select distinct * from (
+                select *, false as no_entry from lor_add union all select * from lor_del) t"""),
+        ("lor_ranges", "select * exclude (no_entry) from lor_ranges_all where first_reduced_year <= 20"),
         ("fee_table", """
             select cast(year_set as int) as year_set,
                    max(case when cast(minimum_fee_year as int) = 3 then cast(minimum_fee_amount as decimal(12, 2)) end) as fee3,
@@ -426,7 +432,7 @@ def build_ctes(cfg: RunConfig) -> list[tuple[str, str]]:
                         case when renewal_fee_year4 >= 1 then {year_line(4)} end,
                         {main_line(pct)}], lambda x: x is not null) end as _lines
             from (select *, {missing(RENEWAL_REQUIRED)} as _missing
-                  from (select distinct {required} from split) t) m"""),
+                  from (select {required}, count(*) as copies from split group by all) t) m"""),
         ("lapse_rows", f"""
             select *, case when _missing is null then [{LAPSE_LINE}] end as _lines
             from (select *, {missing(LAPSE_REQUIRED)} as _missing from lapses
@@ -438,10 +444,20 @@ def build_ctes(cfg: RunConfig) -> list[tuple[str, str]]:
             select *, case when _missing is null then [{LOR_LINE}] end as _lines
             from (select *, {missing(LOR_REQUIRED)} as _missing from lor_period) m"""),
     ]
-    for name in ["ren_rows", "lapse_rows", "restoration_rows", "lor_rows"]:
-        ctes.append((f"{name}_checked", f"""
-            select *, coalesce(_missing, 'length ' || cast({bad_length('_lines')} as varchar)) as _reason
-            from {name}"""))
+    wrong = {
+        "ren_rows": widths(
+            ("renewal_fee_year3_whole", f"case when renewal_fee_year3 >= 1 then {money_whole('renewal_fee_year3')} end", 8),
+            ("renewal_fee_year4_whole", f"case when renewal_fee_year4 >= 1 then {money_whole('renewal_fee_year4')} end", 8),
+            ("renewal_year", signed_int("renewal_year"), 2), ("renewal_fee_whole", money_whole("renewal_fee"), 8),
+            ("renewal_fee_epo_whole", money_whole("renewal_fee_epo"), 8)),
+        "lapse_rows": "coalesce(case when lapsed_reason not in ('Ceased', 'Surrendered', 'Revoked') "
+                      f"then 'unknown lapse reason' end, {widths()})",
+        "restoration_rows": widths(),
+        "lor_rows": widths(("first_reduced_year", signed_int("first_reduced_year"), 2),
+                           ("last_reduced_year", signed_int("last_reduced_year"), 2)),
+    }
+    for name, first_wrong in wrong.items():
+        ctes.append((f"{name}_checked", f"select *, coalesce(_missing, {first_wrong}) as _reason from {name}"))
     ctes += [
         ("control", f"""
             select 100 as type, '100' || repeat('_', 13) || '{start:%d%m%y}' || '{end:%d%m%y}' || 'GB' || 'GBP'
@@ -484,14 +500,24 @@ def _with(ctes: list[tuple[str, str]], body: str) -> str:
 
 
 def _rejects_body(kind: str, code: int) -> str:
-    return (f"select {code} as type, publication_num, _reason as reason, array_to_string(_lines, '|') as record "
+    none = "cast(null as decimal(18, 2))"
+    return (f"select {code} as type, publication_num, _reason as reason, array_to_string(_lines, '|') as record, "
+            f"cast(1 as bigint) as payments, {none} as prescribed, {none} as remitted "
             f"from {kind}_checked where _reason is not null")
 
 
+_RENEWAL_REJECTS = """
+    select 200 as type, publication_num, coalesce(_reason, 'duplicate payment') as reason,
+           array_to_string(_lines, '|') as record, n as payments, cast(renewal_fee * n as decimal(18, 2)) as prescribed,
+           cast(total_epo_amount * n as decimal(18, 2)) as remitted
+    from (select *, case when _reason is null then copies - 1 else copies end as n from ren_rows_checked) t where n > 0"""
+
+
 def oracle_queries(cfg: RunConfig, cfg_monthly: RunConfig) -> dict[str, str]:
     q = build_ctes(cfg)
     m = build_ctes(cfg_monthly)
     sel = {
+        "minimum_fee_csv": "select * from v_minimum_fee",
         "extract_renewals_new": "select * from e_renewals_new",
         "extract_renewals_legacy": "select * from e_renewals_legacy",
         "extract_restorations_legacy": "select * from e_restorations_legacy",
@@ -596,11 +622,12 @@ def oracle_queries(cfg: RunConfig, cfg_monthly: RunConfig) -> dict[str, str]:
             from (select type, record from records_all union all select type, record from control) t
             where length(record) = 80""",
         "rejects": " union all ".join([
-            _rejects_body("ren_rows", 200), _rejects_body("lapse_rows", 400),
+            _RENEWAL_REJECTS, _rejects_body("lapse_rows", 400),
             _rejects_body("restoration_rows", 500), _rejects_body("lor_rows", 600),
-            "select 600, publication_num, 'cancellation without entry', cast(null as varchar) from lor_unmatched_period",
-            "select type, cast(null as varchar), 'length ' || cast(length(record) as varchar), record from control "
-            "where length(record) <> 80",
+            "select 600, publication_num, case when no_entry then 'cancellation without entry' else 'entry without dates' "
+            "end, cast(null as varchar), 1, null, null from lor_unmatched_period",
+            "select type, cast(null as varchar), 'length ' || cast(length(record) as varchar), record, null, null, null "
+            "from control where length(record) <> 80",
         ]),
     }
     out = {k: _with(q, v) for k, v in sel.items()}

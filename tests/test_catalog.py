@@ -10,6 +10,16 @@ from annuity.sources.testdata import fixture_tables
 
 
 def _save(df, name, mapping):
+    """Store ``df`` as the systems do: days as timestamps late on the day, codes and years as numbers or text."""
+    for c, kind in df.dtypes:
+        if kind == "date":
+            df = df.withColumn(c, (F.col(c).cast("timestamp") + F.expr("interval 23 hours 15 minutes")))
+        elif c == "reason_not_in_force":
+            df = df.withColumn(c, F.col(c).cast("int"))
+        elif c in ("renewal_year", "last_renewal_year", "register_indicator"):
+            df = df.withColumn(c, F.col(c).cast("string"))
+        elif c in ("fee_taken", "total_fee"):
+            df = df.withColumn(c, F.col(c).cast("double"))
     df.select(*[F.col(canonical).alias(source) for canonical, source in mapping.items()]) \
         .write.mode("overwrite").saveAsTable(name)
 
@@ -69,6 +79,15 @@ def test_catalog_extract_equals_fixture_extract(catalog_sources, extract):
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
+def test_catalog_events_of_the_last_day_stay_in_the_period(catalog_sources):
+    """Stored at 23:15 of the period's last day."""
+    _, catalog = catalog_sources
+    start, end = TEST_CONFIG.period
+    assert dict(catalog.reghist.dtypes)["reg_date"] == "date"
+    assert catalog.registerevent.where(F.col("event_date") == end).count() == catalog.registerevent.where(
+        F.col("event_date").between(end, end)).count()
+
+
 def test_catalog_minimum_fees(catalog_sources):
     fixture, catalog = catalog_sources
     assert sorted(map(tuple, fixture.minimum_fee.collect())) == sorted(map(tuple, catalog.minimum_fee.collect()))

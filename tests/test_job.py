@@ -35,9 +35,30 @@ def test_ordered_parts_concatenate_to_sorted_file(spark, scratch):
     assert len(_part_files(path)) > 1
     got = _text(path, "iso-8859-1").split("\n")[:-1]
     assert got == sorted(r.record for r in lines.collect())
-    one = sinks.write_exchange_file(lines, f"{scratch}/one", files=1)
-    assert len(_part_files(one)) == 1
-    assert _text(one, "iso-8859-1").split("\n")[:-1] == got
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for files in (1, 2, 3, 7):
+            path = sinks.write_exchange_file(lines, f"{scratch}/files{files}", files=files)
+            assert len(_part_files(path)) == files
+            assert _text(path, "iso-8859-1").split("\n")[:-1] == got
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_ties_are_spread_and_ordered(spark, scratch):
+    from annuity.sources import sinks
+    rows = spark.range(0, 4000, 1, 5).select(F.lit("x").alias("type"), (F.col("id") * 7919 % 4000).alias("n"))
+    path = sinks.write_csv(rows, f"{scratch}/ties", ["type"], files=4)
+    parts = [open(f).read().splitlines()[1:] for f in _part_files(path)]
+    assert len(parts) == 4 and all(len(p) > 400 for p in parts)
+    assert [int(x.split(",")[1]) for p in parts for x in p] == list(range(4000))
+
+
+def test_a_lost_trailer_fails_the_run(spark, sf_small, scratch, monkeypatch):
+    from annuity.operators import exchange
+    monkeypatch.setattr(exchange, "TRAILER_REFERENCE", "POA 35/28 TOO LONG")
+    cfg = RunConfig(run_date=dt.date(2001, 1, 3), quarterly=True, out_root=scratch)
+    assert job.run(spark, fixture_tables(spark, sf_small), cfg).status == "failed"
 
 
 def test_quarterly_run(spark, sf_small, scratch):
@@ -62,6 +83,16 @@ def test_quarterly_run(spark, sf_small, scratch):
     assert Decimal(trailer[18:31] + "." + trailer[31:33]) == sums[0]
     assert Decimal(trailer[33:46] + "." + trailer[46:48]) == sums[1]
 
+    # What the period holds is in the file or among the rejects.
+    split = p.renewals_split.agg(F.sum("renewal_fee"), F.sum("total_epo_amount")).collect()[0]
+    for total, accepted_sum, name in zip(split, sums, ("prescribed", "remitted")):
+        assert total == accepted_sum + (result.metrics[f"rejected_{name}"] or 0)
+    assert result.status == "rejects"
+    rejected = spark.read.parquet(result.outputs["rejects"])
+    for t in (200, 400, 500, 600):
+        assert result.metrics[f"null_rows_{t}"] == rejected.where(
+            (F.col("type") == t) & F.col("reason").startswith("missing ")).count()
+
     history = spark.read.table(cfg.history_table)
     assert history.count() == result.metrics["renewals"] + result.metrics["restorations"] + \
         result.metrics["lor_cancellations"]

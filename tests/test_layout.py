@@ -41,7 +41,7 @@ def test_renewal_lines(spark):
          money("0.50"), D(2004, 5, 15)),
     ])
     rows = exchange.renewal_rows(split, CFG)
-    lines = [r.record for r in exchange.records(rows, 200).collect()]
+    lines = sorted(r.record for r in exchange.records(rows, 200).collect())
     base = "200_EPB_1234567C010600010604"
     assert lines == [
         base + "__0300__0000000000" + "00000040" + "00" + "0000" + "150504" + "0000000000____",
@@ -49,7 +49,39 @@ def test_renewal_lines(spark):
     ]
     assert all(len(x) == 80 for x in lines)
     rejected = {r.publication_num: r.reason for r in exchange.rejects(rows, 200).collect()}
-    assert rejected == {"EP123456": "length 79", "EP7654321": "missing renewal_due_date"}
+    assert rejected == {"EP123456": "width publication_number", "EP7654321": "missing renewal_due_date"}
+
+
+def test_fields_that_make_up_for_each_other_are_rejected(spark):
+    """An 11-character number and an empty code of no lapse make 80 characters, but no valid line."""
+    lapses = frame(spark, "publication_num string, filing_date date, lapsed_reason string, date_processed date",
+                   [("EP000000123", D(1999, 2, 3), "Revoked", D(2000, 11, 4))])
+    year = frame(spark, SPLIT, [("EP123456", D(2000, 6, 1), D(2004, 6, 1), 123, "NO", money(1), money(1), money(0),
+                                 money(0), money(1), D(2004, 5, 15))])
+    assert [r.reason for r in exchange.rejects(exchange.lapse_rows(lapses), 400).collect()] == ["width publication_number"]
+    rows = exchange.renewal_rows(year, CFG)
+    assert rows.select(F.length(F.col("_lines")[0])).first()[0] == 80
+    assert [r.reason for r in exchange.rejects(rows, 200).collect()] == ["width publication_number"]
+
+
+def test_repeated_and_incomplete_payments_keep_their_amounts(spark):
+    row = ("EP1234567", D(2000, 6, 1), D(2004, 6, 1), 5, "NO", money("10.00"), money("5.00"), money(0), money(0),
+           money("5.00"), D(2004, 5, 15))
+    no_fee = (*row[:7], None, money(0), None, row[-1])
+    split = frame(spark, SPLIT, [row, row, row, no_fee])
+    rows = exchange.renewal_rows(split, CFG)
+    rejected = {r.reason: (r.payments, r.prescribed, r.remitted) for r in exchange.rejects(rows, 200).collect()}
+    assert rejected == {"duplicate payment": (2, money("20.00"), money("10.00")),
+                        "no minimum fee for year 3": (1, money("10.00"), None)}
+    trailer = [r.record for r in exchange.control_lines(rows.where("_reason is null"), CFG).collect()][1]
+    assert trailer[18:33] == "000000000001000" and trailer[33:48] == "000000000000500"
+
+
+def test_callers_choose_rows(spark):
+    lapses = frame(spark, "publication_num string, filing_date date, lapsed_reason string, date_processed date",
+                   [("EP0000001", D(1999, 2, 3), "Revoked", D(2000, 11, 4)), ("EP0000002", D(1999, 2, 3), "Ceased", D(2000, 11, 4))])
+    got = exchange.records(exchange.lapse_rows(lapses, F.col("lapsed_reason") == "Ceased"), 400).collect()
+    assert [r.publication_num for r in got] == ["EP0000002"]
 
 
 def test_lapse_restoration_lor_lines(spark):
@@ -60,7 +92,7 @@ def test_lapse_restoration_lor_lines(spark):
     rows = exchange.lapse_rows(lapses)
     assert [r.record for r in exchange.records(rows, 400).collect()] == [
         "400_EPB_0000001_030299" + "_" * 10 + "07" + "_" * 26 + "041100" + "_" * 14]
-    assert [r.reason for r in exchange.rejects(rows, 400).collect()] == ["length 78"]
+    assert [r.reason for r in exchange.rejects(rows, 400).collect()] == ["unknown lapse reason"]
 
     rest = frame(spark, "publication_num string, filing_date date, date_processed date",
                  [("EP0000004", D(1999, 2, 3), D(2000, 11, 4))])

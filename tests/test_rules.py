@@ -91,7 +91,7 @@ def test_lor_year_ranges(spark):
     ])
     got = sorted((r.application_num, r.Addition_Deletion, r.first_reduced_year, r.last_reduced_year)
                  for r in rules.lor_year_ranges(lor, renewals).collect())
-    assert got == [("L", "A", 5, 20), ("L", "A", 6, 20), ("L", "D", 5, 6), ("N", "A", 20, 20)]
+    assert got == [("L", "A", 5, 20), ("L", "A", 6, 20), ("L", "D", 5, 6), ("L", "D", 6, 6), ("N", "A", 20, 20)]
     kept = rules.lor_year_ranges(lor, renewals, keep_unmatched=True)
     assert kept.where(F.col("first_reduced_year").isNull()).select("application_num").collect()[0][0] == "M"
 
@@ -123,13 +123,44 @@ def test_fee_split(spark):
     assert got["RD"] == (money(0), money(0), money("0.13"), money("1.63"))   # 0.125 rounds half up
 
 
-def test_broadcast_only_below_bound(spark):
-    fees = rules.minimum_fee_table(fee_rows(spark))
-    small = rules.broadcast_if_small(fees, 10)
-    big = rules.broadcast_if_small(fees, 1)
-    assert "ResolvedHint" in small._jdf.queryExecution().analyzed().toString() or \
-        "broadcast" in small._jdf.queryExecution().logical().toString().lower()
-    assert "broadcast" not in big._jdf.queryExecution().logical().toString().lower()
+def test_two_amounts_for_a_fee_year_fail(spark):
+    import pytest
+
+    same = fee_rows(spark).union(fee_rows(spark))
+    assert rules.minimum_fee_table(same).count() == 3
+    two = fee_rows(spark).union(frame(spark, "a string, b string, c string", [("1998", "3", "41.00")]))
+    with pytest.raises(Exception, match="two minimum fees for 1998"):
+        rules.minimum_fee_table(two).collect()
+
+
+def test_several_fee_rows_for_a_right_fail(spark):
+    import pytest
+
+    from annuity.operators import extracts
+    fees = frame(spark, "right_id string, total_fee decimal(12,2)", [("R", money(1)), ("S", money(2)), (None, money(3)), (None, money(4))])
+    assert sorted(tuple(r) for r in extracts.one_fee_per_right(fees).collect()) == [("R", money(1)), ("S", money(2))]
+    with pytest.raises(Exception, match="several fee rows for right S"):
+        extracts.one_fee_per_right(fees.union(fees.where("right_id = 'S'"))).collect()
+
+
+def test_lor_ranges_hold_every_outcome(spark):
+    """Two payments of one year that disagree, and two entries with two cancellations."""
+    renewals = frame(spark, "application_num string, renewal_year int, date_processed date",
+                     [("P", 5, D(2004, 2, 1)), ("P", 5, D(2004, 4, 1)), ("P", 5, D(2004, 5, 1))])
+    lor = frame(spark, LOR, [
+        lor_row("P", D(2004, 3, 1), "A"),                        # before the later payments, after the first: 5 and 6
+        lor_row("Q", D(2003, 5, 1), "A"),                        # year 4, no payment, on time -> 4
+        lor_row("Q", D(2005, 5, 1), "A", filed=D(2004, 2, 1)),   # year 6 -> 6
+        lor_row("Q", D(2004, 5, 1), "D", filed=D(2004, 3, 1)),   # year 5 -> to 4
+        lor_row("Q", D(2007, 5, 1), "D", filed=D(2004, 4, 1)),   # year 8 -> to 7
+        lor_row("R", None, "A"),
+    ])
+    got = sorted((r.application_num, r.Addition_Deletion, r.first_reduced_year, r.last_reduced_year)
+                 for r in rules.lor_year_ranges(lor, renewals).collect())
+    assert got == [("P", "A", 5, 20), ("P", "A", 6, 20), ("Q", "A", 4, 20), ("Q", "A", 6, 20),
+                   ("Q", "D", 4, 4), ("Q", "D", 4, 7), ("Q", "D", 6, 4), ("Q", "D", 6, 7)]
+    gaps = rules.lor_year_ranges(lor, renewals, keep_unmatched=True).where("gap is not null").collect()
+    assert [(r.application_num, r.gap) for r in gaps] == [("R", rules.NO_DATES)]
 
 
 KEYS = "application_num string, publication_num string, renewal_year int, renewal_fee decimal(12,2)"
