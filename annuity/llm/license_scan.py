@@ -13,6 +13,10 @@ template's distinct words. The join is exact:
   and in the block must still reach ``need``;
 * the survivors are counted exactly.
 
+A block's labels are those of its templates, but for a template whose words
+are all in another one that the block matches too (the notice with a further
+condition is the one that holds).
+
 Rows: one per input row. A null or empty text has no words, no places and no
 labels, score 0. Repeated rows and ids each get their own row (matches are
 joined by id and text hash). Other columns are ignored, so clashing names do
@@ -50,7 +54,7 @@ TEMPLATES = [
     ("mpl_notice", "mpl", "this source code form is subject to the terms of the mozilla public license v 2 0"),
     ("reserved", "all-rights-reserved", "all rights reserved no part of this may be reproduced"),
 ]
-THRESHOLD = 0.85
+THRESHOLD = 0.9
 BLOCK_WORDS = 64
 # Whatever separates words: all of ASCII but digits and (lower-case) letters.
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -64,6 +68,12 @@ def _template_words(templates) -> dict[str, list[str]]:
     return {name: sorted(set(text.split())) for name, _, text in templates}
 
 
+def wider_templates(templates) -> dict[str, list[str]]:
+    """For each template, those with all its words and more."""
+    words = {name: set(ws) for name, ws in _template_words(templates).items()}
+    return {a: sorted(b for b in words if words[a] < words[b]) for a in words}
+
+
 def word_order(words: DataFrame, templates=TEMPLATES) -> list[str]:
     """The templates' words, those of fewest documents first.
 
@@ -146,8 +156,15 @@ def scan(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold:
     own = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     own = own.withColumn("words", words_of(F.col("text")))
     found = matching_blocks(own, word_order(own, templates), threshold, templates)
+    # A block matches at most every template once, also where rows repeat.
+    matches = F.collect_set(F.struct("template", "label", "containment"))
+    blocks = found.groupBy("doc_id", "text_hash", "block").agg(matches.alias("m"))
+    wider = F.create_map(*[c for name, names in wider_templates(templates).items()
+                           for c in (F.lit(name), F.array(*map(F.lit, names)).cast("array<string>"))])
+    narrower = lambda x: F.exists("m", lambda y: F.array_contains(wider[x["template"]], y["template"]))
+    labels = blocks.select("doc_id", "text_hash", F.inline(F.filter("m", lambda x: ~narrower(x))))
     # One row per id and text; partial sets are merged before the shuffle.
-    found = (found.groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
+    found = (labels.groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
              .agg(F.collect_set("label").alias("_labels"), F.max("containment").alias("_best")))
     rows = own.select("doc_id", F.xxhash64("text").alias("text_hash"),
                       F.size("words").cast("long").alias("n_words"), base_places(F.col("words")).alias("places"))
@@ -173,26 +190,28 @@ def op6_sql() -> str:
     """The same rows by DuckDB: every block against every template."""
     gap = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-    rows = ", ".join(f"('{n}', '{x}', {sorted(set(t.split()))}, {math.ceil(THRESHOLD * len(set(t.split())) - 1e-9)})"
-                     for n, x, t in TEMPLATES)
+    wider = wider_templates(TEMPLATES)
+    rows = ", ".join(f"('{n}', '{x}', {sorted(set(t.split()))}, {math.ceil(THRESHOLD * len(set(t.split())) - 1e-9)}, "
+                     f"{wider[n]}::varchar[])" for n, x, t in TEMPLATES)
     phrases = " union all ".join(
         f"select k, i - 1 as start, '{label}' as label from pos where "
         + " and ".join(f"words[i + {j}] = '{w}'" for j, w in enumerate(p.split())) for p, label in PHRASES.items())
     step = BLOCK_WORDS // 2
     return rf"""
-with templates(template, label, tw, need) as (values {rows}),
+with templates(template, label, tw, need, wider) as (values {rows}),
 d as (select row_number() over () as k, doc_id, translate(coalesce(text, ''), '{upper}', '{lower}') as t from documents),
 w as (select k, doc_id, t, regexp_extract_all(t, '{gap}') as words from d),
 pos as (select k, words, unnest(range(1, len(words) + 1)) as i from w),
 base as ({phrases}),
 b as (select k, count(*) as n, min(start) as lo, max(start) as hi, list_sort(list(distinct label)) as labels from base group by k),
 lines as (select k, regexp_extract_all(unnest(string_split(t, chr(10))), '{gap}') as ws from d),
-blocks as (select k, list_distinct(ws[s + 1 : s + {BLOCK_WORDS}]) as bw from (
+blocks as (select k, row_number() over () as b, list_distinct(ws[s + 1 : s + {BLOCK_WORDS}]) as bw from (
            select k, ws, unnest(range(0, greatest(1, (ceil((len(ws) - {BLOCK_WORDS}) / {step}) + 1) * {step})::bigint, {step})) as s
            from lines) x),
-hit as (select k, label, len(list_intersect(bw, tw)) / len(tw) as containment, len(list_intersect(bw, tw)) as shared, need
-        from blocks, templates),
-m as (select k, list(distinct label) as labels, max(containment) as best from hit where shared >= need group by k)
+hit as (select k, b, template, label, wider, len(list_intersect(bw, tw)) / len(tw) as containment
+        from blocks, templates where len(list_intersect(bw, tw)) >= need),
+m as (select k, list(distinct label) as labels, max(containment) as best from hit where not exists (
+        select 1 from hit as h2 where h2.b = hit.b and list_contains(hit.wider, h2.template)) group by k)
 select w.doc_id, len(words)::bigint as n_words, coalesce(b.n, 0)::bigint as n_base, b.lo::bigint as first_word,
        b.hi::bigint as last_word, coalesce(array_to_string(b.labels, ','), '') as base_labels,
        coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(b.labels, []), coalesce(m.labels, [])))), ','), '') as labels,

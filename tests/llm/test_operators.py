@@ -65,8 +65,9 @@ def test_license_labels(spark):
     rows = scan(spark, f"{filler} Licensed under CC BY-NC 4.0. {filler}", "Released under the MIT\nLicense, or so",
                 "permitted provided that the following conditions are met", "MIT license apache LICENSE",
                 "Redistribution and use in source and binary forms, with or without modification, are permitted "
-                "provided that the following conditions are met:", filler, None)
-    assert rows[0]["labels"] == "cc-by,cc-by-nc" and rows[0]["n_base"] == 0 and rows[0]["score"] == 1.0
+                "provided that the following conditions are met:", filler, None, "Licensed under CC BY 4.0.\nAll rights")
+    assert rows[7]["labels"] == "cc-by"
+    assert rows[0]["labels"] == "cc-by-nc" and rows[0]["n_base"] == 0 and rows[0]["score"] == 1.0
     assert (rows[1]["base_labels"], rows[1]["first_word"], rows[1]["n_base"]) == ("mit", 3, 1)
     assert rows[2]["labels"] == "" and rows[2]["score"] == 0.0
     assert (rows[3]["labels"], rows[3]["n_base"], rows[3]["first_word"], rows[3]["last_word"]) == ("apache,mit", 2, 0, 2)
