@@ -27,7 +27,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from annuity.llm.common import ascii_lower
@@ -86,15 +86,14 @@ def word_order(words: DataFrame, templates=TEMPLATES) -> list[str]:
     return sorted(vocabulary, key=lambda w: (counts.get(w, 0), w))
 
 
-def prefix_index(spark: SparkSession, order: list[str], threshold: float, templates=TEMPLATES) -> DataFrame:
-    """One row per word in a template's prefix, with the word's place in the template."""
+def prefix_rows(order: list[str], threshold: float, templates=TEMPLATES) -> list[tuple]:
+    """(word, its place in the template, template, label, the template's words in order, need) per prefix word."""
     rank, labels, rows = {w: i for i, w in enumerate(order)}, {n: x for n, x, _ in templates}, []
     for name, ws in _template_words(templates).items():
         ws = sorted(ws, key=rank.get)
         need = math.ceil(threshold * len(ws) - 1e-9)
         rows += [(ws[p], p, name, labels[name], ws, need) for p in range(len(ws) - need + 1)]
-    return spark.createDataFrame(rows, "word string, place int, template string, label string, "
-                                       "template_words array<string>, need int")
+    return rows
 
 
 def _blocks(text: Column) -> Column:
@@ -116,9 +115,10 @@ def matching_blocks(docs: DataFrame, order: list[str], threshold: float = THRESH
     templates and is broadcast; blocks without an index word are dropped
     before it is met.
     """
-    index = prefix_index(docs.sparkSession, order, threshold, templates)
-    keys = [r[0] for r in index.select("word").distinct().collect()]
-    keys, vocabulary = F.array(*map(F.lit, sorted(keys))), F.array(*map(F.lit, order))
+    rows = prefix_rows(order, threshold, templates)
+    index = docs.sparkSession.createDataFrame(
+        rows, "word string, place int, template string, label string, template_words array<string>, need int")
+    keys, vocabulary = F.array(*map(F.lit, sorted({r[0] for r in rows}))), F.array(*map(F.lit, order))
     blocks = (docs.where(F.arrays_overlap("words", keys))
               .select("doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(_blocks(F.col("text"))).alias("block", "ws"))
               .where(F.arrays_overlap("ws", keys))

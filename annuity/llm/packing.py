@@ -232,7 +232,8 @@ def packed(parts: DataFrame, capacity: int = CAPACITY, group_rows: int = GROUP_R
     for turn in range(rounds):
         n = rest.count()
         groups = max(1, -(-n // group_rows))
-        grp = F.pmod(F.xxhash64(F.lit(turn), "doc_id", "piece", "ids_crc32", "length"), F.lit(groups))
+        # The row's place in the written table keeps repeated rows apart.
+        grp = F.pmod(F.xxhash64(F.lit(turn), "doc_id", "piece", F.monotonically_increasing_id()), F.lit(groups))
         out = stage(rest.withColumn("grp", grp).groupBy("grp").applyInPandas(_group(capacity, turn), PLACED), "packed")
         last = turn == rounds - 1 or groups == 1
         done.append(out if last else out.where(F.col("room") <= SLACK))
