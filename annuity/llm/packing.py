@@ -42,7 +42,7 @@ ROUNDS = 3
 SLACK = 8
 CACHED_WORDS = 600_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
-PLACED = PIECES + ", sequence_id long, offset long, room long"
+PLACE = "sequence_id long, offset long, room long"
 # Characters that lower-case one by one, compose with nothing and are white space for everyone alike.
 _PLAIN = re.compile("[\t-\r -~¡-±´-¸º»¿-įı-ſ–—‘-”…]*")
 # How the vocabulary's tokenizer cuts a lower-cased word (a fixed value), for such characters.
@@ -100,8 +100,11 @@ def tokenizer_path(name: str = VOCABULARY) -> str:
 
 
 def pieces(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None, text: str = "text",
-           doc_id: str = "doc_id") -> DataFrame:
-    """Every document's pieces with their place, length and CRC. ``path``: the vocabulary, on every machine."""
+           doc_id: str = "doc_id", keep_ids: bool = False) -> DataFrame:
+    """Every document's pieces with their place, length and CRC, and with ``keep_ids`` their token ids.
+
+    ``path``: the vocabulary, on every machine.
+    """
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import os
 
@@ -113,12 +116,12 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None, t
                 ids = tokens(t) + end
                 for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at:at + 4 * capacity]
-                    out.append((one, k, at // 4, len(part) // 4, zlib.crc32(part)))
-            frame = pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
+                    out.append((one, k, at // 4, len(part) // 4, zlib.crc32(part), *([np.frombuffer(part, "<i4")] * keep_ids)))
+            frame = pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids_crc32", *["ids"] * keep_ids])
             yield frame.astype({"doc_id": pdf["doc_id"].dtype})
 
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInPandas(cut, PIECES)
+    return rows.mapInPandas(cut, PIECES + ", ids array<int>" * keep_ids)
 
 
 def best_fit(lengths: np.ndarray, capacity: int) -> list[list[int]]:
@@ -228,13 +231,13 @@ def _group(capacity: int, turn: int):
 def packed(parts: DataFrame, capacity: int = CAPACITY, group_rows: int = GROUP_ROWS, rounds: int = ROUNDS) -> DataFrame:
     """``pieces`` with sequence_id, offset and the sequence's room."""
     done, rest = [], stage(parts, "pieces")
-    # Full pieces are sequences by themselves.
+    placed = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rest.schema) + f", {PLACE}"
     for turn in range(rounds):
         n = rest.count()
         groups = max(1, -(-n // group_rows))
         # The row's place in the written table keeps repeated rows apart.
         grp = F.pmod(F.xxhash64(F.lit(turn), "doc_id", "piece", F.monotonically_increasing_id()), F.lit(groups))
-        out = stage(rest.withColumn("grp", grp).groupBy("grp").applyInPandas(_group(capacity, turn), PLACED), "packed")
+        out = stage(rest.withColumn("grp", grp).groupBy("grp").applyInPandas(_group(capacity, turn), placed), "packed")
         last = turn == rounds - 1 or groups == 1
         done.append(out if last else out.where(F.col("room") <= SLACK))
         if last:
@@ -246,5 +249,16 @@ def packed(parts: DataFrame, capacity: int = CAPACITY, group_rows: int = GROUP_R
     return result
 
 
+def sequences(placed: DataFrame) -> DataFrame:
+    """(sequence_id, ids, spans): each sequence's tokens and the document pieces they come from, in order.
+
+    ``placed``: packed pieces that kept their ids. A sequence is bounded by the capacity, so are its pieces.
+    """
+    parts = F.array_sort(F.collect_list(F.struct("offset", "length", "doc_id", "piece", "start", "ids")))
+    rows = placed.groupBy("sequence_id").agg(parts.alias("parts"))
+    return rows.select("sequence_id", F.flatten("parts.ids").alias("ids"),
+                       F.transform("parts", lambda x: x.dropFields("ids")).alias("spans"))
+
+
 def op1(docs: DataFrame) -> DataFrame:
     return packed(pieces(docs)).drop("room")

@@ -52,12 +52,13 @@ def ranked(rows: DataFrame, group: list[str], bucket: str, order: list, name: st
 
 
 def shards(docs: DataFrame, n_shards: int = 8, seed: int = SEED, source: str = "source",
-           text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """doc_id, source, size, text_crc32, fraction, shard (from 0) and slot (place in the shard)."""
+           text: str = "text", doc_id: str = "doc_id", keep_text: bool = False) -> DataFrame:
+    """doc_id, source, size, text_crc32, fraction, shard (from 0) and slot (place in the shard); the text if kept."""
     content = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"),
                        (F.octet_length(content) + 1).cast("long").alias("size"),
-                       F.crc32(content.cast("binary")).alias("text_crc32"))
+                       F.crc32(content.cast("binary")).alias("text_crc32"),
+                       *([F.col(text).alias("text")] if keep_text else []))
     rows = stage(rows.withColumn("key", shuffle_key(seed)), "shard-rows")
     total = rows.count()
 
@@ -75,7 +76,15 @@ def shards(docs: DataFrame, n_shards: int = 8, seed: int = SEED, source: str = "
     begin = F.expr(f"(shard * {total} + {n_shards - 1}) div {n_shards}")
     return (rows.withColumn("shard", shard.cast("int"))
             .select("doc_id", "source", "size", "text_crc32", "fraction", "shard",
-                    (F.col("place") - begin).cast("long").alias("slot")))
+                    (F.col("place") - begin).cast("long").alias("slot"), *(["text"] if keep_text else [])))
+
+
+def write_shards(docs: DataFrame, path: str, n_shards: int = 8, files_per_shard: int = 1, seed: int = SEED) -> str:
+    """The documents as Parquet, a folder per shard, in order of the slots within and across its files."""
+    rows = shards(docs, n_shards, seed, keep_text=True)
+    (rows.repartitionByRange(n_shards * files_per_shard, "shard", "slot").sortWithinPartitions("shard", "slot")
+     .write.mode("overwrite").partitionBy("shard").parquet(path))
+    return path
 
 
 def op2(docs: DataFrame) -> DataFrame:

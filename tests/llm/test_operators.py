@@ -21,6 +21,17 @@ def test_shards_match_the_mixture(spark, sf_small, monkeypatch):
     assert (counts.max(axis=1) - counts.min(axis=1)).max() <= 2
 
 
+def test_written_shards(spark, sf_small, tmp_path):
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet")
+    path = sharding.write_shards(docs, str(tmp_path / "shards"), 4, 2)
+    back = spark.read.parquet(path)
+    assert {(r["doc_id"], r["text"]) for r in back.collect()} == {(r["doc_id"], r["text"]) for r in docs.collect()}
+    files = back.groupBy("shard", F.input_file_name().alias("f")).agg(F.min("slot").alias("a"), F.max("slot").alias("b")).collect()
+    for shard in range(4):
+        ranges = [(r["a"], r["b"]) for r in sorted((r for r in files if r["shard"] == shard), key=lambda r: r["f"])]
+        assert ranges[0][0] == 0 and all(x[1] + 1 == y[0] for x, y in zip(ranges, ranges[1:]))
+
+
 def test_shards_depend_on_the_seed(spark, sf_small):
     docs = spark.read.parquet(f"{sf_small}/documents.parquet")
     a, b = ({r["doc_id"]: r["shard"] for r in sharding.shards(docs, 8, seed).collect()} for seed in (1, 2))

@@ -67,6 +67,20 @@ def test_edge_documents(spark, edge_docs, tokens):
     assert n <= -(-int(df["length"].sum()) // 2048) + 1
 
 
+def test_sequences_hold_every_token(spark, edge_docs, tokens):
+    placed = packing.packed(packing.pieces(edge_docs, keep_ids=True))
+    got = {}
+    for r in packing.sequences(placed).collect():
+        assert len(r["ids"]) <= 2048
+        for s in r["spans"]:
+            part = np.array(r["ids"][s["offset"]:s["offset"] + s["length"]], "<u4").tobytes()
+            got.setdefault(str(s["doc_id"]), []).append((s["start"], part))
+    for r in edge_docs.dropDuplicates(["doc_id"]).where("doc_id is not null").collect():
+        whole = tokens.whole(r["text"] or "") + bytes(4)
+        copies = sum(1 for x in got[str(r["doc_id"])] if x[0] == 0)
+        assert b"".join(p for _, p in sorted(got[str(r["doc_id"])])[::copies]) == whole
+
+
 def test_several_groups_and_rounds(spark):
     rng = np.random.default_rng(3)
     rows = [(i, 0, 0, int(n), i) for i, n in enumerate(rng.integers(1, 1000, 900))]
