@@ -10,7 +10,7 @@ from tests.helpers import D, frame, money
 CFG = RunConfig(run_date=D(2001, 1, 3))
 
 
-def test_every_layout_is_80_wide():
+def test_every_layout_is_80_wide(spark):
     for layout in [exchange.renewal_layout(50), exchange.year_share_layout(3), exchange.year_share_layout(4),
                    exchange.lapse_layout(), exchange.restoration_layout(), exchange.lor_layout()]:
         assert layout_width(layout) == 80
