@@ -1,11 +1,12 @@
 """Every stage of the settlement run, wired once for a set of sources and a config.
 
 Attributes are lazy DataFrames built on first access, so a query touching one
-stage plans only what it needs. Nothing here triggers a job.
+stage plans only what it needs. Nothing but ``staged`` triggers a job.
 """
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from annuity.config import RunConfig
 from annuity.operators import exchange, extracts, merge, reports, rules
 from annuity.schemas import KIND_LOR, KIND_RESTORATION
+from annuity.sources.sinks import shared_folder
 from annuity.sources.tables import SourceTables
 
 
@@ -22,6 +24,19 @@ class Pipeline:
         self.src = src
         self.cfg = cfg
 
+    def staged(self, *names: str) -> "Pipeline":
+        """The same pipeline with these stages written once to the shared folder and read back.
+
+        For outputs that need a stage several times: each is derived once, in
+        the order given, and what follows starts from files.
+        """
+        for name in names:
+            df = getattr(self, name)
+            path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+            df.write.parquet(path)
+            setattr(self, name, df.sparkSession.read.schema(df.schema).parquet(path))
+        return self
+
     # ---- extracts ----------------------------------------------------------
     @cached_property
     def renewals_new(self) -> DataFrame:

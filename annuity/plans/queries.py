@@ -21,6 +21,7 @@ from annuity.functions import money_parts
 from annuity.operators import exchange, extracts, merge, reports, rules
 from annuity.plans.pipeline import Pipeline
 from annuity.schemas import EVENT_COLUMNS, HISTORY_COLUMNS, LAPSE_COLUMNS, LOR_COLUMNS, SOURCE_NEW
+from annuity.sources.sinks import shared_folder
 from annuity.sources.tables import read_minimum_fees
 from annuity.sources.testdata import fixture_tables
 
@@ -39,6 +40,10 @@ def _q(stage: Callable[[Pipeline], DataFrame], cfg: RunConfig = TEST_CONFIG) ->
     return lambda spark, sf_dir: stage(pipeline(spark, sf_dir, cfg))
 
 
+# Stages that outputs with many consumers share (written once per query).
+LOR_STAGES = ("renewals", "lor")
+FILE_STAGES = (*LOR_STAGES, "renewals_split", "lor_ranges_all")
+
 NEW_RENEWAL_COLUMNS = [
     "application_num", "publication_num", "filing_date", "grant_date", "renewal_year", "renewal_fee",
     "prescribed_uk_fee", "lor_indicator", "renewal_due_date", "date_filed", "date_processed",
@@ -111,8 +116,7 @@ def _audit_counts(p: Pipeline) -> DataFrame:
 
 def _minimum_fee_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The minimum-fee CSV as written and read back with its header."""
-    folder = (spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
-    path = f"{folder}/minimum-fee-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/minimum-fee-{uuid.uuid4().hex}"
     fixture_tables(spark, sf_dir).minimum_fee.write.option("header", True).csv(path)
     return read_minimum_fees(spark, path)
 
@@ -159,13 +163,13 @@ QUERIES: dict[str, Query] = {
     "monthly_totals": _q(lambda p: p.monthly_totals.select("Month", "Amount")),
     "monthly_report": _q(lambda p: p.monthly_report, TEST_CONFIG_MONTHLY),
     "monthly_report_totals": _q(lambda p: p.totals_table, TEST_CONFIG_MONTHLY),
-    "status_report": _q(lambda p: p.status_report),
+    "status_report": _q(lambda p: p.staged(*LOR_STAGES).status_report),
     # exchange file
     "money_fields": _q(_money_fields),
     "renewal_records": _q(_records("renewal_rows", exchange.TYPE_RENEWAL)),
     "lapse_records": _q(_records("lapse_rows", exchange.TYPE_LAPSE)),
     "restoration_records": _q(_records("restoration_rows", exchange.TYPE_RESTORATION)),
     "lor_records": _q(_records("lor_rows", exchange.TYPE_LOR)),
-    "exchange_file": _q(lambda p: p.exchange_lines.select("record")),
-    "rejects": _q(lambda p: p.rejects),
+    "exchange_file": _q(lambda p: p.staged(*FILE_STAGES).exchange_lines.select("record")),
+    "rejects": _q(lambda p: p.staged(*FILE_STAGES).rejects),
 }

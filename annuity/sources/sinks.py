@@ -30,6 +30,12 @@ def history_path(cfg: RunConfig) -> str:
     return f"{cfg.out_root.rstrip('/')}/history/renewal_history"
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """Where stages are written: the folder in ``spark.checkpoint.dir``; under the warehouse only where that is unset."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    return (named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_stages").rstrip("/")
+
+
 def write_history(spark: SparkSession, history: DataFrame, cfg: RunConfig) -> str:
     """Overwrite the history table at an external path, partitioned by event kind and year of processing.
 
