@@ -99,8 +99,8 @@ def test_history_period_prunes_partitions(spark, sf_small, tmp_path):
     assert "processed_year" in filters and ">= 2000" in filters and "type_identifier" in filters
 
 
-def test_one_window_of_renewal_rows_is_shared(spark, sf_small):
-    """Lines and trailer need the same grouped rows: adaptive execution runs their exchange once."""
-    df = QUERIES["exchange_file"](spark, sf_small)
-    df.collect()
-    assert "ReusedExchange" in plan(df)
+def test_file_outputs_start_from_shared_stages(spark, sf_small):
+    """Lines, trailer and rejects read the stages written once, not the sources again for every consumer."""
+    for name in ("exchange_file", "rejects"):
+        text = plan(QUERIES[name](spark, sf_small)).split("Initial Plan")[0]
+        assert text.count("FileScan") <= 20
