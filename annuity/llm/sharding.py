@@ -7,8 +7,10 @@ sorted rows are cut into shards of equal row counts (at most one apart).
 
 Ranks are counted in buckets, never in one window over a source or over the
 table: the shuffle hash, and then the fractional rank, is spread evenly, so
-equal slices of it hold about ``BUCKET_ROWS`` rows whatever a source's share.
-Bucket counts (one row per bucket) give each bucket's first rank.
+equal slices of it hold about as many rows whatever a source's share.
+Bucket counts (one row per bucket) give each bucket's first rank. A bucket has
+the square root of all rows, at least ``BUCKET_ROWS``, so neither the buckets
+nor the table of their counts outgrows a task.
 
 Rows: one per input row. A null source is a source of its own; a null or empty
 text has size 1 and CRC 0. Repeated rows are placed one by one; the order
@@ -18,6 +20,8 @@ ignored. An empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -61,16 +65,17 @@ def shards(docs: DataFrame, n_shards: int = 8, seed: int = SEED, source: str = "
                        *([F.col(text).alias("text")] if keep_text else []))
     rows = stage(rows.withColumn("key", shuffle_key(seed)), "shard-rows")
     total = rows.count()
+    bucket_rows = max(BUCKET_ROWS, math.isqrt(total))
 
     per_source = rows.groupBy(F.col("source").alias("_source")).agg(F.count(F.lit(1)).alias("of"))
     spread = F.col("key") / F.lit(float(16 ** HASH_DIGITS))
     rows = (rows.join(per_source, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
-            .withColumn("slice", F.floor(spread * F.ceil(F.col("of") / BUCKET_ROWS))))
+            .withColumn("slice", F.floor(spread * F.ceil(F.col("of") / bucket_rows))))
     ties = ["key", "doc_id", "text_crc32", "size"]
     rows = ranked(rows, ["source"], "slice", ties, "rank")
     # (rank + 1/2) / n, over whole numbers
     rows = rows.withColumn("fraction", (2 * F.col("rank") + 1) / (2 * F.col("of")))
-    rows = rows.withColumn("part", F.floor(F.col("fraction") * (total // BUCKET_ROWS + 1)))
+    rows = rows.withColumn("part", F.floor(F.col("fraction") * (total // bucket_rows + 1)))
     rows = ranked(rows.drop("slice"), [], "part", ["fraction", "source", *ties], "place")
     shard = F.expr(f"place * {n_shards} div {max(total, 1)}")
     begin = F.expr(f"(shard * {total} + {n_shards - 1}) div {n_shards}")
