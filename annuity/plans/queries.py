@@ -21,7 +21,7 @@ from annuity.functions import money_parts
 from annuity.operators import exchange, extracts, merge, reports, rules
 from annuity.plans.pipeline import Pipeline
 from annuity.schemas import EVENT_COLUMNS, HISTORY_COLUMNS, LAPSE_COLUMNS, LOR_COLUMNS, SOURCE_NEW
-from annuity.sources.sinks import shared_folder
+from annuity.sources import sinks
 from annuity.sources.tables import read_minimum_fees
 from annuity.sources.testdata import fixture_tables
 
@@ -116,11 +116,25 @@ def _audit_counts(p: Pipeline) -> DataFrame:
 
 def _minimum_fee_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The minimum-fee CSV as written and read back with its header."""
-    path = f"{shared_folder(spark)}/minimum-fee-{uuid.uuid4().hex}"
+    path = f"{sinks.shared_folder(spark)}/minimum-fee-{uuid.uuid4().hex}"
     fixture_tables(spark, sf_dir).minimum_fee.write.option("header", True).csv(path)
     return read_minimum_fees(spark, path)
 
 
+def _exchange_file_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The exchange file as its sink wrote it."""
+    p = pipeline(spark, sf_dir).staged(*FILE_STAGES)
+    path = sinks.write_exchange_file(p.exchange_lines, f"{sinks.shared_folder(spark)}/exchange-{uuid.uuid4().hex}")
+    return spark.read.option("encoding", sinks.EXCHANGE_ENCODING).text(path).withColumnRenamed("value", "record")
+
+
+def _status_report_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quarterly status report as its CSV sink wrote it: every column as text."""
+    p = pipeline(spark, sf_dir).staged(*LOR_STAGES)
+    path = sinks.write_csv(p.status_report, f"{sinks.shared_folder(spark)}/status-{uuid.uuid4().hex}", ["type", "filing_date"])
+    return spark.read.option("header", True).schema(", ".join(f"`{c}` string" for c in p.status_report.columns)).csv(path)
+
+
 def _records(rows: str, record_type: int) -> Callable[[Pipeline], DataFrame]:
     return lambda p: exchange.records(getattr(p, rows), record_type)
 
@@ -171,5 +185,7 @@ QUERIES: dict[str, Query] = {
     "restoration_records": _q(_records("restoration_rows", exchange.TYPE_RESTORATION)),
     "lor_records": _q(_records("lor_rows", exchange.TYPE_LOR)),
     "exchange_file": _q(lambda p: p.staged(*FILE_STAGES).exchange_lines.select("record")),
+    "exchange_file_written": _exchange_file_written,
+    "status_report_written": _status_report_written,
     "rejects": _q(lambda p: p.staged(*FILE_STAGES).rejects),
 }

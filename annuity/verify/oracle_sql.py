@@ -630,6 +630,11 @@ def oracle_queries(cfg: RunConfig, cfg_monthly: RunConfig) -> dict[str, str]:
             "from control where length(record) <> 80",
         ]),
     }
+    sel["exchange_file_written"] = sel["exchange_file"]
+    sel["status_report_written"] = f"""
+        select publication_num, cast(filing_date as varchar) as filing_date, cast(date_processed as varchar) as date_processed,
+               type, Addition_Deletion, cast(from_year as varchar) as from_year, cast(to_year as varchar) as to_year
+        from ({sel['status_report']}) t"""
     out = {k: _with(q, v) for k, v in sel.items()}
     monthly = {
         "monthly_report": """
