@@ -25,7 +25,7 @@ BITS, ORDER = 6, 4
 CODES = 1 << BITS
 LETTERS = 26
 CONTEXT = ORDER - 1
-CHARS_AT_ONCE = 1 << 19
+CHARS_AT_ONCE = 1 << 18
 COUNTS_AT_ONCE = 1 << 23
 
 

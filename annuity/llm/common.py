@@ -25,13 +25,21 @@ def shared_folder(spark: SparkSession) -> str:
     return named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_stages"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+NARROW = 8
+
+
+def stage(df: DataFrame, name: str, narrow: bool = False) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     This cuts the lineage: a lost executor costs a re-read of files, not the
     steps before them. Unlike ``checkpoint()`` the plan runs only once.
+    ``narrow`` tables have a few numbers a row and cheap steps before them: one
+    file takes ``NARROW`` shuffle partitions, as many small files cost more
+    than they save.
     """
     spark = df.sparkSession
+    if narrow:
+        df = df.coalesce(max(1, -(-int(spark.conf.get("spark.sql.shuffle.partitions")) // NARROW)))
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

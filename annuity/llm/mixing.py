@@ -131,7 +131,7 @@ def mixed(rows: DataFrame, names: dict[str, str], targets: dict[str, dict[str, f
     at = {"source": "source", "lang": "lang", "topic": names["topic"]}
     # One row per (source, lang, topic) that occurs, before categories are folded.
     seen = stage(rows.groupBy(*[F.coalesce(F.col(at[m]), F.lit(NONE)).alias(m) for m in MARGINALS])
-                 .agg(F.sum(names["tokens"]).alias("tokens")), "mixture-cells")
+                 .agg(F.sum(names["tokens"]).alias("tokens")), "mixture-cells", narrow=True)
     wanted = {}
     for m in MARGINALS:
         given = (targets or {}).get(m)

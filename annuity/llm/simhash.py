@@ -125,7 +125,7 @@ def index_nodes(entries: DataFrame, widths: list[int], node_rows: int) -> DataFr
     done = None
     while True:
         counted = stage(rows.groupBy("field", "depth", _prefix(F.col("gray"), F.col("depth")).alias("prefix"))
-                        .agg(F.count(F.lit(1)).alias("n")), "gray-nodes")
+                        .agg(F.count(F.lit(1)).alias("n")), "gray-nodes", narrow=True)
         fits = (F.col("n") <= node_rows) | (F.col("depth") >= BITS)
         done = counted.where(fits) if done is None else done.unionByName(counted.where(fits))
         large = counted.where(~fits)
@@ -287,13 +287,13 @@ def links(distinct: DataFrame, max_bits: int = 3, node_rows: int = NODE_ROWS) ->
     """
     widths = [w for _, w in fields(max_bits)]
     entries = distinct.select("fp").mapInPandas(_entries(max_bits), "field int, gray long")
-    entries = stage(entries, "gray-entries")
+    entries = stage(entries, "gray-entries", narrow=True)
     nodes = index_nodes(entries, widths, node_rows)
     width = F.element_at(F.array(*map(F.lit, widths)), F.col("field") + 1)
-    pairs = stage(node_pairs(nodes, widths, max_bits), "gray-node-pairs")
+    pairs = stage(node_pairs(nodes, widths, max_bits), "gray-node-pairs", narrow=True)
     divided = stage(nodes.where(F.col("depth") > width).select(
         F.col("field").alias("_f"), F.col("depth").alias("_d"), F.col("prefix").alias("_p"),
-        F.call_function("shiftrightunsigned", F.col("prefix"), F.col("depth") - width).alias("_t")), "gray-divided")
+        F.call_function("shiftrightunsigned", F.col("prefix"), F.col("depth") - width).alias("_t")), "gray-divided", narrow=True)
     top = _prefix(F.col("gray"), width)
     rows = entries.withColumn("top", top)
     plain = F.struct(F.lit(0).alias("d"), F.col("top").alias("p"))
@@ -308,7 +308,7 @@ def links(distinct: DataFrame, max_bits: int = 3, node_rows: int = NODE_ROWS) ->
         warm = (rows.where(F.col("depths").isNotNull()).select("field", "gray", F.explode(tried).alias("node"))
                 .join(divided, (F.col("field") == F.col("_f")) & (F.col("node.d") == F.col("_d"))
                       & (F.col("node.p") == F.col("_p")), "left_semi"))
-        warm = stage(warm, "gray-divided-entries")
+        warm = stage(warm, "gray-divided-entries", narrow=True)
         keyed = cool.unionByName(warm)
         side = lambda d, p, n: (warm.join(pairs.withColumnRenamed("field", "_f"), (F.col("field") == F.col("_f"))
                                           & (F.col("node.d") == F.col(d)) & (F.col("node.p") == F.col(p)))
@@ -347,7 +347,7 @@ def components(edges: DataFrame) -> DataFrame:
                 .where(F.col("a") != F.col("b")).distinct())
 
     edges = stage(edges.where(F.col("a") != F.col("b")).select(
-        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
+        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links", narrow=True)
     state = None
     while True:
         down = edges.select(F.col("a").alias("x"), F.col("b").alias("y"))
@@ -355,8 +355,8 @@ def components(edges: DataFrame) -> DataFrame:
         # Large star: what is above x moves to the smallest that x touches.
         edges = hook(down.unionByName(up), F.col("y") > F.col("x"))
         # Small star: what is below x moves to the smallest below x.
-        edges = stage(hook(edges.select(F.greatest("a", "b").alias("x"), F.least("a", "b").alias("y")), F.lit(True)),
-                      "links")
+        down = edges.select(F.greatest("a", "b").alias("x"), F.least("a", "b").alias("y"))
+        edges = stage(hook(down, F.lit(True)), "links", narrow=True)
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == state:
             break
@@ -372,11 +372,11 @@ def _components_of_rows(docs: DataFrame, shingle: int, max_bits: int, text: str,
     rows = stage(fingerprints(docs, shingle, text, name).select(
         F.col(doc_id).alias("doc_id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("text_hash"),
         F.col(name).alias("fp")), "fingerprints")
-    distinct = stage(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct-fingerprints")
+    distinct = stage(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct-fingerprints", narrow=True)
     roots = components(links(distinct, max_bits, node_rows))
     rooted = distinct.join(roots.withColumnRenamed("fp", "_fp"), F.col("fp") == F.col("_fp"), "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root"))
-    rooted = stage(rooted, "rooted-fingerprints")
+    rooted = stage(rooted, "rooted-fingerprints", narrow=True)
     lowest = rooted.groupBy(F.col("root").alias("_root")).agg(F.min("first").alias("component_id"))
     ids = rooted.join(lowest, F.col("root") == F.col("_root")).select(F.col("fp").alias("_fp"), "root", "component_id")
     return rows.join(ids, F.col("fp") == F.col("_fp")).drop("_fp")
@@ -393,16 +393,22 @@ def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = 3, text: str = "
              doc_id: str = "doc_id", node_rows: int = NODE_ROWS) -> DataFrame:
     """One row of each component, with all columns of ``docs``: the smallest id (null last), then text hash."""
     rows = _components_of_rows(docs, shingle, max_bits, text, doc_id, node_rows)
-    kept = rows.groupBy("root").agg(F.min(F.struct(
-        F.col("doc_id").isNull().alias("n"), F.coalesce("doc_id", F.lit(0)).alias("i"), F.col("text_hash").alias("h"))).alias("k"))
+    key = F.struct(F.col("doc_id").isNull().alias("n"), F.coalesce("doc_id", F.lit(0)).alias("i"), F.col("text_hash").alias("h"))
+    kept = (rows.groupBy("root", key.alias("k")).agg(F.count(F.lit(1)).alias("copies"))
+            .groupBy("root").agg(F.min(F.struct("k.*", "copies")).alias("k")))
     n, i, h, *wanted = fresh(docs, "id_is_null", "id_or_zero", "text_hash", "kept_null", "kept_id", "kept_hash")
     names = [n, i, h]
-    kept = kept.select(*[F.col(f"k.{c}").alias(name) for c, name in zip("nih", wanted)])
+    kept = stage(kept.select(*[F.col(f"k.{c}").alias(name) for c, name in zip("nih", wanted)],
+                             F.col("k.copies").alias("copies")), "kept-rows", narrow=True)
     keyed = (docs.withColumn(n, F.col(doc_id).isNull()).withColumn(i, F.coalesce(F.col(doc_id), F.lit(0)))
              .withColumn(h, F.xxhash64(F.coalesce(F.col(text), F.lit("")))))
     same = [F.col(a) == F.col(b) for a, b in zip(names, wanted)]
-    # The join and the removal of repeated rows share one exchange of the texts.
-    return keyed.join(kept, same, "left_semi").dropDuplicates(names).select(*docs.columns)
+    # Texts are dealt by key once and not sorted.
+    single = lambda k: keyed.join(k.drop("copies").hint("shuffle_hash"), same, "left_semi")
+    repeated = kept.where(F.col("copies") > 1)
+    out = single(kept) if repeated.isEmpty() else single(kept.where(F.col("copies") == 1)).unionByName(
+        single(repeated).dropDuplicates(names))
+    return out.select(*docs.columns)
 
 
 def op3(docs: DataFrame) -> DataFrame:
