@@ -1,9 +1,11 @@
 """License scans: base phrases, and an exact set-similarity join with notice templates.
 
-A text is cut into blocks: its lines, and of a line with more than
-``BLOCK_WORDS`` words every window of that size at steps of half of it. A
-block matches a template when it holds at least ``THRESHOLD`` of the
-template's distinct words. The join is exact:
+A text is cut into blocks: its lines, and its whole word sequence, so that a
+notice wrapped over several lines lies in one block too. Of whatever has more
+than ``BLOCK_WORDS`` words, every window of that size at steps of half of it is
+a block: a notice of up to half of it and one more word is never cut. A block
+matches a template when it holds at least ``THRESHOLD`` of the template's
+distinct words. The join is exact:
 
 * the templates' words are put in one global order, rarest in ``docs`` first;
 * prefix filter: a matching block holds one of a template's first
@@ -96,14 +98,16 @@ def prefix_rows(order: list[str], threshold: float, templates=TEMPLATES) -> list
     return rows
 
 
-def _blocks(text: Column) -> Column:
-    """(block number, words) of every block: lines, long lines as overlapping windows."""
+def _blocks(text: Column, words: Column) -> Column:
+    """The words of every block: lines and the whole text, either as overlapping windows where it is long."""
     step = BLOCK_WORDS // 2
-    lines = F.transform(F.split(text, "\n"), words_of)
+    lines = F.split(text, "\n")
+    # A single line is the whole text.
+    spans = F.concat(F.transform(lines, words_of), F.when(F.size(lines) > 1, F.array(words)).otherwise(F.array().cast("array<array<string>>")))
     cut = lambda ws: F.transform(
         F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil((F.size(ws) - BLOCK_WORDS) / step).cast("int"))),
         lambda i: F.slice(ws, i * step + 1, BLOCK_WORDS))
-    return F.flatten(F.transform(lines, cut))
+    return F.flatten(F.transform(spans, cut))
 
 
 def matching_blocks(docs: DataFrame, order: list[str], threshold: float = THRESHOLD,
@@ -120,7 +124,7 @@ def matching_blocks(docs: DataFrame, order: list[str], threshold: float = THRESH
         rows, "word string, place int, template string, label string, template_words array<string>, need int")
     keys, vocabulary = F.array(*map(F.lit, sorted({r[0] for r in rows}))), F.array(*map(F.lit, order))
     blocks = (docs.where(F.arrays_overlap("words", keys))
-              .select("doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(_blocks(F.col("text"))).alias("block", "ws"))
+              .select("doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(_blocks(F.col("text"), F.col("words"))).alias("block", "ws"))
               .where(F.arrays_overlap("ws", keys))
               # The block's template words in the global order.
               .select("doc_id", "text_hash", "block", F.array_intersect(vocabulary, "ws").alias("known")))

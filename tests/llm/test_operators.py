@@ -1,5 +1,7 @@
 """Sharding, top-k, license scan, mixing, rule ledger and pipeline beyond their SQL."""
 
+import textwrap
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -86,6 +88,20 @@ def test_license_labels(spark):
     assert rows[5]["labels"] == rows[6]["labels"] == "" and rows[6]["first_word"] is None
 
 
+@pytest.mark.parametrize("lead", ["", " * ", "# "])
+def test_wrapped_notices(spark, lead):
+    """Notices wrapped at 72 columns, as license headers are, at every offset to the windows."""
+    names = [n for n, _, text in license_scan.TEMPLATES if len(text.split()) > 12]
+    notices = {n: (label, text) for n, label, text in license_scan.TEMPLATES if n in names}
+    wrapped = [(notices[n][0], "\n".join(lead + line for line in textwrap.wrap(
+        " ".join(f"w{i}" for i in range(before)) + " " + notices[n][1] + " " + " ".join(f"v{i}" for i in range(90)), 72)))
+               for n in names for before in (0, 20, 31, 33, 50, 70)]
+    rows = scan(spark, *[text for _, text in wrapped])
+    for i, (label, text) in enumerate(wrapped):
+        assert label in rows[i]["labels"].split(",") and rows[i]["score"] == 1.0, text
+    assert {"bsd", "mit", "apache", "gpl", "mpl"} == {label for label, _ in wrapped}
+
+
 def test_rake_meets_the_targets():
     rng = np.random.default_rng(0)
     cells = np.array([(a, b) for a in range(3) for b in range(4)])
