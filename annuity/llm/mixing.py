@@ -6,11 +6,12 @@ until all marginals agree. A cell's documents are then kept with probability
 min(1, scale * raked weight / tokens), where the scale is solved so that the
 expected tokens are the wanted part of the input.
 
-Per marginal at most ``MAX_CATEGORIES`` categories have a target of their own (those of most
-tokens, or those named in ``targets``); the rest share ``other``, so the cell
-table is bounded and may be raked on the driver. No document is left out of
-the counts. ``documents`` has no topic column; the default topic is the form
-of the text (table, lines, article, note).
+Every category has a target of its own; only where a caller names targets do
+the categories without one share ``other``. Up to ``MAX_CELLS`` cells are raked
+on the driver; a larger table of cells stays written, and each step is a sum by
+marginal joined back to the cells. Both do the same steps. ``documents`` has no
+topic column; the default topic is the form of the text (table, lines,
+article, note).
 
 Rows: one per input row. A null source or language is the category ``none``.
 Null and empty texts weigh one token (a separator). The decision depends on the
@@ -28,7 +29,8 @@ from pyspark.sql import functions as F
 
 from annuity.llm.common import fresh, stage
 
-MAX_CATEGORIES = 64
+# What the driver may hold; larger tables of cells are raked in Spark.
+MAX_CELLS = 1 << 17
 TEMPERATURE = 0.5
 KEEP = 0.5
 SEED = 7
@@ -119,6 +121,80 @@ def measured(docs: DataFrame, seed: int = SEED, topic: Column | None = None) ->
                              names["draw"]: draw.cast("long")}), names
 
 
+def _raked_here(cells: DataFrame, targets: dict[str, dict[str, float]], keep: float) -> list[tuple]:
+    """(source, lang, topic, weight, probability) of at most ``MAX_CELLS`` cells."""
+    rows = sorted(cells.collect(), key=lambda r: [r[m] for m in MARGINALS])
+    if not rows:
+        return []
+    tokens = np.array([float(r["tokens"]) for r in rows])
+    index, wanted = [], []
+    for m in MARGINALS:
+        totals: dict[str, float] = {}
+        for r in rows:
+            totals[r[m]] = totals.get(r[m], 0) + r["tokens"]
+        given = targets[m] if m in targets else tempered(totals)
+        place = {c: k for k, c in enumerate(sorted({*given, *totals}))}
+        index.append([place[r[m]] for r in rows])
+        wanted.append(np.array([given.get(c, 0.0) for c in place]))
+    share, _ = rake(np.array(index).T, tokens, wanted, min(keep, 1.0))
+    odds = probabilities(share, tokens, keep)
+    return [(*[r[m] for m in MARGINALS], float(s * tokens.sum() / t), float(p))
+            for r, t, s, p in zip(rows, tokens, share, odds)]
+
+
+def _wanted(cells: DataFrame, marginal: str, given: dict[str, float] | None) -> DataFrame:
+    """(category, target share) of the categories that occur, as ``rake`` has them."""
+    there = cells.groupBy(marginal).agg(F.sum("tokens").alias("t"))
+    if given is None:
+        there = there.withColumn("goal", F.pow("t", F.lit(TEMPERATURE)))
+    else:
+        named = cells.sparkSession.createDataFrame(
+            [(c, float(x)) for c, x in given.items()], f"`{marginal}` string, goal double")
+        there = there.join(named, marginal, "left").withColumn("goal", F.coalesce("goal", F.lit(0.0)))
+    there = stage(there, "mixture-targets", narrow=True)
+    total, n = there.agg(F.sum("goal"), F.count("*")).first()
+    return there.select(marginal, (F.col("goal") / total if total else F.lit(1 / n)).alias("goal"))
+
+
+def _raked_there(cells: DataFrame, targets: dict[str, dict[str, float]], keep: float) -> DataFrame:
+    """The rows of ``_raked_here`` by the steps of ``rake`` and ``probabilities``, over a table of cells of any size.
+
+    The cells are written after each step. It also ends when a round moves no cell by more than ``TOLERANCE``
+    of its share, as further rounds would not either.
+    """
+    keep, total = min(keep, 1.0), float(cells.agg(F.sum("tokens")).first()[0])
+    most = F.col("tokens") / total / keep if keep else F.lit(float("inf"))
+    wanted = {m: _wanted(cells, m, targets.get(m)) for m in MARGINALS}
+    plain = [*MARGINALS, "tokens"]
+    state = cells.select(*plain, (F.col("tokens") / total).alias("share"))
+    for _ in range(ROUNDS):
+        state = state.withColumn("before", F.col("share"))
+        for m in MARGINALS:
+            factors = (state.groupBy(m).agg(F.sum("share").alias("now")).join(wanted[m], m)
+                       .select(m, F.when(F.col("now") > 0, F.col("goal") / F.col("now")).otherwise(0.0).alias("factor")))
+            state = stage(state.join(factors, m).select(
+                *plain, F.least(F.col("share") * F.col("factor"), most).alias("share"), "before"),
+                          "mixture-raked", narrow=True)
+        off = max(state.groupBy(m).agg(F.sum("share").alias("now")).join(wanted[m], m)
+                  .agg(F.max(F.abs(F.col("now") - F.col("goal")))).first()[0] for m in MARGINALS)
+        if off < TOLERANCE or not state.where(F.abs(F.col("share") - F.col("before")) > TOLERANCE * F.col("before")).take(1):
+            break
+    budget, share, tokens = keep * total, F.col("share"), F.col("tokens")
+    if budget > (state.where(share > 0).agg(F.sum("tokens")).first()[0] or 0):
+        chance = (share > 0).cast("double")
+    else:
+        # Cells at probability one, and the scale that gives the others the rest, until no further cell reaches one.
+        scale, full = 0.0, -1
+        while True:
+            above = F.lit(scale) * share > tokens
+            got = state.agg(F.count(F.when(above, 1)), F.sum(F.when(above, tokens)), F.sum(F.when(~above, share))).first()
+            if got[0] == full:
+                break
+            full, scale = got[0], max(scale, (budget - (got[1] or 0)) / max(got[2] or 0.0, 1e-300))
+        chance = F.least(F.lit(1.0), F.lit(scale) * share / tokens)
+    return state.select(*MARGINALS, (share * total / tokens).alias("weight"), chance.alias("chance"))
+
+
 def mixed(rows: DataFrame, names: dict[str, str], targets: dict[str, dict[str, float]] | None = None,
           keep: float = KEEP) -> tuple[DataFrame, dict[str, str]]:
     """``measured`` rows with weight, probability and selected; and the names of all added columns.
@@ -129,37 +205,21 @@ def mixed(rows: DataFrame, names: dict[str, str], targets: dict[str, dict[str, f
     added = ("weight", "probability", "selected")
     names = names | dict(zip(added, fresh(rows, *added)))
     at = {"source": "source", "lang": "lang", "topic": names["topic"]}
-    # One row per (source, lang, topic) that occurs, before categories are folded.
-    seen = stage(rows.groupBy(*[F.coalesce(F.col(at[m]), F.lit(NONE)).alias(m) for m in MARGINALS])
-                 .agg(F.sum(names["tokens"]).alias("tokens")), "mixture-cells", narrow=True)
-    wanted = {}
-    for m in MARGINALS:
-        given = (targets or {}).get(m)
-        if given is None:
-            top = seen.groupBy(m).agg(F.sum("tokens").alias("t")).orderBy(F.desc("t"), m).limit(MAX_CATEGORIES).collect()
-            own = [r[m] for r in top]
-            rest = seen.where(~F.col(m).isin(own)).agg(F.sum("tokens")).first()[0] or 0
-            given = tempered({r[m]: r["t"] for r in top} | ({OTHER: rest} if rest else {}))
-        wanted[m] = given
-    # At most (MAX_CATEGORIES + 1) cells per marginal, multiplied.
-    cells = (seen.groupBy(*[category(F.col(m), list(wanted[m])).alias(m) for m in MARGINALS])
-             .agg(F.sum("tokens").alias("tokens")).orderBy(*MARGINALS).collect())
-    if cells:
-        places = [sorted({*wanted[m], OTHER}) for m in MARGINALS]
-        index = np.array([[places[k].index(r[m]) for k, m in enumerate(MARGINALS)] for r in cells])
-        tokens = np.array([float(r["tokens"]) for r in cells])
-        share, _ = rake(index, tokens, [np.array([wanted[m].get(c, 0.0) for c in places[k]])
-                                        for k, m in enumerate(MARGINALS)], min(keep, 1.0))
-        odds = probabilities(share, tokens, keep)
-        table = [(*[r[m] for m in MARGINALS], float(s * tokens.sum() / t), float(p))
-                 for r, t, s, p in zip(cells, tokens, share, odds)]
-    else:
-        table = []
+    targets = {m: t for m, t in (targets or {}).items() if t is not None}
+    own = {m: category(F.col(at[m]), list(targets[m])) if m in targets else F.coalesce(F.col(at[m]), F.lit(NONE))
+           for m in MARGINALS}
+    # One row per (source, lang, topic) that occurs.
+    cells = stage(rows.groupBy(*[own[m].alias(m) for m in MARGINALS])
+                  .agg(F.sum(names["tokens"]).alias("tokens")), "mixture-cells", narrow=True)
     *keys, weight, chance = fresh(rows, *[f"cell_{m}" for m in MARGINALS], "cell_weight", "cell_chance")
-    lookup = rows.sparkSession.createDataFrame(
-        table, ", ".join([*[f"`{k}` string" for k in keys], f"`{weight}` double", f"`{chance}` double"]))
-    on = [category(F.col(at[m]), list(wanted[m])) == F.col(k) for m, k in zip(MARGINALS, keys)]
-    picked = rows.join(F.broadcast(lookup), on).select(
+    if cells.count() <= MAX_CELLS:
+        lookup = F.broadcast(rows.sparkSession.createDataFrame(
+            _raked_here(cells, targets, keep),
+            ", ".join([*[f"`{k}` string" for k in keys], f"`{weight}` double", f"`{chance}` double"])))
+    else:
+        # Texts are not sorted for this join.
+        lookup = _raked_there(cells, targets, keep).toDF(*keys, weight, chance).hint("shuffle_hash")
+    picked = rows.join(lookup, [own[m] == F.col(k) for m, k in zip(MARGINALS, keys)]).select(
         *rows.columns, F.col(weight).alias(names["weight"]), F.col(chance).alias(names["probability"]))
     chosen = F.col(names["draw"]) < F.col(names["probability"]) * float(16 ** HASH_DIGITS)
     return picked.withColumn(names["selected"], chosen), names

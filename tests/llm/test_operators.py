@@ -134,6 +134,37 @@ def test_mixture_follows_given_targets(spark):
     assert pdf[pdf[names["selected"]]][names["tokens"]].sum() == pytest.approx(0.3 * pdf[names["tokens"]].sum(), rel=0.15)
 
 
+def test_every_source_has_its_own_target(spark):
+    """300 rare sources beside a large one: each gets the square root of its share, none is folded."""
+    sizes = [("big", 90_000)] + [(f"s{i:03}", 100 + i % 3 * 50) for i in range(300)]
+    rows = spark.createDataFrame([(i, s, "en", "note", n, 0) for i, (s, n) in enumerate(sizes)],
+                                 "doc_id long, source string, lang string, topic string, tokens long, draw long")
+    names = {"tokens": "tokens", "topic": "topic", "draw": "draw"}
+    got = {r["source"]: r["weight"] * r["tokens"] for r in mixing.mixed(rows, names, keep=0.01)[0].collect()}
+    total, roots = sum(n for _, n in sizes), sum(n ** 0.5 for _, n in sizes)
+    assert all(got[s] / total == pytest.approx(n ** 0.5 / roots, rel=1e-6) for s, n in sizes)
+
+
+@pytest.mark.parametrize("targets,keep", [(None, 0.5), ({"lang": {"en": 0.5, "fr": 0.2, "xx": 0.1, "other": 0.2}}, 0.3), (None, 1.0)])
+def test_cells_raked_in_spark_equal_those_on_the_driver(spark, monkeypatch, targets, keep):
+    monkeypatch.setattr(mixing, "ROUNDS", 4)
+    rng = np.random.default_rng(3)
+    rows = spark.createDataFrame(
+        [(i, [None, *"abcdef"][int(rng.integers(7) * rng.random())], ["en", "fr", "de", "es", None][rng.integers(5)],
+          ["note", "table"][rng.integers(2)], int(rng.integers(1, 1000)), int(rng.integers(16 ** 13))) for i in range(200)],
+        "doc_id long, source string, lang string, topic string, tokens long, draw long")
+    names = {"tokens": "tokens", "topic": "topic", "draw": "draw"}
+    found = []
+    for most in (mixing.MAX_CELLS, 0):
+        monkeypatch.setattr(mixing, "MAX_CELLS", most)
+        out = mixing.mixed(rows, names, targets, keep)[0].orderBy("doc_id").collect()
+        assert len(out) == 200
+        found.append(np.array([(r["weight"], r["probability"]) for r in out]))
+    assert np.allclose(*found, rtol=1e-9)
+    tokens = np.array([r["tokens"] for r in out])
+    assert (tokens * found[1][:, 1]).sum() == pytest.approx(keep * tokens.sum())
+
+
 def test_ledger_policies_and_ablations(spark):
     words = " ".join(f"word{i}" for i in range(60))
     docs = spark.createDataFrame([(1, words), (2, "a b"), (3, "a b c " * 30), (4, words.upper()), (5, "*** " * 60), (6, None)],
