@@ -7,13 +7,14 @@ the repetition. All are hashed into 2^``FEATURE_BITS`` weights; values are
 log(1 + count), scaled to length one per text.
 
 Training: follow-the-regularised-leader updates, one text at a time, over at
-most ``MAX_TRAIN`` labelled rows outside the held-out ids (those of lowest id
-hash), ``EPOCHS`` times over. One task streams over their sparse features, so its memory is bounded
-by the weights. Scoring: sparse dot products over whole texts.
+most ``MAX_TRAIN`` distinct labelled texts outside the held-out ids (of the
+``MAX_TRAIN`` ids of lowest hash, the pairs of id and text of lowest hash),
+``EPOCHS`` times over. One task streams over their sparse features, so its
+memory is bounded by the weights. Scoring: sparse dot products over whole texts.
 
 Rows: one per input row. Null and empty texts have no feature but the bias.
 An id with several labels counts as good if one says so; null labels are left
-out. Repeated rows are scored alike. With no labels all scores are 0.5. An
+out. Repeated rows are learned from once and scored alike. With no labels all scores are 0.5. An
 empty table gives an empty result.
 """
 
@@ -93,9 +94,15 @@ def follow_leader(examples: Iterator[tuple[np.ndarray, np.ndarray, int]]) -> np.
 
 
 def _featured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Features of a task's distinct pairs, of which there are at most those chosen."""
+    met: set[tuple] = set()
     for pdf in batches:
+        # ``at`` stands for the id.
+        new = [k not in met and not met.add(k) for k in zip(pdf["at"], pdf["hash"])]
+        pdf = pdf[np.array(new, bool)]
         rows = [features(t) for t in pdf["text"]]
-        yield pd.DataFrame({"at": pdf["at"], "label": pdf["label"], "ids": [i.astype(np.int32).tobytes() for i, _ in rows],
+        yield pd.DataFrame({"at": pdf["at"], "hash": pdf["hash"], "label": pdf["label"],
+                            "ids": [i.astype(np.int32).tobytes() for i, _ in rows],
                             "vals": [v.astype(np.float32).tobytes() for _, v in rows]})
 
 
@@ -106,15 +113,21 @@ def _trained(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> np.ndarray:
-    """Weights learned from at most ``max_train`` labelled ids."""
+    """Weights learned from at most ``max_train`` distinct texts of labelled ids."""
     at = F.xxhash64("doc_id")
     chosen = (labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()
                            & ~held_out(F.col("doc_id"), FOLDS, FOLD))
               .groupBy("doc_id").agg(F.max("quality").alias("label"))
               .select(F.col("doc_id").alias("_id"), "label", at.alias("at")).orderBy("at", "_id").limit(max_train))
-    # At most max_train rows of two numbers: a proven bound.
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
-    rows = rows.select("at", "label", "text").mapInPandas(_featured, "at long, label int, ids binary, vals binary")
+    own, text_hash = docs.select("doc_id", "text"), F.xxhash64("text")
+    # An id may have any number of rows and texts: the pairs themselves are bounded, too.
+    pairs = (own.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
+             .select("_id", "label", "at", text_hash.alias("hash")).distinct()
+             .orderBy(F.xxhash64("at", "hash"), "at", "hash").limit(max_train))
+    # At most max_train rows of four numbers: a proven bound.
+    rows = own.join(F.broadcast(pairs), (F.col("doc_id") == F.col("_id")) & (text_hash == F.col("hash")))
+    rows = rows.select("at", "hash", "label", "text").mapInPandas(
+        _featured, "at long, hash long, label int, ids binary, vals binary").dropDuplicates(["at", "hash"])
     # Sorted also by content, so repeated ids are met in one order.
     epochs = F.explode(F.sequence(F.lit(1), F.lit(EPOCHS))).alias("epoch")
     ordered = rows.select("*", epochs).repartition(1).sortWithinPartitions("epoch", "at", "ids")

@@ -165,3 +165,16 @@ def test_training_is_bounded(spark):
     docs, labels = read_table(spark, MID, "documents"), read_table(spark, MID, "labels")
     assert np.count_nonzero(quality_classifier.train(docs, labels, max_train=5)) < np.count_nonzero(
         quality_classifier.train(docs, labels, max_train=50))
+
+
+def test_one_id_with_many_rows_does_not_rule(spark):
+    """Repeated rows teach once, and an id with many texts gives no more rows than the bound."""
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    plain = [(i, f"word{i} text{i}") for i in range(40)]
+    single, often = (spark.createDataFrame(r, "doc_id long, text string").repartition(3) for r in (plain, plain + plain[1:3] * 50))
+    assert (quality_classifier.train(single, labels) == quality_classifier.train(often, labels)).all()
+    texts = spark.createDataFrame(plain + [(1, f"other{i}") for i in range(300)], "doc_id long, text string").repartition(3)
+    # Each text has at most seven features besides the bias.
+    assert 0 < np.count_nonzero(quality_classifier.train(texts, labels, max_train=40)) <= 40 * 7 + 1
+    one = labels.where("doc_id = 1")
+    assert 0 < np.count_nonzero(quality_classifier.train(texts, one, max_train=3)) <= 3 * 7 + 1
