@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from annuity.llm import (inner_product, language_id, license_scan, mixing, packing, quality_classifier, rule_ledger,
-                         sharding, simhash, toxicity)
+from annuity.llm import (hard_negatives, inner_product, language_id, license_scan, mixing, packing, quality_classifier,
+                         ranked_search, rule_ledger, sharding, simhash, token_counts, toxicity)
 from annuity.llm.common import read_table
 
 
@@ -47,6 +47,18 @@ def op10_quality_rules(spark, sf_dir):
     return rule_ledger.op10(read_table(spark, sf_dir, "documents"))
 
 
+def op11_token_counts(spark, sf_dir):
+    return token_counts.op11(read_table(spark, sf_dir, "documents"))
+
+
+def op12_hard_negatives(spark, sf_dir):
+    return hard_negatives.op12(read_table(spark, sf_dir, "embeddings"))
+
+
+def op13_ranked_search(spark, sf_dir):
+    return ranked_search.op13(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_sharding": op2_sharding,
@@ -58,6 +70,9 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_language_id": op9_language_id,
     "op10_quality_rules": op10_quality_rules,
+    "op11_token_counts": op11_token_counts,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_ranked_search": op13_ranked_search,
 }
 
 
@@ -67,4 +82,6 @@ def oracle_queries() -> dict[str, str]:
         "op4_exact_top_k": inner_product.op4_sql(),
         "op6_license_scans": license_scan.op6_sql(),
         "op10_quality_rules": rule_ledger.op10_sql(),
+        "op12_hard_negatives": hard_negatives.op12_sql(),
+        "op13_ranked_search": ranked_search.op13_sql(),
     }

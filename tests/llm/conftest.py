@@ -37,7 +37,13 @@ def edge_dirs(edge_docs, no_docs, spark, tmp_path_factory):
             f"{folder}/labels.parquet")
         vectors = [(0, [1.0, 2.0]), (0, [1.0, 2.0]), (1, [1.0, 2.0]), (2, [1.0]), (3, []), (4, None), (5, [None, 1.0]),
                    (6, [float("nan"), 1.0]), (7, [float("inf"), 1.0]), (20, [-0.5, 0.01]), (None, [1.0, 1.0]), (40, [0.0, 0.0, 3.0])]
-        spark.createDataFrame(vectors if name == "edge" else [], "vec_id long, embedding array<float>").write.parquet(
-            f"{folder}/embeddings.parquet")
+        vectors += [(100, [1.0, 0.5]), (100, [2.0, 0.5]), (100, [1.0, 0.5]), (200, [3.0]), (700, [1.0, -1.0]), (300, []), (400, [0.0, 0.0])]
+        labels = [0, 0, 1, 1, 0, 0, 0, 0, 1, 2, 1, None, 0, 1, 0, 1, 0, 2]
+        spark.createDataFrame([(*v, labels[k % len(labels)]) for k, v in enumerate(vectors)] if name == "edge" else [],
+                              "vec_id long, embedding array<float>, label int").write.parquet(f"{folder}/embeddings.parquet")
+        items = [(1, "the and ondre"), (1, "the and ondre"), (2, None), (3, ""), (None, "THE mit license, the"), (4, "absent"),
+                 (5, "é中\U0001F600 á one " * 50), (6, "!!!")]
+        spark.createDataFrame([(*x, 1, "score") for x in items] if name == "edge" else [],
+                              "item_id long, text string, item int, terms string").write.parquet(f"{folder}/benchmark.parquet")
         out.append(str(folder))
     return out

@@ -12,7 +12,7 @@ NATIVE = ("op6_license_scans", "op10_quality_rules")
 
 def tables(folder, single):
     con = duckdb.connect()
-    for name in ("documents", "embeddings", "labels"):
+    for name in ("documents", "embeddings", "labels", "benchmark"):
         con.execute(f"create view {name} as select * from read_parquet('{folder}/{name}.parquet{'' if single else '/*.parquet'}')")
     return con
 
