@@ -31,7 +31,9 @@ from __future__ import annotations
 
 import json
 import re
+from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -44,18 +46,19 @@ VOCABULARY = "byte_bpe_50k.json"
 LIMIT = 1024
 BLOCK = 16384
 PART = 1 << 20
-CACHED_PIECES = 300_000
-CACHED_PAIRS = 300_000
-CACHED_STATES = 500_000
+CACHED_PIECES = 500_000
+CACHED_PAIRS = 500_000
 CACHED_LENGTH = 64
 TABLE = ("row long, doc_id {id}, start long, counts array<int>, n_chars long, n_tokens long, last boolean")
 
 # Characters that byte-level vocabularies spell as themselves, and the white space of their patterns.
 _PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
-_WHITE = re.compile("[\t-\r \x85\xa0  -     　]+")
+_SPACES = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_WHITE = re.compile(f"[{_SPACES}]+")
+_RUN = re.compile(f"[{_SPACES}]{{2}}")
 _CONTRACTIONS = ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d")
 # Characters whose class every library agrees on; other texts are cut by the tokenizer itself.
-_PLAIN = re.compile("[\t\n\r -~À-ÖØ-öø-ıĲ-ž‘-”–—…]*")
+_PLAIN = re.compile("[\t\n\r -~\xc0-\xd6\xd8-\xf6\xf8-\u0131\u0132-\u017e\u2018-\u201d\u2013\u2014\u2026]*")
 _PIECES = re.compile("|".join(_CONTRACTIONS) + r"| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
 # A single space between two words: the text is always cut before it.
 _SEAM = re.compile(r"(?<=[A-Za-z]) (?=[A-Za-z])")
@@ -71,6 +74,28 @@ def _spelling() -> dict[int, str]:
     return out
 
 
+class _Pieces(dict):
+    """Counts by piece; what is missing is computed, and kept if it is short.
+
+    When it is full, what was used since the last time stays.
+    """
+
+    def __init__(self, compute):
+        super().__init__()
+        self.compute, self.older = compute, {}
+
+    def __missing__(self, piece: str) -> bytes:
+        found = self.older.get(piece)
+        if found is None:
+            found = self.compute(piece)
+        if len(piece) <= CACHED_LENGTH:
+            if len(self) >= CACHED_PIECES:
+                self.older = dict(self)
+                self.clear()
+            self[piece] = found
+        return found
+
+
 class Prefixes:
     """Counts of tokens at every prefix under one byte-level vocabulary."""
 
@@ -91,9 +116,8 @@ class Prefixes:
         self.spelling = _spelling()
         special = sorted((t["content"] for t in spec["added_tokens"]), key=len, reverse=True)
         self.special = re.compile("|".join(map(re.escape, special))) if special else None
-        self.pieces: dict[str, bytes] = {}
+        self.pieces = _Pieces(self._piece)
         self.pairs: dict[tuple[str, str], bool] = {}
-        self.states: dict[str, tuple[int, str]] = {}
 
     def _neighbours(self, left: str, right: str) -> bool:
         key = (left, right)
@@ -105,48 +129,39 @@ class Prefixes:
             found = self.pairs[key] = parts == ([left, right] if left else [right])
         return found
 
-    def _piece(self, piece: str) -> np.ndarray:
-        """The count at every character of one piece."""
-        raw = piece.encode("utf-8", "surrogatepass")
-        spelled = raw.decode("latin-1").translate(self.spelling)
-        known = self.states if len(spelled) <= CACHED_LENGTH else None
+    def _piece(self, piece: str) -> bytes:
+        """The count at every character of one piece, as 32-bit numbers."""
+        spelled = piece.replace(" ", self.spelling[32]) if piece.isascii() and piece.isprintable() else (
+            piece.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.spelling))
+        vocabulary, pairs = self.vocabulary, self.pairs
         count, last = [0], [""]
-        for end in range(1, len(spelled) + 1):
-            state = known.get(spelled[:end]) if known is not None else None
-            if state is None:
-                # Only one token fits, so the likeliest may be tried first: the last one grown, then a new one.
-                grown = end - 1 - len(last[-1])
-                for begin in (grown, end - 1, *range(max(0, end - self.longest), end - 1)):
-                    token = spelled[begin:end]
-                    if token in self.vocabulary and self._neighbours(last[begin], token):
-                        state = count[begin] + 1, token
-                        break
-                else:
-                    raise ValueError(f"no encoding ends at byte {end} of {piece[:50]!r}")
-                if known is not None:
-                    known[spelled[:end]] = state
-            count.append(state[0])
-            last.append(state[1])
-        counts = np.array(count[1:], "<i4")
-        if len(raw) != len(piece):  # where a character ends
-            counts = counts[np.append((np.frombuffer(raw, np.uint8) & 0xC0 != 0x80)[1:], True)]
+        for end, new in enumerate(spelled, 1):
+            # Only one token fits, so the likeliest may be tried first: the last one grown by a character, then that character.
+            left = last[-1]
+            begin, token = end - 1 - len(left), left + new
+            if token not in vocabulary or not (pairs.get((last[begin], token)) or self._neighbours(last[begin], token)):
+                begin, token = end - 1, new
+                if not (pairs.get((left, token)) or self._neighbours(left, token)):
+                    for begin in range(max(0, end - self.longest), end - 1):
+                        token = spelled[begin:end]
+                        if token in vocabulary and self._neighbours(last[begin], token):
+                            break
+                    else:
+                        raise ValueError(f"no encoding ends at byte {end} of {piece[:50]!r}")
+            count.append(count[begin] + 1)
+            last.append(token)
+        if len(spelled) == len(piece) and piece not in _CONTRACTIONS:
+            return array("i", count[1:]).tobytes()
+        counts = np.array(count[1:], np.int32)
+        if len(spelled) != len(piece):  # where a character ends
+            raw = np.frombuffer(piece.encode("utf-8", "surrogatepass"), np.uint8)
+            counts = counts[np.append(raw[1:] & 0xC0 != 0x80, True)]
         if piece in _CONTRACTIONS and len(piece) == 3:  # a part of it is no contraction
             counts[1] = self._whole("'") + self._whole(piece[1])
-        return counts
+        return counts.tobytes()
 
     def _whole(self, piece: str) -> int:
-        return int(np.frombuffer(self._counts(piece), "<i4")[-1])
-
-    def _counts(self, piece: str) -> bytes:
-        found = self.pieces.get(piece)
-        if found is None:
-            found = self._piece(piece).tobytes()
-            if len(piece) <= CACHED_LENGTH:
-                if len(self.pieces) > CACHED_PIECES or len(self.states) > CACHED_STATES:
-                    self.pieces.clear()
-                    self.states.clear()
-                self.pieces[piece] = found
-        return found
+        return int(np.frombuffer(self.pieces[piece], np.int32)[-1])
 
     def cut(self, text: str) -> list[str]:
         if _PLAIN.fullmatch(text):
@@ -158,16 +173,17 @@ class Prefixes:
         parts = self.cut(text)
         if not parts:
             return np.zeros(0, np.int64)
-        counts = np.frombuffer(b"".join(map(self._counts, parts)), "<i4").astype(np.int64)
+        counts = np.frombuffer(b"".join(map(self.pieces.__getitem__, parts)), np.int32).astype(np.int64)
         lengths = np.fromiter(map(len, parts), np.int64, len(parts))
         ends = lengths.cumsum()
         totals = counts[ends - 1]
         before = totals.cumsum() - totals
         counts += np.repeat(before, lengths)
-        for k, part in enumerate(parts[:-1]):
-            if part[-1].isspace() and _WHITE.fullmatch(part) and _WHITE.match(parts[k + 1]):
-                # A prefix that ends with this run has it in one piece.
-                counts[ends[k]] = before[k] + self._whole(part + parts[k + 1][0])
+        if _RUN.search(text):
+            for k, part in enumerate(parts[:-1]):
+                if part[-1].isspace() and _WHITE.fullmatch(part) and _WHITE.match(parts[k + 1]):
+                    # A prefix that ends with this run has it in one piece.
+                    counts[ends[k]] = before[k] + self._whole(part + parts[k + 1][0])
         return counts
 
     def parts(self, text: str) -> Iterator[np.ndarray]:
@@ -199,6 +215,12 @@ def tokenizer_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
+@lru_cache(maxsize=1)
+def prefixes_of(path: str) -> Prefixes:
+    """Kept by a Python worker from task to task: most pieces of a task's texts are known from the last one's."""
+    return Prefixes(path)
+
+
 def _blocks(prefixes: Prefixes, text: str, block: int) -> Iterator[np.ndarray]:
     left = np.zeros(0, np.int64)
     for counts in prefixes.parts(text):
@@ -220,7 +242,7 @@ def prefix_table(docs: DataFrame, path: str | None = None, text: str = "text", d
     kind = docs.schema[doc_id].dataType.simpleString()
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        prefixes = Prefixes(path or tokenizer_path())
+        prefixes = prefixes_of(path or tokenizer_path())
         for batch in batches:
             place, start, arrays, tokens, last = [], [], [], [], []
             held = 0
