@@ -3,6 +3,8 @@
 from annuity.functions.fixedwidth import (
     BLANK,
     Field,
+    Layout,
+    Slot,
     blank,
     ddmmyy,
     fixed_width,
@@ -16,6 +18,8 @@ from annuity.functions.fixedwidth import (
 __all__ = [
     "BLANK",
     "Field",
+    "Layout",
+    "Slot",
     "blank",
     "ddmmyy",
     "fixed_width",

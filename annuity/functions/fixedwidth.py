@@ -25,6 +25,85 @@ class Field:
     column: Column
 
 
+@dataclass(frozen=True)
+class Slot:
+    """A place in a record: ``text``, ``int`` (sign included), ``date`` (ddMMyy), ``money`` (whole part and
+    two decimals without a point) or ``blank``."""
+
+    name: str
+    width: int
+    kind: str = "text"
+
+
+@dataclass(frozen=True)
+class Layout:
+    """The slots of one record type, in order; the same table writes records and reads them."""
+
+    record_type: int
+    slots: tuple[Slot, ...]
+
+    @property
+    def width(self) -> int:
+        return sum(s.width for s in self.slots)
+
+    def positions(self) -> list[tuple[Slot, int]]:
+        """Each slot with its first character, counted from 1."""
+        out, start = [], 1
+        for slot in self.slots:
+            out.append((slot, start))
+            start += slot.width
+        return out
+
+    def fields(self, **values: Column) -> list[Field]:
+        """The record's fields from typed values, one for every slot that is neither blank nor the record type."""
+        wanted = {s.name for s in self.slots if s.kind != "blank"} - {RECORD_TYPE}
+        if set(values) != wanted:
+            raise ValueError(f"record {self.record_type}: values {sorted(values)} for slots {sorted(wanted)}")
+        values[RECORD_TYPE] = F.lit(str(self.record_type))
+        return [Field(s.name, s.width, blank(s.width) if s.kind == "blank" else _written(s, values[s.name])) for s in self.slots]
+
+    def parsed(self, record: Column, latest_year: int) -> dict[str, Column]:
+        """Typed values of a line by slot, null where a field is empty or does not parse.
+
+        Two-digit years lie in the hundred years up to ``latest_year``.
+        """
+        return {s.name: _read(s, F.substring(record, start, s.width), latest_year)
+                for s, start in self.positions() if s.kind != "blank"}
+
+    def unreadable(self, record: Column, latest_year: int) -> Column:
+        """The first field that does not read back as its kind, else null; blank fields must be blank."""
+        bad = [F.when(F.trim(F.substring(record, start, s.width)) != "" if s.kind == "blank" else values.isNull(), F.lit(s.name))
+               for s, start in self.positions()
+               for values in [None if s.kind == "blank" else _read(s, F.substring(record, start, s.width), latest_year)]]
+        return F.when(F.length(record) != self.width, F.lit("length")).otherwise(F.coalesce(*bad))
+
+
+RECORD_TYPE = "record_type"
+
+
+def _written(slot: Slot, value: Column) -> Column:
+    if slot.kind == "date":
+        return ddmmyy(value)
+    if slot.kind == "int":
+        return signed_int(value, slot.width)
+    if slot.kind == "money":
+        return F.concat(*money_parts(value, slot.width - 2))
+    return value
+
+
+def _read(slot: Slot, text: Column, latest_year: int) -> Column:
+    if slot.kind == "text":
+        return text
+    if slot.kind == "int":
+        return F.when(text.rlike("^-?[0-9]+$"), text).try_cast("int")
+    if slot.kind == "money":
+        return (F.when(text.rlike("^-?[0-9]+$"), text).try_cast("decimal(18,0)") / 100).cast(f"decimal({slot.width + 4},2)")
+    first = latest_year - 99
+    year = F.pmod(F.substring(text, 5, 2).try_cast("int") - first, F.lit(100)) + first
+    day = F.concat_ws("-", year.cast("string"), F.substring(text, 3, 2), F.substring(text, 1, 2))
+    return F.when(text.rlike("^[0-9]{6}$"), day).try_cast("date")
+
+
 def blank(n: int) -> Column:
     return F.lit(BLANK * n)
 

@@ -1,36 +1,34 @@
-"""Fixed-width exchange file: typed 80-character records, header, trailer, rejects.
-
-Layouts (width in brackets, ``_`` = blank until the line is accepted):
-
-  100 header       100(3) _(13) start(6) end(6) GB(2) GBP(3) _(47)
-  200 renewal      200(3) _ + pub[:2] + B(4) _ + pub[2:](8) C(1) filing(6) due(6)
-                   then own year:  __ year(2) 00|02(2) __ fee(8+2) share(8+2) pct+00(4)
-                                   filed(6) 0(10) _(4)
-                   or year 3 / 4:  __ 03|04(2) 00(2) __ 0(10) fee(8+2) 0000(4) filed(6)
-                                   0(10) _(4)
-  400 lapse        400(3) prefix(4) number(8) _(1) filing(6) _(10) code(2) _(26) processed(6) _(14)
-  500 restoration  500(3) prefix(4) number(8) _(1) filing(6) _(38) processed(6) _(14)
-  600 licence      600(3) prefix(4) number(8) _|D(1) filing(6) processed(6) first(2) last(2)
-                   50(2) _(46)
-  900 trailer      900(3) _(12) C(1) _(2) prescribed(13+2) remitted(13+2) run date(6)
-                   POA 35/28(9) _(17)
-
-Dates are ddMMyy. A renewal emits its year 3 and year 4 lines (when that fee
-is at least 1.00) before its own line. A row with a missing required field, an
-unknown code or a field that does not have its width goes to the rejects table
-with a reason. Payments that would print the same lines are written once; the
-repeats are rejected as such. So the trailer totals plus the rejected amounts
-are the totals of the period.
+"""Fixed-width exchange file: typed 80-character records, header, trailer, rejects, and reading it back.
+
+``LAYOUTS`` holds every record type as slots (name, width, kind); the writer
+builds lines from it and the reader cuts them by it. Blanks are written as
+``_`` until the line is accepted. Dates are ddMMyy, money is the whole part
+and two decimals without a point.
+
+  100 header, 200 renewal, 400 lapse, 500 restoration, 600 licence of right, 900 trailer
+
+A renewal has a line of its own (its year, both amounts and the share) and
+before it one line each for its year 3 and year 4 minimum fee, when that fee is at
+least 1.00: year 03 or 04, nothing prescribed, the fee remitted.
+
+A row with a missing required field, an unknown code or a field that does not
+have its width goes to the rejects table with a reason. Rows that agree in
+every field a record is made of are one row with their number; the repeats
+are rejected as such. Lines are never made distinct after that: two payments of one day that
+share a year 3 line both remit it. So the amounts of the lines add up to the
+trailer (plus interest, which has no line), and the trailer plus the rejected
+amounts are the totals of the period. ``reconciled`` checks this on the file as read back.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
 from annuity.config import RunConfig
-from annuity.functions import Field, blank, ddmmyy, fixed_width, money_parts, signed_int, wrong_width
-from annuity.schemas import MONEY_SUM
+from annuity.functions import BLANK, Field, Layout, Slot, fixed_width, wrong_width
+from annuity.schemas import MONEY, MONEY_SUM
 
 RECORD_LENGTH = 80
 
@@ -59,97 +57,81 @@ def _lit(s: str) -> Column:
     return F.lit(s)
 
 
-def _publication(code: int) -> list[Field]:
+_PUBLICATION = (Slot("record_type", 3), Slot("publication_prefix", 4), Slot("publication_number", 8))
+# The record layouts.
+LAYOUTS = {layout.record_type: layout for layout in (
+    Layout(TYPE_HEADER, (
+        Slot("record_type", 3), Slot("space1", 13, "blank"), Slot("start", 6, "date"), Slot("end", 6, "date"),
+        Slot("country", 2), Slot("currency", 3), Slot("space2", 47, "blank"))),
+    Layout(TYPE_RENEWAL, (
+        *_PUBLICATION, Slot("payment_indicator", 1), Slot("filing_date", 6, "date"), Slot("renewal_due_date", 6, "date"),
+        Slot("space", 2, "blank"), Slot("renewal_year", 2, "int"), Slot("reduced", 2), Slot("currency", 2, "blank"),
+        Slot("prescribed", 10, "money"), Slot("remitted", 10, "money"), Slot("pct_split", 4), Slot("date_filed", 6, "date"),
+        Slot("zeros", 10), Slot("end", 4, "blank"))),
+    Layout(TYPE_LAPSE, (
+        *_PUBLICATION, Slot("update_indicator", 1), Slot("filing_date", 6, "date"), Slot("space1", 10, "blank"),
+        Slot("lapse_code", 2), Slot("space2", 26, "blank"), Slot("lapse_date", 6, "date"), Slot("space3", 14, "blank"))),
+    Layout(TYPE_RESTORATION, (
+        *_PUBLICATION, Slot("update_indicator", 1), Slot("filing_date", 6, "date"), Slot("space1", 38, "blank"),
+        Slot("restore_date", 6, "date"), Slot("space2", 14, "blank"))),
+    Layout(TYPE_LOR, (
+        *_PUBLICATION, Slot("update_indicator", 1), Slot("filing_date", 6, "date"), Slot("lor_date", 6, "date"),
+        Slot("first_reduced_year", 2, "int"), Slot("last_reduced_year", 2, "int"), Slot("pct_reduction", 2),
+        Slot("space", 46, "blank"))),
+    Layout(TYPE_TRAILER, (
+        Slot("record_type", 3), Slot("space1", 12, "blank"), Slot("indicator", 1), Slot("space2", 2, "blank"),
+        Slot("prescribed", 15, "money"), Slot("remitted", 15, "money"), Slot("run_date", 6, "date"), Slot("reference", 9),
+        Slot("space3", 17, "blank"))),
+)}
+# A year 3 or 4 line has no share of its own.
+NO_SHARE = "0000"
+
+
+def _publication() -> dict[str, Column]:
     pub = F.col("publication_num")
-    return [
-        Field("record_type", 3, _lit(str(code))),
-        Field("publication_prefix", 4, F.concat(_lit("_"), F.substring(pub, 1, 2), _lit("B"))),
-        Field("publication_number", 8, F.concat(_lit("_"), F.substring(pub, 3, 1 << 20))),
-    ]
+    return {"publication_prefix": F.concat(_lit(BLANK), F.substring(pub, 1, 2), _lit("B")),
+            "publication_number": F.concat(_lit(BLANK), F.substring(pub, 3, 1 << 20)),
+            "filing_date": F.col("filing_date")}
 
 
-def _renewal_base() -> list[Field]:
-    return _publication(TYPE_RENEWAL) + [
-        Field("payment_indicator", 1, _lit("C")),
-        Field("filing_date", 6, ddmmyy("filing_date")),
-        Field("renewal_due_date", 6, ddmmyy("renewal_due_date")),
-    ]
-
-
-def _money(col: str, whole_width: int = 8) -> list[Field]:
-    whole, hundredths = money_parts(F.col(col), whole_width)
-    return [Field(f"{col}_whole", whole_width, whole), Field(f"{col}_hundredths", 2, hundredths)]
+def _renewal_fields(year: Column, reduced: Column, prescribed: Column, remitted: Column, pct: str) -> list[Field]:
+    return LAYOUTS[TYPE_RENEWAL].fields(
+        **_publication(), payment_indicator=_lit("C"), renewal_due_date=F.col("renewal_due_date"), renewal_year=year,
+        reduced=reduced, prescribed=prescribed, remitted=remitted, pct_split=_lit(pct), date_filed=F.col("date_filed"),
+        zeros=_lit("0" * 10))
 
 
 def renewal_layout(pct_split: int) -> list[Field]:
-    return _renewal_base() + [
-        Field("space", 2, blank(2)),
-        Field("renewal_year", 2, signed_int(F.col("renewal_year"), 2)),
-        Field("reduced", 2, F.when(F.col("lor_endorsement") == "NO", _lit("00")).otherwise(_lit("02"))),
-        Field("currency", 2, blank(2)),
-        *_money("renewal_fee"),
-        *_money("renewal_fee_epo"),
-        Field("pct_split", 4, _lit(f"{pct_split}00")),
-        Field("date_filed", 6, ddmmyy("date_filed")),
-        Field("end", 14, _lit("0" * 10 + "_" * 4)),
-    ]
+    reduced = F.when(F.col("lor_endorsement") == "NO", _lit("00")).otherwise(_lit("02"))
+    return _renewal_fields(F.col("renewal_year"), reduced, F.col("renewal_fee"), F.col("renewal_fee_epo"), f"{pct_split}00")
 
 
 def year_share_layout(year: int) -> list[Field]:
-    return _renewal_base() + [
-        Field("space", 2, blank(2)),
-        Field("renewal_year", 2, _lit(f"{year:02d}")),
-        Field("reduced", 2, _lit("00")),
-        Field("currency", 2, blank(2)),
-        Field("uk_amount", 10, _lit("0" * 10)),
-        *_money(f"renewal_fee_year{year}"),
-        Field("pct_split", 4, _lit("0000")),
-        Field("date_filed", 6, ddmmyy("date_filed")),
-        Field("end", 14, _lit("0" * 10 + "_" * 4)),
-    ]
+    return _renewal_fields(F.lit(year), _lit("00"), F.lit(0).cast(MONEY), F.col(f"renewal_fee_year{year}"), NO_SHARE)
 
 
 def lapse_layout() -> list[Field]:
-    code = F.coalesce(*[F.when(F.col("lapsed_reason") == k, _lit(v)) for k, v in LAPSE_CODES.items()],
-                      _lit(""))
-    return _publication(TYPE_LAPSE) + [
-        Field("update_indicator", 1, blank(1)),
-        Field("filing_date", 6, ddmmyy("filing_date")),
-        Field("space1", 10, blank(10)),
-        Field("lapse_code", 2, code),
-        Field("space2", 26, blank(26)),
-        Field("lapse_date", 6, ddmmyy("date_processed")),
-        Field("space3", 14, blank(14)),
-    ]
+    code = F.coalesce(*[F.when(F.col("lapsed_reason") == k, _lit(v)) for k, v in LAPSE_CODES.items()], _lit(""))
+    return LAYOUTS[TYPE_LAPSE].fields(**_publication(), update_indicator=_lit(BLANK), lapse_code=code,
+                                      lapse_date=F.col("date_processed"))
 
 
 def restoration_layout() -> list[Field]:
-    return _publication(TYPE_RESTORATION) + [
-        Field("update_indicator", 1, blank(1)),
-        Field("filing_date", 6, ddmmyy("filing_date")),
-        Field("space1", 38, blank(38)),
-        Field("restore_date", 6, ddmmyy("date_processed")),
-        Field("space2", 14, blank(14)),
-    ]
+    return LAYOUTS[TYPE_RESTORATION].fields(**_publication(), update_indicator=_lit(BLANK), restore_date=F.col("date_processed"))
 
 
 def lor_layout() -> list[Field]:
-    return _publication(TYPE_LOR) + [
-        Field("update_indicator", 1,
-              F.when(F.col("Addition_Deletion") == "A", blank(1)).otherwise(_lit("D"))),
-        Field("filing_date", 6, ddmmyy("filing_date")),
-        Field("lor_date", 6, ddmmyy("date_processed")),
-        Field("first_reduced_year", 2, signed_int(F.col("first_reduced_year"), 2)),
-        Field("last_reduced_year", 2, signed_int(F.col("last_reduced_year"), 2)),
-        Field("pct_reduction", 2, _lit(LOR_REDUCTION_PCT)),
-        Field("space", 46, blank(46)),
-    ]
+    return LAYOUTS[TYPE_LOR].fields(
+        **_publication(), update_indicator=F.when(F.col("Addition_Deletion") == "A", _lit(BLANK)).otherwise(_lit("D")),
+        lor_date=F.col("date_processed"), first_reduced_year=F.col("first_reduced_year"),
+        last_reduced_year=F.col("last_reduced_year"), pct_reduction=_lit(LOR_REDUCTION_PCT))
 
 
 # A missing minimum fee leaves the renewal's year 3 or 4 amount empty.
 MISSING_REASONS = {"renewal_fee_year3": "no minimum fee for year 3", "renewal_fee_year4": "no minimum fee for year 4"}
 UNKNOWN_LAPSE = "unknown lapse reason"
-DUPLICATE_PAYMENT = "duplicate payment"
+DUPLICATES = {TYPE_RENEWAL: "duplicate payment"}
+DUPLICATE_EVENT = "duplicate event"
 
 
 def missing_reason(required: list[str]) -> Column:
@@ -159,10 +141,11 @@ def missing_reason(required: list[str]) -> Column:
 
 def _checked(df: DataFrame, required: list[str], layouts: list[tuple[Column, list[Field]]],
              unknown: Column | None = None, where: Column | None = None) -> DataFrame:
-    """Add ``_lines`` (array) and ``_reason`` (null when the row is accepted).
+    """One row per different record with ``_copies``, ``_lines`` (array) and ``_reason`` (null when accepted).
 
-    ``layouts``: the row's lines in order, each with the condition under which
-    it is written. ``unknown``: a reason of its own, looked at once no field is
+    Rows equal in every field of their lines are one, counted with partial
+    sums. ``layouts``: the row's lines in order, each with the condition under
+    which it is written. ``unknown``: a reason of its own, looked at once no field is
     missing. ``where`` keeps only the caller's rows.
     """
     if where is not None:
@@ -170,21 +153,15 @@ def _checked(df: DataFrame, required: list[str], layouts: list[tuple[Column, lis
     missing = missing_reason(required)
     lines = F.filter(F.array(*[F.when(on, fixed_width(fields)) for on, fields in layouts]), lambda x: x.isNotNull())
     wrong = F.coalesce(*[F.when(on, wrong_width(fields)) for on, fields in layouts])
-    return (df.withColumn("_lines", F.when(missing.isNull(), lines))
+    return (df.groupBy(*required).agg(F.count(F.lit(1)).alias("_copies"))
+            .withColumn("_lines", F.when(missing.isNull(), lines))
             .withColumn("_reason", F.coalesce(missing, *([] if unknown is None else [unknown]), wrong)))
 
 
 def renewal_rows(split: DataFrame, cfg: RunConfig, where: Column | None = None) -> DataFrame:
-    """Period renewals with their lines and reject reason (null when accepted).
-
-    Payments equal in every field that the lines and trailer use are one row
-    with their number in ``_copies``, counted with partial sums.
-    """
-    if where is not None:
-        split = split.where(where)
-    rows = split.groupBy(*RENEWAL_REQUIRED).agg(F.count(F.lit(1)).alias("_copies"))
+    """Period renewals with their lines and reject reason (null when accepted)."""
     layouts = [(F.col(f"renewal_fee_year{y}") >= 1, year_share_layout(y)) for y in (3, 4)]
-    return _checked(rows, RENEWAL_REQUIRED, [*layouts, (F.lit(True), renewal_layout(cfg.pct_split))])
+    return _checked(split, RENEWAL_REQUIRED, [*layouts, (F.lit(True), renewal_layout(cfg.pct_split))], where=where)
 
 
 def not_expired() -> Column:
@@ -227,18 +204,15 @@ def _reject_columns(record_type: int, reason: Column, record: Column, payments:
 def rejects(rows: DataFrame, record_type: int) -> DataFrame:
     """Rejected rows of one record type with their reason and, for renewals, their amounts.
 
-    A renewal row stands for ``_copies`` equal payments: all of them when it
-    is rejected, else all but the one that is written.
+    A row stands for ``_copies`` equal rows: all of them when it is rejected,
+    else all but the one that is written.
     """
     record = F.array_join("_lines", "|")
-    if "_copies" not in rows.columns:
-        return rows.where(F.col("_reason").isNotNull()).select(
-            *_reject_columns(record_type, F.col("_reason"), record, F.lit(1), {}))
     repeated = F.col("_reason").isNull()
     n = F.when(repeated, F.col("_copies") - 1).otherwise(F.col("_copies"))
-    amounts = {name: F.col(c) * n for name, c in REJECT_AMOUNTS.items()}
-    return rows.where(~repeated | (F.col("_copies") > 1)).select(*_reject_columns(
-        record_type, F.coalesce("_reason", _lit(DUPLICATE_PAYMENT)), record, n, amounts))
+    amounts = {name: F.col(c) * n for name, c in REJECT_AMOUNTS.items()} if record_type == TYPE_RENEWAL else {}
+    reason = F.coalesce("_reason", _lit(DUPLICATES.get(record_type, DUPLICATE_EVENT)))
+    return rows.where(~repeated | (F.col("_copies") > 1)).select(*_reject_columns(record_type, reason, record, n, amounts))
 
 
 def control_lines(accepted_renewals: DataFrame, cfg: RunConfig) -> DataFrame:
@@ -247,28 +221,11 @@ def control_lines(accepted_renewals: DataFrame, cfg: RunConfig) -> DataFrame:
         F.coalesce(F.sum("renewal_fee"), F.lit(0)).cast("decimal(18,2)").alias("_prescribed"),
         F.coalesce(F.sum("total_epo_amount"), F.lit(0)).cast("decimal(18,2)").alias("_remitted"))
     start, end = cfg.period
-    header = fixed_width([
-        Field("record_type", 3, _lit(str(TYPE_HEADER))),
-        Field("space1", 13, blank(13)),
-        Field("start", 6, _lit(start.strftime("%d%m%y"))),
-        Field("end", 6, _lit(end.strftime("%d%m%y"))),
-        Field("country", 2, _lit(COUNTRY)),
-        Field("currency", 3, _lit(CURRENCY)),
-        Field("space2", 47, blank(47)),
-    ])
-    prescribed_whole, prescribed_cents = money_parts(F.col("_prescribed"), 13)
-    remitted_whole, remitted_cents = money_parts(F.col("_remitted"), 13)
-    trailer = fixed_width([
-        Field("record_type", 3, _lit(str(TYPE_TRAILER))),
-        Field("space1", 12, blank(12)),
-        Field("indicator", 1, _lit("C")),
-        Field("space2", 2, blank(2)),
-        Field("prescribed", 15, F.concat(prescribed_whole, prescribed_cents)),
-        Field("remitted", 15, F.concat(remitted_whole, remitted_cents)),
-        Field("run_date", 6, _lit(cfg.run_date.strftime("%d%m%y"))),
-        Field("reference", 9, _lit(TRAILER_REFERENCE)),
-        Field("space3", 17, blank(17)),
-    ])
+    header = fixed_width(LAYOUTS[TYPE_HEADER].fields(start=F.lit(start), end=F.lit(end), country=_lit(COUNTRY),
+                                                     currency=_lit(CURRENCY)))
+    trailer = fixed_width(LAYOUTS[TYPE_TRAILER].fields(
+        indicator=_lit("C"), prescribed=F.col("_prescribed"), remitted=F.col("_remitted"), run_date=F.lit(cfg.run_date),
+        reference=_lit(TRAILER_REFERENCE)))
     return totals.select(F.inline(F.array(
         F.struct(F.lit(TYPE_HEADER).alias("type"), header.alias("record")),
         F.struct(F.lit(TYPE_TRAILER).alias("type"), trailer.alias("record")))))
@@ -276,9 +233,10 @@ def control_lines(accepted_renewals: DataFrame, cfg: RunConfig) -> DataFrame:
 
 def exchange_lines(renewals: DataFrame, lapses: DataFrame, restorations: DataFrame,
                    lor: DataFrame, cfg: RunConfig) -> DataFrame:
-    """All accepted lines with blanks as spaces, distinct: (type, record).
+    """All accepted lines with blanks as spaces: (type, record).
 
-    Inputs are the ``*_rows`` outputs. Ordering is left to the sink.
+    Inputs are the ``*_rows`` outputs, in which repeats are one row already.
+    Ordering is left to the sink.
     """
     details = (records(renewals, TYPE_RENEWAL)
                .unionByName(records(lapses, TYPE_LAPSE))
@@ -288,8 +246,7 @@ def exchange_lines(renewals: DataFrame, lapses: DataFrame, restorations: DataFra
     control = control_lines(renewals.where(F.col("_reason").isNull()), cfg)
     return (details.unionByName(control)
             .where(F.length("record") == RECORD_LENGTH)
-            .select("type", F.translate("record", "_", " ").alias("record"))
-            .distinct())
+            .select("type", F.translate("record", BLANK, " ").alias("record")))
 
 
 def all_rejects(renewals: DataFrame, lapses: DataFrame, restorations: DataFrame,
@@ -307,3 +264,65 @@ def all_rejects(renewals: DataFrame, lapses: DataFrame, restorations: DataFrame,
         out = out.unionByName(unmatched_lor.select(
             *_reject_columns(TYPE_LOR, F.col("gap"), F.lit(None).cast("string"), F.lit(1), {})))
     return out.unionByName(bad_control, allowMissingColumns=True)
+
+
+def _latest_year(cfg: RunConfig) -> int:
+    # Fees are due at most 20 years after filing, and paid before that.
+    return cfg.run_date.year + 20
+
+
+def parsed_lines(lines: DataFrame, record_type: int, cfg: RunConfig) -> DataFrame:
+    """The lines (``record``) of one type with their fields as typed columns; other columns are kept."""
+    fields = LAYOUTS[record_type].parsed(F.col("record"), _latest_year(cfg))
+    keep = [c for c in lines.columns if c not in fields]
+    return lines.where(F.substring("record", 1, 3) == str(record_type)).select(
+        *keep, *[c.alias(name) for name, c in fields.items()])
+
+
+def unreadable_lines(lines: DataFrame, cfg: RunConfig) -> DataFrame:
+    """(record, reason): lines of no known type, and those with a field that does not read back as its kind."""
+    code = F.substring("record", 1, 3)
+    reason = F.coalesce(*[F.when(code == str(t), F.coalesce(layout.unreadable(F.col("record"), _latest_year(cfg)), _lit("")))
+                          for t, layout in LAYOUTS.items()], _lit("unknown record type"))
+    return lines.select("record", reason.alias("reason")).where(F.col("reason") != "")
+
+
+def reconciled(lines: DataFrame, cfg: RunConfig) -> DataFrame:
+    """The file as read back (``record``) against its own trailer, one row per record type.
+
+    (type, lines, prescribed, remitted, interest, trailer_prescribed,
+    trailer_remitted, balanced). The amounts of the renewal lines must be the
+    trailer's; interest is charged once per renewal line that has a share and is in the
+    trailer alone. There must be one header and one trailer. Amounts that do not read back are null
+    and leave the file unbalanced. One pass over the lines.
+    """
+    types = F.create_map(*[x for t in LAYOUTS for x in (_lit(str(t)), F.lit(t))])
+    amounts = {t: LAYOUTS[t].parsed(F.col("record"), _latest_year(cfg)) for t in (TYPE_RENEWAL, TYPE_TRAILER)}
+    kind = F.try_element_at(types, F.substring("record", 1, 3))
+    typed = lines.select(kind.alias("type"), *[
+        F.coalesce(*[F.when(kind == t, amounts[t][name]) for t in amounts]).cast(MONEY_SUM).alias(name)
+        for name in ("prescribed", "remitted")],
+        F.when((kind == TYPE_RENEWAL) & (amounts[TYPE_RENEWAL]["pct_split"] != NO_SHARE), 1).alias("_shared"))
+    broken = F.count_if(F.col("type").isin(TYPE_RENEWAL, TYPE_TRAILER)
+                        & (F.col("prescribed").isNull() | F.col("remitted").isNull()))
+    sums = typed.groupBy("type").agg(
+        F.count(F.lit(1)).alias("lines"), F.sum("prescribed").cast(MONEY_SUM).alias("prescribed"),
+        F.sum("remitted").cast(MONEY_SUM).alias("remitted"), F.count("_shared").alias("_shared"), broken.alias("_broken"))
+    # Every type is listed, also where the file has none of it.
+    listed = lines.sparkSession.createDataFrame([(t,) for t in LAYOUTS], "type int").join(sums, "type", "left")
+    # At most one row per type is left: a window over them is one small task.
+    every = Window.partitionBy()
+    of_type = lambda t, c: F.max(F.when(F.col("type") == t, F.col(c))).over(every)
+    zero = lambda c: F.coalesce(c, F.lit(0)).cast(MONEY_SUM)
+    renewal = F.col("type") == TYPE_RENEWAL
+    interest = F.when(renewal, zero(F.col("_shared") * F.lit(cfg.interest_year3 + cfg.interest_year4)))
+    rows = listed.select(
+        "type", F.coalesce("lines", F.lit(0)).alias("lines"),
+        *[F.when(renewal, zero(F.col(c))).alias(c) for c in ("prescribed", "remitted")], interest.alias("interest"),
+        *[F.when(renewal, of_type(TYPE_TRAILER, c)).alias(f"trailer_{c}") for c in ("prescribed", "remitted")],
+        (F.coalesce("_broken", F.lit(0)) == 0).alias("_whole"))
+    adds_up = ((F.col("prescribed") == F.col("trailer_prescribed"))
+               & (F.col("remitted") + F.col("interest") == F.col("trailer_remitted")) & F.col("_whole"))
+    balanced = (F.when(renewal, F.coalesce(adds_up, F.lit(False)))
+                .when(F.col("type").isin(TYPE_HEADER, TYPE_TRAILER), (F.col("lines") == 1) & F.col("_whole")).otherwise(F.lit(True)))
+    return rows.select(*[c for c in rows.columns if c != "_whole"], balanced.alias("balanced"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -55,6 +57,18 @@ def overlap_keys(new: DataFrame, legacy: DataFrame, keys: list[str] = RENEWAL_KE
     return key_set(legacy, keys).join(key_set(new, keys), keys, "left_semi")
 
 
+def key_counts(new: DataFrame, legacy: DataFrame, keys: list[str] = RENEWAL_KEYS) -> DataFrame:
+    """Rows of each system per merge key, and whether the merge sees the key in both: (keys, new, legacy, shared).
+
+    One aggregate over both systems in place of a join. A key with a null part matches nothing.
+    """
+    both = (new.select(*keys, F.lit(1).alias("_new"), F.lit(0).alias("_legacy"))
+            .unionByName(legacy.select(*keys, F.lit(0).alias("_new"), F.lit(1).alias("_legacy"))))
+    counted = both.groupBy(*keys).agg(F.sum("_new").alias("new"), F.sum("_legacy").alias("legacy"))
+    whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    return counted.withColumn("shared", whole & (F.col("new") > 0) & (F.col("legacy") > 0))
+
+
 def source_breakdown(renewals: DataFrame) -> DataFrame:
     return renewals.groupBy("source").agg(F.count(F.lit(1)).alias("renewal_count"))
 

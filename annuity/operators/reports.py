@@ -70,6 +70,8 @@ def totals_table(totals: DataFrame) -> DataFrame:
             .withColumn("Amount", F.format_number("Amount", 2)))
 
 
+MONTHLY_ORDER = [MONTHLY_REPORT_HEADINGS["renewal_due_date"]]
+STATUS_ORDER = ["type", "filing_date"]
 MONTHLY_REPORT_COLUMNS = [*MONTHLY_REPORT_HEADINGS, "source"]
 
 

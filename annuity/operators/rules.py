@@ -6,6 +6,7 @@ from decimal import Decimal
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
 from annuity.schemas import MONEY
 
@@ -32,6 +33,19 @@ def multiple_payment_groups(payments: DataFrame, among: DataFrame | None = None)
             .where(F.col("payments") > 1))
 
 
+PAYMENTS = "_payments"
+
+
+def with_payment_counts(payments: DataFrame) -> DataFrame:
+    """``payments`` with the size of each row's (application_num, date_filed) group, null where date_filed is.
+
+    For tables bucketed by application_num, where a window over the group needs
+    no exchange; a group is then in one task, so the table must hold no huge one.
+    """
+    group = Window.partitionBy("application_num", "date_filed")
+    return payments.withColumn(PAYMENTS, F.when(F.col("date_filed").isNotNull(), F.count(F.lit(1)).over(group)))
+
+
 def renewal_due_dates(df: DataFrame, payments: DataFrame | None = None) -> DataFrame:
     """Due date of the renewal year a payment settles.
 
@@ -39,7 +53,7 @@ def renewal_due_dates(df: DataFrame, payments: DataFrame | None = None) -> DataF
     the three months up to that date, due = grant + 3 months. When more than
     one row shares (application_num, date_filed), every row of that group moves
     on by 12 months. The groups are counted in ``payments`` when ``df`` is only
-    a part of them (a period).
+    a part of them (a period); a ``df`` from ``with_payment_counts`` has them already.
 
     The group size comes from an aggregate joined back rather than a window:
     the aggregate combines map-side, and the join back can be split by adaptive
@@ -50,17 +64,15 @@ def renewal_due_dates(df: DataFrame, payments: DataFrame | None = None) -> DataF
     grant = F.col("grant_date")
     due = F.when((grant >= F.add_months(due, -GRACE_MONTHS)) & (grant <= due),
                  F.add_months(grant, GRACE_MONTHS)).otherwise(due)
-    counted = multiple_payment_groups(df) if payments is None else multiple_payment_groups(payments, df)
-    groups = counted.select(F.col("application_num").alias("_app"), F.col("date_filed").alias("_filed"),
-                            F.col("payments").alias("_n"))
-    joined = df.join(
-        groups,
-        F.col("application_num").eqNullSafe(F.col("_app")) & (F.col("date_filed") == F.col("_filed")),
-        "left")
-    keep = [c for c in df.columns if c not in ("renewal_due_date", "next_renewal_date")]
-    return joined.select(
-        *keep,
-        F.when(F.col("_n").isNotNull(), F.add_months(due, 12)).otherwise(due).alias("renewal_due_date"))
+    keep = [c for c in df.columns if c not in ("renewal_due_date", "next_renewal_date", PAYMENTS)]
+    if PAYMENTS in df.columns:
+        shared = F.col(PAYMENTS) > 1
+    else:
+        counted = multiple_payment_groups(df) if payments is None else multiple_payment_groups(payments, df)
+        groups = counted.select(F.col("application_num").alias("_app"), F.col("date_filed").alias("_filed"), "payments")
+        df = df.join(groups, F.col("application_num").eqNullSafe(F.col("_app")) & (F.col("date_filed") == F.col("_filed")), "left")
+        shared = F.col("payments").isNotNull()
+    return df.select(*keep, F.when(shared, F.add_months(due, 12)).otherwise(due).alias("renewal_due_date"))
 
 
 def lor_pivot(lor: DataFrame) -> DataFrame:
@@ -91,16 +103,19 @@ def lor_endorsement(renewals_due: DataFrame, lor: DataFrame) -> DataFrame:
 NO_ENTRY, NO_DATES = "cancellation without entry", "entry without dates"
 
 
-def lor_year_ranges(lor: DataFrame, renewals: DataFrame, keep_unmatched: bool = False) -> DataFrame:
+def lor_year_ranges(lor: DataFrame, renewals: DataFrame, keep_unmatched: bool = False,
+                    bucketed: bool = False) -> DataFrame:
     """First and last renewal years reduced by each licence-of-right event.
 
     Each event gets its ordinal year (year processed - filing year + 1) and
     that year's due date (``renewal_due_dates``). It is "on time" against a
     renewal payment of that (application, year) when it was processed no later
-    than the earlier of the due date and the payment. Payments may disagree,
-    so an event has one row per outcome. The earliest and the latest payment
-    show every outcome there is: one row per key, so no event is multiplied
-    by its payments.
+    than the earlier of the due date and the payment (the due date alone where
+    there is no payment or it has no date). Payments may disagree, so an event
+    has one row per outcome. The earliest and the latest dated payment, and
+    whether one has no date, show every outcome there is. They are kept as one row per
+    application, a map by year, so no event is multiplied by its payments and
+    every join here is on the application alone.
 
     An entry (A) reduces from its year (the next year when late) to year 20.
     A cancellation (D) closes every range opened for the application: one row
@@ -110,17 +125,24 @@ def lor_year_ranges(lor: DataFrame, renewals: DataFrame, keep_unmatched: bool =
     Rows are distinct.
 
     Rows whose first year is beyond 20 are dropped, as are those without one
-    unless ``keep_unmatched``, which adds ``gap``: why there is none.
+    unless ``keep_unmatched``, which adds ``gap``: why there is none. ``bucketed``: both tables are bucketed by
+    application_num, and no step exchanges rows by it again.
     """
     year = F.col("renewal_year")
-    staged = renewal_due_dates(lor.withColumn(
-        "renewal_year", (F.year("date_processed") - (F.year("filing_date") - 1)).cast("int")))
-    paid = (renewals.groupBy("application_num", "renewal_year")
-            .agg(F.min("date_processed").alias("_first_paid"), F.max("date_processed").alias("_last_paid")))
-    on_time = [F.coalesce(F.col("date_processed") <= F.least(F.col("renewal_due_date"), F.col(c)), F.lit(False))
-               for c in ("_first_paid", "_last_paid")]
-    staged = staged.join(paid, ["application_num", "renewal_year"], "left").withColumn(
-        "_on_time", F.explode(F.array_distinct(F.array(*on_time))))
+    events = lor.withColumn("renewal_year", (F.year("date_processed") - (F.year("filing_date") - 1)).cast("int"))
+    staged = renewal_due_dates(with_payment_counts(events) if bucketed else events)
+    of_year = (renewals.where(year.isNotNull()).groupBy("application_num", "renewal_year")
+               .agg(F.min("date_processed").alias("first"), F.max("date_processed").alias("last"),
+                    F.bool_or(F.col("date_processed").isNull()).alias("undated")))
+    paid = of_year.groupBy(F.col("application_num").alias("_payer")).agg(F.map_from_entries(F.collect_list(
+        F.struct("renewal_year", F.struct("first", "last", "undated")))).alias("_paid"))
+    staged = staged.join(paid, F.col("application_num") == F.col("_payer"), "left")
+    of = F.when(year.isNotNull(), F.try_element_at("_paid", year))
+    # ``least`` leaves out nulls: without a payment date the due date decides.
+    on_time = [F.coalesce(F.col("date_processed") <= F.least(F.col("renewal_due_date"), paid_on), F.lit(False))
+               for paid_on in (of["first"], of["last"], F.lit(None).cast("date"))]
+    on_time[2] = F.when(of["undated"], on_time[2])
+    staged = staged.withColumn("_on_time", F.explode(F.array_distinct(F.array_compact(F.array(*on_time)))))
     own_first = F.when(F.col("_on_time"), year).otherwise(year + 1)
     entry = F.col("Addition_Deletion") == "A"
     opened = staged.where(entry).select(

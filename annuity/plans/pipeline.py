@@ -6,7 +6,6 @@ stage plans only what it needs. Nothing but ``staged`` triggers a job.
 
 from __future__ import annotations
 
-import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame
@@ -15,14 +14,19 @@ from pyspark.sql import functions as F
 from annuity.config import RunConfig
 from annuity.operators import exchange, extracts, merge, reports, rules
 from annuity.schemas import KIND_LOR, KIND_RESTORATION
-from annuity.sources.sinks import shared_folder
+from annuity.sources.sinks import stage, stage_buckets
 from annuity.sources.tables import SourceTables
 
 
+BUCKETED = ("renewals", "lor")
+
+
 class Pipeline:
     def __init__(self, src: SourceTables, cfg: RunConfig):
         self.src = src
         self.cfg = cfg
+        # Whether renewals and licences of right are stored in buckets of application_num.
+        self.bucketed = False
 
     def staged(self, *names: str) -> "Pipeline":
         """The same pipeline with these stages written once to the shared folder and read back.
@@ -31,12 +35,23 @@ class Pipeline:
         the order given, and what follows starts from files.
         """
         for name in names:
-            df = getattr(self, name)
-            path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-            df.write.parquet(path)
-            setattr(self, name, df.sparkSession.read.schema(df.schema).parquet(path))
+            setattr(self, name, stage(getattr(self, name), name))
         return self
 
+    def bucket_staged(self, *names: str) -> "Pipeline":
+        """``staged``, with renewals and licences of right in buckets of application_num first.
+
+        Due dates, endorsement and ranges then work on co-located rows without an
+        exchange on that key. An application that holds a large part of a table would fill one bucket: then
+        the tables are stored plainly and adaptive execution splits the joins.
+        """
+        names = tuple(n for n in names if n not in BUCKETED)
+        buckets = int(self.src.standing.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        stored = [stage_buckets(getattr(self, name), name, "application_num", buckets) for name in BUCKETED]
+        self.renewals, self.lor = (df for df, _ in stored)
+        self.bucketed = all(done for _, done in stored)
+        return self.staged(*names)
+
     # ---- extracts ----------------------------------------------------------
     @cached_property
     def renewals_new(self) -> DataFrame:
@@ -94,7 +109,7 @@ class Pipeline:
     # ---- rules -------------------------------------------------------------
     @cached_property
     def renewals_due(self) -> DataFrame:
-        return rules.renewal_due_dates(self.renewals)
+        return rules.renewal_due_dates(rules.with_payment_counts(self.renewals) if self.bucketed else self.renewals)
 
     @cached_property
     def renewals_enriched(self) -> DataFrame:
@@ -103,7 +118,7 @@ class Pipeline:
     @cached_property
     def lor_ranges_all(self) -> DataFrame:
         """Ranges including cancellations without an entry (first year null)."""
-        return rules.lor_year_ranges(self.lor, self.renewals, keep_unmatched=True)
+        return rules.lor_year_ranges(self.lor, self.renewals, keep_unmatched=True, bucketed=self.bucketed)
 
     @cached_property
     def lor_ranges(self) -> DataFrame:
@@ -124,7 +139,10 @@ class Pipeline:
     @cached_property
     def renewals_period(self) -> DataFrame:
         """Period renewals; only the counts of payments per day look beyond the period."""
-        due = rules.renewal_due_dates(self._in_period(self.renewals), self.renewals)
+        if self.bucketed:
+            due = rules.renewal_due_dates(self._in_period(rules.with_payment_counts(self.renewals)))
+        else:
+            due = rules.renewal_due_dates(self._in_period(self.renewals), self.renewals)
         return rules.lor_endorsement(due, self.lor)
 
     @cached_property

@@ -21,9 +21,9 @@ from annuity.functions import money_parts
 from annuity.operators import exchange, extracts, merge, reports, rules
 from annuity.plans.pipeline import Pipeline
 from annuity.schemas import EVENT_COLUMNS, HISTORY_COLUMNS, LAPSE_COLUMNS, LOR_COLUMNS, SOURCE_NEW
-from annuity.sources import sinks
-from annuity.sources.tables import read_minimum_fees
-from annuity.sources.testdata import fixture_tables
+from annuity.sources import manifest, sinks
+from annuity.sources.tables import read_minimum_fees, rejected_minimum_fees
+from annuity.sources.testdata import damaged_fee_lines, damaged_tables, fixture_tables
 
 TEST_RUN_DATE = dt.date(2001, 1, 3)
 TEST_CONFIG = RunConfig(run_date=TEST_RUN_DATE, quarterly=True)
@@ -40,9 +40,8 @@ def _q(stage: Callable[[Pipeline], DataFrame], cfg: RunConfig = TEST_CONFIG) ->
     return lambda spark, sf_dir: stage(pipeline(spark, sf_dir, cfg))
 
 
-# Stages that outputs with many consumers share (written once per query).
-LOR_STAGES = ("renewals", "lor")
-FILE_STAGES = (*LOR_STAGES, "renewals_split", "lor_ranges_all")
+# Stages that outputs with many consumers share, besides renewals and licences of right (written once per query).
+FILE_STAGES = ("renewals_split", "lor_ranges_all")
 
 NEW_RENEWAL_COLUMNS = [
     "application_num", "publication_num", "filing_date", "grant_date", "renewal_year", "renewal_fee",
@@ -96,14 +95,18 @@ def _null_rows(p: Pipeline) -> DataFrame:
 
 
 def _audit_counts(p: Pipeline) -> DataFrame:
-    """Run counts as (metric, value) rows: one pass over each merged table, conditional counts within it."""
+    """Run counts as (metric, value) rows.
+
+    The merge is counted by its keys: both systems' keys are aggregated together once, which
+    gives the rows of each, those that the merge keeps and the keys both hold.
+    The licences' ranges start from the staged renewals and licences.
+    """
+    p = p.bucket_staged()
     every = F.lit(True)
     period = F.col("date_processed").between(p.cfg.start, p.cfg.end) & F.col("publication_num").startswith(p.cfg.ep_prefix)
     passes = [
         (p.renewals, {"renewals_new": F.col("source") == SOURCE_NEW, "renewals_merged": every,
                       "renewals_in_period": period, "cross_month_renewals": period & reports.is_cross_month()}),
-        (p.renewals_legacy, {"renewals_legacy": every}),
-        (merge.overlap_keys(p.renewals_new, p.renewals_legacy), {"duplicate_renewal_keys": every}),
         (p.restorations, {"restorations": every, "restorations_in_period": period}),
         (p.lor, {"licences_of_right": every}),
         (p.lapses, {"lapses": every}),
@@ -111,6 +114,9 @@ def _audit_counts(p: Pipeline) -> DataFrame:
     ]
     counted = [df.agg(*[F.count(F.when(on, 1)).alias(name) for name, on in counts.items()])
                .unpivot([], list(counts), "metric", "value") for df, counts in passes]
+    keys = merge.key_counts(p.renewals_new, p.renewals_legacy).agg(
+        F.coalesce(F.sum("legacy"), F.lit(0)).alias("renewals_legacy"), F.count_if("shared").alias("duplicate_renewal_keys"))
+    counted.append(keys.unpivot([], keys.columns, "metric", "value"))
     return reduce(DataFrame.unionByName, counted)
 
 
@@ -121,18 +127,46 @@ def _minimum_fee_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_minimum_fees(spark, path)
 
 
-def _exchange_file_written(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The exchange file as its sink wrote it."""
-    p = pipeline(spark, sf_dir).staged(*FILE_STAGES)
-    path = sinks.write_exchange_file(p.exchange_lines, f"{sinks.shared_folder(spark)}/exchange-{uuid.uuid4().hex}")
-    return spark.read.option("encoding", sinks.EXCHANGE_ENCODING).text(path).withColumnRenamed("value", "record")
+def _minimum_fee_lines(read: Callable[[SparkSession, str], DataFrame]) -> Query:
+    """Over a minimum-fee CSV with damaged lines."""
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = f"{sinks.shared_folder(spark)}/minimum-fee-{uuid.uuid4().hex}"
+        damaged_fee_lines(spark, sf_dir).write.text(path)
+        return read(spark, path)
+
+    return query
+
+
+def _written_file(spark: SparkSession, sf_dir: str, files: int | None = None) -> DataFrame:
+    """The exchange file as its sink wrote it, read back."""
+    p = pipeline(spark, sf_dir).bucket_staged(*FILE_STAGES)
+    path = sinks.write_exchange_file(p.exchange_lines, f"{sinks.shared_folder(spark)}/exchange-{uuid.uuid4().hex}", files)
+    return sinks.read_exchange_file(spark, path)
+
+
+def exchange_file_written(spark: SparkSession, sf_dir: str, files: int | None = None) -> DataFrame:
+    """The written exchange file with its line numbers."""
+    return manifest.numbered(_written_file(spark, sf_dir, files))
+
+
+def _exchange_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The written exchange file's lines against its trailer."""
+    return exchange.reconciled(_written_file(spark, sf_dir), TEST_CONFIG)
+
+
+def status_report_written(spark: SparkSession, sf_dir: str, files: int | None = None) -> DataFrame:
+    """The quarterly status report as its CSV sink wrote it, with line numbers: every column as text."""
+    p = pipeline(spark, sf_dir).bucket_staged()
+    path = sinks.write_csv(p.status_report, f"{sinks.shared_folder(spark)}/status-{uuid.uuid4().hex}", reports.STATUS_ORDER,
+                           files=files)
+    return manifest.numbered(sinks.read_csv(spark, path, ", ".join(f"`{c}` string" for c in p.status_report.columns)))
 
 
-def _status_report_written(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The quarterly status report as its CSV sink wrote it: every column as text."""
-    p = pipeline(spark, sf_dir).staged(*LOR_STAGES)
-    path = sinks.write_csv(p.status_report, f"{sinks.shared_folder(spark)}/status-{uuid.uuid4().hex}", ["type", "filing_date"])
-    return spark.read.option("header", True).schema(", ".join(f"`{c}` string" for c in p.status_report.columns)).csv(path)
+def monthly_report_written(spark: SparkSession, sf_dir: str, files: int | None = None) -> DataFrame:
+    """The monthly report as its CSV sink wrote it, with line numbers."""
+    report = pipeline(spark, sf_dir, TEST_CONFIG_MONTHLY).monthly_report
+    path = sinks.write_csv(report, f"{sinks.shared_folder(spark)}/monthly-{uuid.uuid4().hex}", reports.MONTHLY_ORDER, files=files)
+    return manifest.numbered(sinks.read_csv(spark, path, report.schema))
 
 
 def _records(rows: str, record_type: int) -> Callable[[Pipeline], DataFrame]:
@@ -142,6 +176,11 @@ def _records(rows: str, record_type: int) -> Callable[[Pipeline], DataFrame]:
 QUERIES: dict[str, Query] = {
     # sources and extracts
     "minimum_fee_csv": _minimum_fee_csv,
+    "minimum_fee_good_lines": _minimum_fee_lines(read_minimum_fees),
+    "minimum_fee_rejects": _minimum_fee_lines(rejected_minimum_fees),
+    "quarantine": lambda spark, sf_dir: damaged_tables(spark, sf_dir).quarantine,
+    "extract_renewals_damaged": lambda spark, sf_dir: extracts.renewals_legacy(damaged_tables(spark, sf_dir))
+        .select(*LEGACY_RENEWAL_COLUMNS),
     "extract_renewals_new": _q(lambda p: p.renewals_new.select(*NEW_RENEWAL_COLUMNS)),
     "extract_renewals_legacy": _q(lambda p: p.renewals_legacy.select(*LEGACY_RENEWAL_COLUMNS)),
     "extract_restorations_legacy": _q(lambda p: p.restorations_legacy.select(*EVENT_COLUMNS)),
@@ -165,7 +204,7 @@ QUERIES: dict[str, Query] = {
     "multiple_renewals": _q(lambda p: rules.multiple_payment_groups(p.renewals)),
     "lor_pivot": _q(lambda p: rules.lor_pivot(p.lor)),
     "lor_endorsement": _q(lambda p: p.renewals_enriched.select(*ENDORSEMENT_COLUMNS)),
-    "lor_year_range": _q(lambda p: p.lor_ranges.select(*RANGE_COLUMNS)),
+    "lor_year_range": _q(lambda p: p.bucket_staged().lor_ranges.select(*RANGE_COLUMNS)),
     "minimum_fee_lookup": _q(_minimum_fee_lookup),
     "fee_splits": _q(lambda p: p.renewals_split.select(*SPLIT_COLUMNS)),
     # reports
@@ -177,15 +216,17 @@ QUERIES: dict[str, Query] = {
     "monthly_totals": _q(lambda p: p.monthly_totals.select("Month", "Amount")),
     "monthly_report": _q(lambda p: p.monthly_report, TEST_CONFIG_MONTHLY),
     "monthly_report_totals": _q(lambda p: p.totals_table, TEST_CONFIG_MONTHLY),
-    "status_report": _q(lambda p: p.staged(*LOR_STAGES).status_report),
+    "status_report": _q(lambda p: p.bucket_staged().status_report),
     # exchange file
     "money_fields": _q(_money_fields),
     "renewal_records": _q(_records("renewal_rows", exchange.TYPE_RENEWAL)),
     "lapse_records": _q(_records("lapse_rows", exchange.TYPE_LAPSE)),
     "restoration_records": _q(_records("restoration_rows", exchange.TYPE_RESTORATION)),
     "lor_records": _q(_records("lor_rows", exchange.TYPE_LOR)),
-    "exchange_file": _q(lambda p: p.staged(*FILE_STAGES).exchange_lines.select("record")),
-    "exchange_file_written": _exchange_file_written,
-    "status_report_written": _status_report_written,
-    "rejects": _q(lambda p: p.staged(*FILE_STAGES).rejects),
+    "exchange_file": _q(lambda p: p.bucket_staged(*FILE_STAGES).exchange_lines.select("record")),
+    "exchange_file_written": exchange_file_written,
+    "exchange_reconciliation": _exchange_reconciliation,
+    "status_report_written": status_report_written,
+    "monthly_report_written": monthly_report_written,
+    "rejects": _q(lambda p: p.bucket_staged(*FILE_STAGES).rejects),
 }

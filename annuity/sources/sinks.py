@@ -1,12 +1,13 @@
-"""Output sinks: history table, ordered CSV reports, fixed-width exchange file."""
+"""Output sinks: ordered CSV reports, fixed-width exchange file, staged tables (the history table: ``history``)."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from annuity.config import RunConfig
-from annuity.schemas import PROCESSED_YEAR
 
 # Output folder and file names under the run's output root.
 REPORT_DIR = "ipo"
@@ -31,30 +32,41 @@ def history_path(cfg: RunConfig) -> str:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Where stages are written: the folder in ``spark.checkpoint.dir``; under the warehouse only where that is unset."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    """Where stages are written: the folder in ``spark.checkpoint.dir``, as a setting or on the context; under
+    the warehouse only where neither is set."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     return (named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_stages").rstrip("/")
 
 
-def write_history(spark: SparkSession, history: DataFrame, cfg: RunConfig) -> str:
-    """Overwrite the history table at an external path, partitioned by event kind and year of processing.
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back: what follows starts from files."""
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+# A bucket may hold this many times the rows of an even one, and a key so many rows, before a table counts as skewed.
+UNEVEN, HOT_ROWS = 4, 100_000
+
+
+def stage_buckets(df: DataFrame, name: str, key: str, buckets: int) -> tuple[DataFrame, bool]:
+    """``stage``, in buckets sorted by ``key`` unless one key holds too many rows; whether it is bucketed.
 
-    Readers of one kind and period prune the rest. Rows are first dealt by
-    partition (adaptive execution splits the large ones and joins the small
-    ones), so there are not as many files as tasks times years, and sorted by
-    processing date, so row-group statistics narrow a period further.
+    Joins, aggregates and windows on the key need no exchange afterwards. The table's
+    catalog entry is dropped at once: the plan holds the files and their buckets.
     """
-    database = cfg.history_table.split(".")[0] if "." in cfg.history_table else None
-    if database:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    by = ["type_identifier", PROCESSED_YEAR]
-    (history.withColumn(PROCESSED_YEAR, F.year("date_processed")).hint("rebalance", *by)
-     .sortWithinPartitions(*by, "date_processed")
-     .write.mode("overwrite").format(cfg.table_format)
-     .partitionBy(*by)
-     .option("path", history_path(cfg))
-     .saveAsTable(cfg.history_table))
-    return cfg.history_table
+    spark = df.sparkSession
+    plain = stage(df, name)
+    rows, hottest = plain.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(
+        F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
+    if hottest > max(HOT_ROWS, UNEVEN * rows / buckets):
+        return plain, False
+    table = f"{name}_{uuid.uuid4().hex}"
+    (plain.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
+     .option("path", f"{shared_folder(spark)}/{table}").saveAsTable(table))
+    stored = spark.table(table)
+    spark.sql(f"drop table {table}")
+    return stored, True
 
 
 def _sorted_output(df: DataFrame, order_by: list[str], files: int | None,
@@ -118,6 +130,16 @@ def write_exchange_file(lines: DataFrame, path: str, files: int | None = None,
     return path
 
 
+def read_exchange_file(spark: SparkSession, path: str) -> DataFrame:
+    """The lines of a written exchange file: (record)."""
+    return spark.read.option("encoding", EXCHANGE_ENCODING).text(path).withColumnRenamed("value", "record")
+
+
+def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
+    """A CSV report with the columns and types it was written from."""
+    return spark.read.option("header", True).schema(schema).csv(path)
+
+
 def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> str:
     df.write.mode("overwrite").format(fmt).save(path)
     return path

@@ -11,9 +11,11 @@ minimum-fee reference table. Column names are canonical (see ``CANONICAL``);
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from annuity.schemas import (
     CODE_SOURCE_COLUMNS,
@@ -62,7 +64,9 @@ class SourceTables:
     never builds the other twelve.
     """
 
-    def __init__(self, **tables: DataFrame | Callable[[], DataFrame]):
+    def __init__(self, quarantine: Callable[[], DataFrame | None] | None = None,
+                 **tables: DataFrame | Callable[[], DataFrame]):
+        self._quarantine = quarantine
         unknown = set(tables) - set(CANONICAL)
         missing = set(CANONICAL) - set(tables)
         if unknown or missing:
@@ -78,6 +82,14 @@ class SourceTables:
             value = tables[name] = value()
         return value
 
+    @property
+    def quarantine(self) -> DataFrame | None:
+        """Values that are not of their column's type: (table, key, column, value).
+
+        Their rows take no part in the run. None where no source column is cast.
+        """
+        return self._quarantine() if self._quarantine else None
+
     def __repr__(self) -> str:
         return f"SourceTables({', '.join(CANONICAL)})"
 
@@ -91,32 +103,90 @@ class SourceTables:
         return self
 
 
+_CORRUPT = "_corrupt"
+
+
+def _fee_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of the minimum-fee CSV as text columns with ``_reason``: why a line is no fee, else null."""
+    schema = T.StructType([*MINIMUM_FEE_SCHEMA, T.StructField(_CORRUPT, T.StringType())])
+    lines = (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
+             .option("columnNameOfCorruptRecord", _CORRUPT).csv(path))
+    kinds = {"year_set": "int", "minimum_fee_year": "int", "minimum_fee_amount": MONEY.simpleString()}
+    no_number = [F.when(F.trim(c).try_cast(kind).isNull(), F.lit(f"{c} is no number")) for c, kind in kinds.items()]
+    return lines.withColumn("_reason", F.coalesce(
+        F.when(F.col(_CORRUPT).isNotNull(), F.lit(f"not {len(kinds)} columns")), *no_number))
+
+
 def read_minimum_fees(spark: SparkSession, path: str) -> DataFrame:
-    """Minimum-fee CSV with a header row; every column is read as text."""
-    return spark.read.schema(MINIMUM_FEE_SCHEMA).option("header", True).csv(path)
+    """Minimum-fee CSV with a header row: its good lines, every column as text."""
+    return _fee_lines(spark, path).where(F.col("_reason").isNull()).select(*MINIMUM_FEE_SCHEMA.names)
 
 
-def typed(df: DataFrame) -> DataFrame:
-    """Source columns in the types the rules compute with.
+def rejected_minimum_fees(spark: SparkSession, path: str) -> DataFrame:
+    """(record, reason): lines of the minimum-fee CSV that are too short, too long or hold no numbers."""
+    text = F.coalesce(F.col(_CORRUPT), F.concat_ws(",", *[F.coalesce(c, F.lit("")) for c in MINIMUM_FEE_SCHEMA.names]))
+    return (_fee_lines(spark, path).where(F.col("_reason").isNotNull())
+            .select(text.alias("record"), F.col("_reason").alias("reason")))
 
-    Systems store days as timestamps (an event timed on the last day of a
-    period still belongs to it), years as text, and codes as numbers that have
-    lost their leading zeros. A column that has its type already is left
-    untouched, so filters on it still reach the scan.
-    """
-    def column(name: str, kind: str):
+
+def _casts(df: DataFrame) -> dict[str, Column]:
+    """The columns of ``df`` that are not stored in their declared type, cast; null where a value does not fit."""
+    out = {}
+    for name, kind in df.dtypes:
         c = F.col(name)
         if name in DATE_SOURCE_COLUMNS and kind != "date":
-            c = F.to_date(c)
+            out[name] = c.try_cast("date")
         elif name in INT_SOURCE_COLUMNS and kind != "int":
-            c = c.cast("int")
+            out[name] = c.try_cast("int")
         elif name in MONEY_SOURCE_COLUMNS and kind != MONEY.simpleString():
-            c = c.cast(MONEY)
+            out[name] = c.try_cast(MONEY)
         elif name in CODE_SOURCE_COLUMNS and kind != "string":
-            c = F.lpad(c.cast("decimal(20,0)").cast("string"), CODE_SOURCE_COLUMNS[name], "0")
-        return c.alias(name)
+            out[name] = F.lpad(c.try_cast("decimal(20,0)").cast("string"), CODE_SOURCE_COLUMNS[name], "0")
+    return out
+
+
+def _misfits(casts: dict[str, Column]) -> dict[str, Column]:
+    return {name: F.col(name).isNotNull() & cast.isNull() for name, cast in casts.items()}
+
+
+def typed(df: DataFrame) -> DataFrame:
+    """Source columns in the types the rules compute with; rows with a value that does not fit are left out.
+
+    Systems store days as timestamps (an event timed on the last day of a
+    period still belongs to it), years as text, and codes as numbers that have
+    lost their leading zeros. A column that has its type already is left
+    untouched, so filters on it still reach the scan. ``misfits`` has the values left out.
+    """
+    casts = _casts(df)
+    for wrong in _misfits(casts).values():
+        df = df.where(~wrong)
+    return df.select([casts.get(name, F.col(name)).alias(name) for name in df.columns])
+
+
+def misfits(df: DataFrame, table: str) -> DataFrame | None:
+    """(table, key, column, value): the values of ``df`` that do not fit their declared type; None if nothing is cast."""
+    wrong = _misfits(_casts(df))
+    if not wrong:
+        return None
+    found = F.array_compact(F.array(*[F.when(bad, F.struct(F.lit(name).alias("column"), F.col(name).cast("string").alias("value")))
+                                      for name, bad in wrong.items()]))
+    key = F.col(CANONICAL[table][0]).cast("string")
+    return df.select(F.lit(table).alias("table"), key.alias("key"), F.inline(found))
+
+
+def checked_sources(tables: dict[str, DataFrame | Callable[[], DataFrame]], minimum_fee: DataFrame | Callable[[], DataFrame],
+                    rejected_fees: DataFrame | None = None) -> SourceTables:
+    """Tables as stored, brought to their declared types; what does not fit goes to ``quarantine``."""
+    frame = lambda t: t if isinstance(t, DataFrame) else t()
+
+    def quarantine() -> DataFrame | None:
+        parts = [x for x in (misfits(frame(t), name) for name, t in tables.items()) if x is not None]
+        if rejected_fees is not None:
+            parts.append(rejected_fees.select(F.lit("minimum_fee").alias("table"), F.lit(None).cast("string").alias("key"),
+                                              F.col("reason").alias("column"), F.col("record").alias("value")))
+        return reduce(DataFrame.unionByName, parts) if parts else None
 
-    return df.select([column(name, kind) for name, kind in df.dtypes])
+    return SourceTables(quarantine, **{name: (lambda t=t: typed(frame(t))) for name, t in tables.items()}, minimum_fee=minimum_fee)
 
 
 def _renamed(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
@@ -221,8 +291,8 @@ def from_catalog(spark: SparkSession, minimum_fee_path: str) -> SourceTables:
             "RightCaseId": "case_id", "EventDate": "event_date",
             "RegisterIndicator": "register_indicator"}),
     )
-    return SourceTables(**{name: typed(df) for name, df in tables.items()},
-                        minimum_fee=read_minimum_fees(spark, minimum_fee_path)).validate()
+    return checked_sources(tables, read_minimum_fees(spark, minimum_fee_path),
+                           rejected_minimum_fees(spark, minimum_fee_path)).validate()
 
 
 MINIMUM_FEE_CSV = "minimum_fee.csv"
@@ -235,9 +305,9 @@ def from_storage(spark: SparkSession, root: str, fmt: str = "parquet") -> Source
     is the minimum-fee file with a header row.
     """
     root = root.rstrip("/")
-    tables = {name: typed(spark.read.format(fmt).load(f"{root}/{name}"))
-              for name in CANONICAL if name != "minimum_fee"}
-    return SourceTables(**tables, minimum_fee=read_minimum_fees(spark, f"{root}/{MINIMUM_FEE_CSV}")).validate()
+    tables = {name: spark.read.format(fmt).load(f"{root}/{name}") for name in CANONICAL if name != "minimum_fee"}
+    fees = f"{root}/{MINIMUM_FEE_CSV}"
+    return checked_sources(tables, read_minimum_fees(spark, fees), rejected_minimum_fees(spark, fees)).validate()
 
 
 def write_storage(src: SourceTables, root: str, fmt: str = "parquet", files: int | None = None) -> str:

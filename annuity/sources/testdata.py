@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from annuity.schemas import MONEY
-from annuity.sources.tables import SourceTables
+from annuity.sources.tables import CANONICAL, SourceTables, checked_sources
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -246,3 +246,38 @@ def fixture_tables(spark: SparkSession, sf_dir: str) -> SourceTables:
         registerevent=lambda: registerevent(cases()),
         minimum_fee=lambda: minimum_fee(table("orders")),
     )
+
+
+def damaged_tables(spark: SparkSession, sf_dir: str) -> SourceTables:
+    """The fixture with the legacy register stored as text, and some of its values damaged (FIXTURES.md)."""
+    src = fixture_tables(spark, sf_dir)
+    number = F.substring("application_num", 3, 7).try_cast("bigint")
+    register = src.standing.withColumns({
+        "filing_date": F.when(number % 31 == 0, "n/a").otherwise(F.col("filing_date").cast("string")),
+        "grant_date": F.when(number % 37 == 0, "1999-02-30").otherwise(F.col("grant_date").cast("string")),
+        "reason_not_in_force": F.when(number % 41 == 0, F.lit(None)).otherwise(F.col("reason_not_in_force").cast("int"))})
+    cents = (F.col("fee_taken") * 100).cast("bigint")
+    log = src.formslog.withColumns({
+        "fee_taken": F.when(cents % 13 == 0, F.translate(F.col("fee_taken").cast("string"), ".", ","))
+        .otherwise(F.col("fee_taken").cast("string")),
+        "last_renewal_year": F.when(cents % 17 == 0, "five").otherwise(F.col("last_renewal_year").cast("string")),
+        "date_filed": F.col("date_filed").cast("timestamp")})
+    stored = {name: (lambda name=name: getattr(src, name)) for name in CANONICAL if name != "minimum_fee"}
+    return checked_sources(stored | {"standing": register, "formslog": log}, lambda: src.minimum_fee)
+
+
+def damaged_fee_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The minimum-fee CSV as lines of text, the header first, some of them short, long or without numbers (FIXTURES.md)."""
+    fees = fixture_tables(spark, sf_dir).minimum_fee
+    whole = F.concat_ws(",", *fees.columns)
+    year, of = F.col("year_set").cast("int"), F.col("minimum_fee_year")
+    damage = (F.when((year % 2 == 0) & (of == "2"), F.concat_ws(",", "year_set", "minimum_fee_year"))
+              .when((year % 3 == 0) & (of == "6"), F.concat(whole, F.lit(",extra")))
+              .when((year % 2 == 1) & (of == "5"), F.concat_ws(",", "year_set", F.lit("five"), "minimum_fee_amount"))
+              .when((year % 4 == 0) & (of == "5"), F.concat_ws(",", "year_set", "minimum_fee_year", F.lit("12 pounds")))
+              .when((year % 5 == 0) & (of == "6"), F.concat_ws(",", F.lit(""), "minimum_fee_year", "minimum_fee_amount"))
+              .otherwise(whole))
+    lines = fees.select(F.lit(1).alias("_turn"), damage.alias("value"))
+    header = spark.range(1).select(F.lit(0).alias("_turn"), F.lit(",".join(fees.columns)).alias("value"))
+    # A few lines a year: one file, as such a list is delivered.
+    return header.unionByName(lines).repartition(1).sortWithinPartitions("_turn", "value").select("value")

@@ -37,6 +37,10 @@ def money_cents(x: str) -> str:
     return f"lpad(cast(cast(abs({x}) * 100 as bigint) % 100 as varchar), 2, '0')"
 
 
+def money(x: str) -> str:
+    return f"({money_whole(x)} || {money_cents(x)})"
+
+
 def ddmmyy(d: str) -> str:
     return f"strftime({d}, '%d%m%y')"
 
@@ -229,6 +233,25 @@ def build_ctes(cfg: RunConfig) -> list[tuple[str, str]]:
                    cast(cast(20 + (y % 10) * 5 + r as decimal(12, 2)) as varchar) as minimum_fee_amount
             from (select y, unnest(generate_series(0, 4)) as r
                   from (select distinct cast(year(o_orderdate) as int) as y from orders) t) u"""),
+        # ---- damaged values (the legacy register as text) ------------------
+        ("bad_standing", """
+            select application_num as key, c as column, v as value
+            from (select application_num, cast(substring(application_num, 3, 7) as bigint) as n from v_standing) s,
+                 lateral (select 'filing_date' as c, 'n/a' as v where n % 31 = 0
+                          union all select 'grant_date', '1999-02-30' where n % 37 = 0) x"""),
+        ("bad_formslog", """
+            select case_key as key, c as column, v as value
+            from (select case_key, fee_taken, cast(fee_taken * 100 as bigint) as n from v_formslog) f,
+                 lateral (select 'fee_taken' as c, replace(cast(fee_taken as varchar), '.', ',') as v where n % 13 = 0
+                          union all select 'last_renewal_year', 'five' where n % 17 = 0) x"""),
+        ("fee_lines", """
+            select *, year_set || ',' || minimum_fee_year || ',' || minimum_fee_amount as line,
+                   case when cast(year_set as int) % 2 = 0 and minimum_fee_year = '2' then 'short'
+                        when cast(year_set as int) % 3 = 0 and minimum_fee_year = '6' then 'long'
+                        when cast(year_set as int) % 2 = 1 and minimum_fee_year = '5' then 'year'
+                        when cast(year_set as int) % 4 = 0 and minimum_fee_year = '5' then 'amount'
+                        when cast(year_set as int) % 5 = 0 and minimum_fee_year = '6' then 'set' end as damage
+            from v_minimum_fee"""),
         # ---- extracts ------------------------------------------------------
         ("e_renewals_new", f"""
             select r.application_num, trim(r.publication_num) as publication_num, r.filing_date, r.grant_date,
@@ -435,21 +458,24 @@ def build_ctes(cfg: RunConfig) -> list[tuple[str, str]]:
                   from (select {required}, count(*) as copies from split group by all) t) m"""),
         ("lapse_rows", f"""
             select *, case when _missing is null then [{LAPSE_LINE}] end as _lines
-            from (select *, {missing(LAPSE_REQUIRED)} as _missing from lapses
-                  where lapsed_reason is distinct from 'Expired') m"""),
+            from (select *, {missing(LAPSE_REQUIRED)} as _missing
+                  from (select {', '.join(LAPSE_REQUIRED)}, count(*) as copies from lapses
+                        where lapsed_reason is distinct from 'Expired' group by all) t) m"""),
         ("restoration_rows", f"""
             select *, case when _missing is null then [{RESTORATION_LINE}] end as _lines
-            from (select *, {missing(RESTORATION_REQUIRED)} as _missing from restorations_period) m"""),
+            from (select *, {missing(RESTORATION_REQUIRED)} as _missing
+                  from (select {', '.join(RESTORATION_REQUIRED)}, count(*) as copies from restorations_period group by all) t) m"""),
         ("lor_rows", f"""
             select *, case when _missing is null then [{LOR_LINE}] end as _lines
-            from (select *, {missing(LOR_REQUIRED)} as _missing from lor_period) m"""),
+            from (select *, {missing(LOR_REQUIRED)} as _missing
+                  from (select {', '.join(LOR_REQUIRED)}, count(*) as copies from lor_period group by all) t) m"""),
     ]
     wrong = {
         "ren_rows": widths(
-            ("renewal_fee_year3_whole", f"case when renewal_fee_year3 >= 1 then {money_whole('renewal_fee_year3')} end", 8),
-            ("renewal_fee_year4_whole", f"case when renewal_fee_year4 >= 1 then {money_whole('renewal_fee_year4')} end", 8),
-            ("renewal_year", signed_int("renewal_year"), 2), ("renewal_fee_whole", money_whole("renewal_fee"), 8),
-            ("renewal_fee_epo_whole", money_whole("renewal_fee_epo"), 8)),
+            ("remitted", f"case when renewal_fee_year3 >= 1 then {money('renewal_fee_year3')} end", 10),
+            ("remitted", f"case when renewal_fee_year4 >= 1 then {money('renewal_fee_year4')} end", 10),
+            ("renewal_year", signed_int("renewal_year"), 2), ("prescribed", money("renewal_fee"), 10),
+            ("remitted", money("renewal_fee_epo"), 10)),
         "lapse_rows": "coalesce(case when lapsed_reason not in ('Ceased', 'Surrendered', 'Revoked') "
                       f"then 'unknown lapse reason' end, {widths()})",
         "restoration_rows": widths(),
@@ -477,6 +503,10 @@ def build_ctes(cfg: RunConfig) -> list[tuple[str, str]]:
             select publication_num, 500, unnest(_lines) from restoration_rows_checked where _reason is null
             union all
             select publication_num, 600, unnest(_lines) from lor_rows_checked where _reason is null"""),
+        ("file_lines", """
+            select type, replace(record, '_', ' ') as record
+            from (select type, record from records_all union all select type, record from control) t
+            where length(record) = 80"""),
     ]
     return ctes
 
@@ -500,17 +530,30 @@ def _with(ctes: list[tuple[str, str]], body: str) -> str:
 
 
 def _rejects_body(kind: str, code: int) -> str:
-    none = "cast(null as decimal(18, 2))"
-    return (f"select {code} as type, publication_num, _reason as reason, array_to_string(_lines, '|') as record, "
-            f"cast(1 as bigint) as payments, {none} as prescribed, {none} as remitted "
-            f"from {kind}_checked where _reason is not null")
-
-
-_RENEWAL_REJECTS = """
-    select 200 as type, publication_num, coalesce(_reason, 'duplicate payment') as reason,
-           array_to_string(_lines, '|') as record, n as payments, cast(renewal_fee * n as decimal(18, 2)) as prescribed,
-           cast(total_epo_amount * n as decimal(18, 2)) as remitted
-    from (select *, case when _reason is null then copies - 1 else copies end as n from ren_rows_checked) t where n > 0"""
+    prescribed, remitted = (f"cast({c} as decimal(18, 2))" for c in (
+        ("renewal_fee * n", "total_epo_amount * n") if code == 200 else ("null", "null")))
+    return f"""
+    select {code} as type, publication_num, coalesce(_reason, '{'duplicate payment' if code == 200 else 'duplicate event'}') as reason,
+           array_to_string(_lines, '|') as record, n as payments, {prescribed} as prescribed, {remitted} as remitted
+    from (select *, case when _reason is null then copies - 1 else copies end as n from {kind}_checked) t where n > 0"""
+
+
+# The file's lines against its trailer; types 400 to 600 have no amounts.
+_RECONCILIATION = """
+    select t.type, (select count(*) from file_lines f where f.type = t.type) as lines,
+           case when t.type = 200 then (select cast(coalesce(sum(renewal_fee), 0) as decimal(18, 2)) from ren_rows_checked
+                                        where _reason is null) end as prescribed,
+           case when t.type = 200 then (select cast(coalesce(sum(renewal_fee_epo
+                      + case when renewal_fee_year3 >= 1 then renewal_fee_year3 else 0 end
+                      + case when renewal_fee_year4 >= 1 then renewal_fee_year4 else 0 end), 0) as decimal(18, 2))
+                    from ren_rows_checked where _reason is null) end as remitted,
+           case when t.type = 200 then cast(0 as decimal(18, 2)) end as interest,
+           case when t.type = 200 then (select cast(substring(record, 19, 13) || '.' || substring(record, 32, 2) as decimal(18, 2))
+                                        from control where type = 900) end as trailer_prescribed,
+           case when t.type = 200 then (select cast(substring(record, 34, 13) || '.' || substring(record, 47, 2) as decimal(18, 2))
+                                        from control where type = 900) end as trailer_remitted,
+           true as balanced
+    from (select unnest([100, 200, 400, 500, 600, 900]) as type) t"""
 
 
 def oracle_queries(cfg: RunConfig, cfg_monthly: RunConfig) -> dict[str, str]:
@@ -518,6 +561,27 @@ def oracle_queries(cfg: RunConfig, cfg_monthly: RunConfig) -> dict[str, str]:
     m = build_ctes(cfg_monthly)
     sel = {
         "minimum_fee_csv": "select * from v_minimum_fee",
+        "minimum_fee_good_lines": "select year_set, minimum_fee_year, minimum_fee_amount from fee_lines where damage is null",
+        "minimum_fee_rejects": """
+            select case damage when 'short' then year_set || ',' || minimum_fee_year when 'long' then line || ',extra'
+                        when 'year' then year_set || ',five,' || minimum_fee_amount
+                        when 'amount' then year_set || ',' || minimum_fee_year || ',12 pounds'
+                        else ',' || minimum_fee_year || ',' || minimum_fee_amount end as record,
+                   case damage when 'year' then 'minimum_fee_year is no number' when 'amount' then 'minimum_fee_amount is no number'
+                        when 'set' then 'year_set is no number' else 'not 3 columns' end as reason
+            from fee_lines where damage is not null""",
+        "quarantine": """
+            select 'standing' as "table", key, "column", value from bad_standing
+            union all select 'formslog', key, "column", value from bad_formslog""",
+        "extract_renewals_damaged": """
+            select f.case_key as application_num, trim(s.publication_num) as publication_num, s.filing_date,
+                   s.grant_date, cast(f.last_renewal_year as int) as renewal_year,
+                   cast(f.fee_taken as decimal(12, 2)) as renewal_fee, cast(f.extension_fee_taken as decimal(12, 2)) as late_fee,
+                   cast(f.extension_months as int) as late_months, s.renewal_date as next_renewal_date, f.date_filed,
+                   f.date_actioned as date_processed
+            from v_formslog f left join (select * from v_standing where application_num not in (select key from bad_standing)) s
+              on f.case_key = s.application_num
+            where f.form_type_num = 12 and cast(f.fee_taken * 100 as bigint) % 13 <> 0 and cast(f.fee_taken * 100 as bigint) % 17 <> 0""",
         "extract_renewals_new": "select * from e_renewals_new",
         "extract_renewals_legacy": "select * from e_renewals_legacy",
         "extract_restorations_legacy": "select * from e_restorations_legacy",
@@ -617,12 +681,10 @@ def oracle_queries(cfg: RunConfig, cfg_monthly: RunConfig) -> dict[str, str]:
         "lapse_records": "select publication_num, type, record from records_all where type = 400",
         "restoration_records": "select publication_num, type, record from records_all where type = 500",
         "lor_records": "select publication_num, type, record from records_all where type = 600",
-        "exchange_file": """
-            select distinct replace(record, '_', ' ') as record
-            from (select type, record from records_all union all select type, record from control) t
-            where length(record) = 80""",
+        "exchange_file": "select record from file_lines",
+        "exchange_reconciliation": _RECONCILIATION,
         "rejects": " union all ".join([
-            _RENEWAL_REJECTS, _rejects_body("lapse_rows", 400),
+            _rejects_body("ren_rows", 200), _rejects_body("lapse_rows", 400),
             _rejects_body("restoration_rows", 500), _rejects_body("lor_rows", 600),
             "select 600, publication_num, case when no_entry then 'cancellation without entry' else 'entry without dates' "
             "end, cast(null as varchar), 1, null, null from lor_unmatched_period",
@@ -630,9 +692,11 @@ def oracle_queries(cfg: RunConfig, cfg_monthly: RunConfig) -> dict[str, str]:
             "from control where length(record) <> 80",
         ]),
     }
-    sel["exchange_file_written"] = sel["exchange_file"]
+    sel["exchange_file_written"] = "select row_number() over (order by record) as line, record from file_lines"
     sel["status_report_written"] = f"""
-        select publication_num, cast(filing_date as varchar) as filing_date, cast(date_processed as varchar) as date_processed,
+        select row_number() over (order by type nulls first, filing_date nulls first, publication_num nulls first,
+                   date_processed nulls first, Addition_Deletion nulls first, from_year nulls first, to_year nulls first) as line,
+               publication_num, cast(filing_date as varchar) as filing_date, cast(date_processed as varchar) as date_processed,
                type, Addition_Deletion, cast(from_year as varchar) as from_year, cast(to_year as varchar) as to_year
         from ({sel['status_report']}) t"""
     out = {k: _with(q, v) for k, v in sel.items()}
@@ -657,5 +721,9 @@ def oracle_queries(cfg: RunConfig, cfg_monthly: RunConfig) -> dict[str, str]:
         select cast(coalesce(sum(renewal_fee), 0) as decimal(18, 2)) as p,
                cast(coalesce(sum(total_epo_amount), 0) as decimal(18, 2)) as r from split""")]
     out["monthly_report"] = _with(m, monthly["monthly_report"])
+    headings = [f'"{h}"' for h in re.findall('as "([^"]+)"', monthly["monthly_report"])] + ["source"]
+    order = [headings[1], headings[0], *headings[2:]]
+    out["monthly_report_written"] = _with(m, f"""
+        select row_number() over (order by {', '.join(f'{c} nulls first' for c in order)}) as line, * from ({monthly['monthly_report']}) t""")
     out["monthly_report_totals"] = _with(m + totals_cte, monthly["monthly_report_totals"])
     return out

@@ -64,14 +64,19 @@ def test_a_lost_trailer_fails_the_run(spark, sf_small, scratch, monkeypatch):
 def test_quarterly_run(spark, sf_small, scratch):
     cfg = RunConfig(run_date=dt.date(2001, 1, 3), quarterly=True, out_root=scratch)
     result = job.run(spark, fixture_tables(spark, sf_small), cfg)
-    assert set(result.outputs) == {"history", "status_report", "quarterly_totals", "exchange_file", "rejects"}
+    delivered = {"status_report", "quarterly_totals", "exchange_file"}
+    assert set(result.outputs) == {"history", "rejects", *delivered, *(f"{x}_manifest" for x in delivered)}
+    assert not result.faults
+    for name in delivered:
+        stored = spark.read.parquet(result.outputs[f"{name}_manifest"])
+        assert stored.count() == len([f for f in _part_files(result.outputs[name]) if os.path.getsize(f)])
     assert len(_part_files(result.outputs["quarterly_totals"])) == 1
 
     text = _text(result.outputs["exchange_file"], "iso-8859-1")
     lines = text.split("\n")[:-1]
     assert lines[0].startswith("100") and lines[-1].startswith("900")
     assert {len(x) for x in lines} == {80}
-    assert lines == sorted(lines) and len(lines) == len(set(lines))
+    assert lines == sorted(lines)
     assert "_" not in text
     assert result.metrics["exchange_lines"] == len(lines)
 
@@ -82,6 +87,10 @@ def test_quarterly_run(spark, sf_small, scratch):
     trailer = lines[-1]
     assert Decimal(trailer[18:31] + "." + trailer[31:33]) == sums[0]
     assert Decimal(trailer[33:46] + "." + trailer[46:48]) == sums[1]
+    # So do the lines themselves.
+    for total, place in zip(sums, (36, 46)):
+        assert total == sum(Decimal(x[place:place + 8] + "." + x[place + 8:place + 10]) for x in lines if x.startswith("200"))
+    assert result.metrics["lines_200"] == sum(x.startswith("200") for x in lines)
 
     # What the period holds is in the file or among the rejects.
     split = p.renewals_split.agg(F.sum("renewal_fee"), F.sum("total_epo_amount")).collect()[0]
@@ -91,7 +100,7 @@ def test_quarterly_run(spark, sf_small, scratch):
     rejected = spark.read.parquet(result.outputs["rejects"])
     for t in (200, 400, 500, 600):
         assert result.metrics[f"null_rows_{t}"] == rejected.where(
-            (F.col("type") == t) & F.col("reason").startswith("missing ")).count()
+            (F.col("type") == t) & F.col("reason").startswith("missing ")).agg(F.coalesce(F.sum("payments"), F.lit(0))).first()[0]
 
     history = spark.read.table(cfg.history_table)
     assert history.count() == result.metrics["renewals"] + result.metrics["restorations"] + \
@@ -104,7 +113,8 @@ def test_quarterly_run(spark, sf_small, scratch):
 def test_monthly_run(spark, sf_small, scratch):
     cfg = RunConfig(run_date=dt.date(2001, 1, 3), quarterly=False, out_root=scratch, output_files=1)
     result = job.run(spark, fixture_tables(spark, sf_small), cfg)
-    assert set(result.outputs) == {"history", "monthly_report", "monthly_totals"}
+    assert {x for x in result.outputs if not x.endswith("_manifest")} == {"history", "monthly_report", "monthly_totals"}
+    assert result.status == "ok" and not result.faults
     for key in ["monthly_report", "monthly_totals"]:
         assert len(_part_files(result.outputs[key])) == 1, key
     rows = open(_part_files(result.outputs["monthly_report"])[0]).read().splitlines()

@@ -1,6 +1,7 @@
 """Physical-plan properties: no Python workers, filters and projections reach the scans."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from annuity.operators import extracts
 from annuity.plans.queries import QUERIES, TEST_CONFIG
@@ -88,10 +89,10 @@ def test_history_period_prunes_partitions(spark, sf_small, tmp_path):
 
     from annuity.config import RunConfig
     from annuity.operators import reports
-    from annuity.sources import sinks
+    from annuity.sources.history import write_snapshot
     cfg = RunConfig(run_date=dt.date(2001, 1, 3), out_root=str(tmp_path), history_table="pruned_history")
     from annuity.plans.queries import pipeline
-    sinks.write_history(spark, pipeline(spark, sf_small).history, cfg)
+    write_snapshot(spark, pipeline(spark, sf_small).history, cfg)
     stored = spark.read.table("pruned_history").where("type_identifier = 'Renewals'")
     text = plan(reports.in_period(stored, *cfg.period))
     line = next(x for x in text.splitlines() if "PartitionFilters" in x)
@@ -104,3 +105,51 @@ def test_file_outputs_start_from_shared_stages(spark, sf_small):
     for name in ("exchange_file", "rejects"):
         text = plan(QUERIES[name](spark, sf_small)).split("Initial Plan")[0]
         assert text.count("FileScan") <= 20
+
+
+@pytest.fixture()
+def shuffled_joins(spark):
+    """Plans as for large tables: no join by broadcast, and the whole plan shown."""
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.maxPlanStringLength": "1000000"}
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def test_bucketed_stages_need_no_exchange_on_the_application(spark, sf_small, shuffled_joins):
+    from annuity.plans.queries import pipeline
+
+    bucketed = pipeline(spark, sf_small).bucket_staged()
+    plain = pipeline(spark, sf_small).staged("renewals", "lor")
+    assert bucketed.bucketed and not plain.bucketed
+    for stage in ("lor_ranges_all", "renewals_due", "renewals_enriched", "renewals_period"):
+        got, want = getattr(bucketed, stage), getattr(plain, stage)
+        text = plan(got)
+        assert "hashpartitioning(application_num" not in text and "hashpartitioning(_app" not in text, stage
+        assert "hashpartitioning(application_num" in plan(want)
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0, stage
+    # The fee lookup joins by year; nothing else is exchanged.
+    assert "hashpartitioning(application_num" not in plan(bucketed.renewals_split)
+    # Apart from the extracts of lapses and restorations, which join sources by it, the rejects need none either.
+    assert "hashpartitioning(application_num" not in plan(
+        pipeline(spark, sf_small).bucket_staged("renewals_split", "lor_ranges_all", "lapses", "restorations").rejects)
+
+
+def test_a_hot_application_is_not_bucketed(spark, monkeypatch):
+    from annuity.sources import sinks
+
+    monkeypatch.setattr(sinks, "HOT_ROWS", 100)
+    rows = spark.range(3000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).cast("string").alias("application_num"))
+    stored, bucketed = sinks.stage_buckets(rows, "hot", "application_num", 64)
+    assert not bucketed and stored.count() == 3000
+    monkeypatch.setattr(sinks, "HOT_ROWS", 100_000)
+    stored, bucketed = sinks.stage_buckets(rows, "hot", "application_num", 4)
+    assert bucketed and stored.count() == 3000 and stored.groupBy("application_num").count().count() == 2001
+
+
+def test_audit_counts_scan_less(spark, sf_small, shuffled_joins):
+    text = plan(QUERIES["audit_counts"](spark, sf_small))
+    assert text.count("FileScan") <= 25

@@ -163,6 +163,17 @@ def test_lor_ranges_hold_every_outcome(spark):
     assert [(r.application_num, r.gap) for r in gaps] == [("R", rules.NO_DATES)]
 
 
+def test_payments_without_a_date_show_their_outcome(spark):
+    """Against an undated payment the due date alone decides; dated and undated payments may disagree."""
+    renewals = frame(spark, "application_num string, renewal_year int, date_processed date",
+                     [("P", 11, D(2000, 2, 1)), ("P", 11, None), ("Q", 11, None), ("R", 11, D(2000, 2, 1)), ("S", 11, D(2000, 7, 1)),
+                      ("S", 11, None)])
+    lor = frame(spark, LOR, [(f"{a}", "EP1", D(1990, 6, 1), None, D(2000, 4, 1), D(2000, 5, 1), "A", "Legacy", "Licence of Right")
+                             for a in "PQRST"])
+    got = sorted((r.application_num, r.first_reduced_year) for r in rules.lor_year_ranges(lor, renewals).collect())
+    assert got == [("P", 11), ("P", 12), ("Q", 11), ("R", 12), ("S", 11), ("T", 11)]
+
+
 KEYS = "application_num string, publication_num string, renewal_year int, renewal_fee decimal(12,2)"
 
 
