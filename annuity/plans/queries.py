@@ -97,9 +97,9 @@ def _null_rows(p: Pipeline) -> DataFrame:
 def _audit_counts(p: Pipeline) -> DataFrame:
     """Run counts as (metric, value) rows.
 
-    The merge is counted by its keys: both systems' keys are aggregated together once, which
-    gives the rows of each, those that the merge keeps and the keys both hold.
-    The licences' ranges start from the staged renewals and licences.
+    The merge is counted by its keys: the staged rows of the new system and the legacy extract are
+    aggregated by key once, not extracted and joined again. The licences' ranges
+    start from the staged renewals and licences.
     """
     p = p.bucket_staged()
     every = F.lit(True)
@@ -114,7 +114,8 @@ def _audit_counts(p: Pipeline) -> DataFrame:
     ]
     counted = [df.agg(*[F.count(F.when(on, 1)).alias(name) for name, on in counts.items()])
                .unpivot([], list(counts), "metric", "value") for df, counts in passes]
-    keys = merge.key_counts(p.renewals_new, p.renewals_legacy).agg(
+    # The merge keeps every row of the new system.
+    keys = merge.key_counts(p.renewals.where(F.col("source") == SOURCE_NEW), p.renewals_legacy).agg(
         F.coalesce(F.sum("legacy"), F.lit(0)).alias("renewals_legacy"), F.count_if("shared").alias("duplicate_renewal_keys"))
     counted.append(keys.unpivot([], keys.columns, "metric", "value"))
     return reduce(DataFrame.unionByName, counted)
@@ -204,7 +205,7 @@ QUERIES: dict[str, Query] = {
     "multiple_renewals": _q(lambda p: rules.multiple_payment_groups(p.renewals)),
     "lor_pivot": _q(lambda p: rules.lor_pivot(p.lor)),
     "lor_endorsement": _q(lambda p: p.renewals_enriched.select(*ENDORSEMENT_COLUMNS)),
-    "lor_year_range": _q(lambda p: p.bucket_staged().lor_ranges.select(*RANGE_COLUMNS)),
+    "lor_year_range": _q(lambda p: p.lor_ranges.select(*RANGE_COLUMNS)),
     "minimum_fee_lookup": _q(_minimum_fee_lookup),
     "fee_splits": _q(lambda p: p.renewals_split.select(*SPLIT_COLUMNS)),
     # reports

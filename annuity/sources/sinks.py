@@ -45,20 +45,24 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# Fewer rows are not worth a second write; every join of them is cheap either way.
+BUCKET_ROWS = 2_000_000
 # A bucket may hold this many times the rows of an even one, and a key so many rows, before a table counts as skewed.
 UNEVEN, HOT_ROWS = 4, 100_000
 
 
 def stage_buckets(df: DataFrame, name: str, key: str, buckets: int) -> tuple[DataFrame, bool]:
-    """``stage``, in buckets sorted by ``key`` unless one key holds too many rows; whether it is bucketed.
+    """``stage``, in buckets sorted by ``key`` unless the table is small or one key holds too many rows; whether it is.
 
     Joins, aggregates and windows on the key need no exchange afterwards. The table's
     catalog entry is dropped at once: the plan holds the files and their buckets.
     """
     spark = df.sparkSession
     plain = stage(df, name)
-    rows, hottest = plain.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(
-        F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
+    rows = plain.count()
+    if rows < BUCKET_ROWS:
+        return plain, False
+    hottest = plain.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
     if hottest > max(HOT_ROWS, UNEVEN * rows / buckets):
         return plain, False
     table = f"{name}_{uuid.uuid4().hex}"

@@ -119,9 +119,11 @@ def shuffled_joins(spark):
         spark.conf.set(k, v)
 
 
-def test_bucketed_stages_need_no_exchange_on_the_application(spark, sf_small, shuffled_joins):
+def test_bucketed_stages_need_no_exchange_on_the_application(spark, sf_small, shuffled_joins, monkeypatch):
     from annuity.plans.queries import pipeline
+    from annuity.sources import sinks
 
+    monkeypatch.setattr(sinks, "BUCKET_ROWS", 0)
     bucketed = pipeline(spark, sf_small).bucket_staged()
     plain = pipeline(spark, sf_small).staged("renewals", "lor")
     assert bucketed.bucketed and not plain.bucketed
@@ -142,6 +144,7 @@ def test_a_hot_application_is_not_bucketed(spark, monkeypatch):
     from annuity.sources import sinks
 
     monkeypatch.setattr(sinks, "HOT_ROWS", 100)
+    monkeypatch.setattr(sinks, "BUCKET_ROWS", 0)
     rows = spark.range(3000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).cast("string").alias("application_num"))
     stored, bucketed = sinks.stage_buckets(rows, "hot", "application_num", 64)
     assert not bucketed and stored.count() == 3000
