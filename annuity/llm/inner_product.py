@@ -4,8 +4,11 @@ Vectors are whole numbers, floor(64 x) of each component. All vectors are
 rotated to the axes on which a sample varies most (an SVD of at most
 ``SAMPLE`` rows; the rotation changes no inner product), so the first
 components carry most of a product. Candidates are sorted by falling length
-and dealt to splits in that order; a task searches one block of queries in one
-split, taking longer vectors first:
+and cut into splits in that order. Every query is first searched in the split of
+the longest vectors, which gives it a k-th best score to start from; it then
+goes only to the splits that can still reach it, as its length times
+the longest vector of the split tells before anything is shuffled. A task searches one block
+of queries in one split, taking longer vectors first:
 
 * a query stops when its length times the longest vector left is below its k-th best score;
 * otherwise the product of the first ``HEAD`` rotated components plus the
@@ -13,16 +16,19 @@ split, taking longer vectors first:
   candidates that may reach the k-th best are scored, in whole numbers.
 
 Every split returns its k best per query; the best of those are the result.
+Where lengths are alike no split can be left out, and the work grows with queries times rows.
 
 Rows: vectors that are null or hold a null or non-finite component take no
-part, nor do null ids. Rows that share an id are one vector, the smallest. Vectors of unequal length are compared over the
-components both have; empty ones score 0. Ties go to the smaller id. Other
-columns are ignored; an empty table gives an empty result. Components must be below 2^31 / 64 in size.
+part, nor do null ids. Repeated ids and rows are rows of their own: each is a
+candidate, and a query if its id says so, and only a query's own row is left out. Vectors of unequal
+length are compared over the components both have; empty ones score 0. Ties go to the smaller id. Other
+columns are ignored; an empty table gives an empty result. Vectors so long that a product could
+leave 64 bits fail the query.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
 
 import numpy as np
 import pandas as pd
@@ -40,26 +46,31 @@ HEAD = 24
 QUERY_BLOCK = 16384
 SPLIT_ROWS = 8192
 QUERIES_AT_ONCE = 2048
+# A split grows with the root of all rows up to what a task holds well.
+ROOT_ROWS, MOST_ROWS = 8, 65536
+# A vector's length below which no product of two leaves 64 bits.
+LONGEST = 3.0e9
 # Rounding of the bounds: far above that of sums of products of doubles.
 EPS = 1e-9
 
 
 def whole_numbers(vectors: DataFrame, vec_id: str, vector: str) -> DataFrame:
-    """(vec_id, v array<long>, norm) of the vectors that take part."""
-    x = F.transform(F.col(vector), lambda c: c.cast("double"))
+    """(row, vec_id, v array<long>, norm) of the rows that take part."""
     finite = lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < F.lit(float("inf")))
-    rows = (vectors.select(F.col(vec_id).cast("long").alias("vec_id"), x.alias("x"))
+    rows = (vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.transform(F.col(vector), lambda c: c.cast("double")).alias("x"))
             .where(F.col("vec_id").isNotNull() & F.col("x").isNotNull())
-            .where(F.forall("x", finite))
-            .groupBy("vec_id").agg(F.min("x").alias("x")))
-    v = F.transform("x", lambda c: F.floor(c * SCALE).cast("long"))
-    square = F.aggregate("v", F.lit(0.0), lambda acc, c: acc + c.cast("double") * c.cast("double"))
-    return rows.select("vec_id", v.alias("v")).withColumn("norm", F.sqrt(square))
+            .where(F.forall("x", finite)))
+    large = F.transform("x", lambda c: c * SCALE)
+    length = lambda v: F.sqrt(F.aggregate(v, F.lit(0.0), lambda acc, c: acc + c.cast("double") * c.cast("double")))
+    # Rounding down makes a component longer by less than one.
+    checked = F.when(length(large) + F.sqrt(F.size("x")) < LONGEST, F.transform(large, lambda c: F.floor(c).cast("long"))).otherwise(
+        F.raise_error(F.lit("inner products of these vectors may not fit 64 bits")).cast("array<bigint>"))
+    return rows.select(F.monotonically_increasing_id().alias("row"), "vec_id", checked.alias("v")).withColumn("norm", length(F.col("v")))
 
 
 def rotation(rows: DataFrame, width: int) -> np.ndarray:
     """Axes by falling variance of at most SAMPLE rows, the longest first in id-hash order."""
-    some = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("v").collect()
+    some = rows.orderBy(F.xxhash64("row"), "row").limit(SAMPLE).select("v").collect()
     if not some or not width:
         return np.eye(width)
     m = np.zeros((len(some), width))
@@ -78,10 +89,10 @@ def _matrix(values, width: int) -> np.ndarray:
 class Best:
     """The k best (score, id) of each query; ties to the smaller id."""
 
-    def __init__(self, queries: int, k: int):
+    def __init__(self, queries: int, k: int, floor: np.ndarray | None = None):
         self.k = k
         self.q, self.score, self.id = (np.zeros(0, np.int64) for _ in range(3))
-        self.floor = np.full(queries, -np.inf)
+        self.floor = np.full(queries, -np.inf) if floor is None else floor
 
     def add(self, q: np.ndarray, score: np.ndarray, ids: np.ndarray) -> None:
         q, score, ids = (np.concatenate(x) for x in ((self.q, q), (self.score, score), (self.id, ids)))
@@ -91,14 +102,19 @@ class Best:
         rank = np.arange(len(q)) - np.repeat(first, np.diff(np.r_[first, len(q)]))
         keep = rank < self.k
         last = rank == self.k - 1
-        self.floor[q[last]] = score[last]
+        self.floor[q[last]] = np.maximum(self.floor[q[last]], score[last])
         self.q, self.score, self.id = q[keep], score[keep], ids[keep]
 
 
-def search(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, ids: np.ndarray, axes: np.ndarray,
-           k: int) -> Best:
-    """The k best of ``rows`` (longest first) for each query."""
-    best = Best(len(queries), k)
+def search(queries: np.ndarray, query_rows: np.ndarray, rows: np.ndarray, numbers: np.ndarray, axes: np.ndarray,
+           k: int, ids: np.ndarray | None = None, floor: np.ndarray | None = None) -> Best:
+    """The k best of ``rows`` (longest first) for each query.
+
+    ``query_rows`` and ``numbers`` are row numbers (a query leaves out its own), ``ids``
+    order equal scores (row numbers by default), and ``floor`` is a score that each query's results must reach.
+    """
+    ids = numbers if ids is None else ids
+    best = Best(len(queries), k, floor)
     q_rot, r_rot = queries @ axes, rows @ axes
     q_len, r_len = np.linalg.norm(queries, axis=1), np.linalg.norm(rows, axis=1)
     rest = lambda x: np.sqrt(np.maximum((x[:, HEAD:] ** 2).sum(axis=1), 0.0))
@@ -118,7 +134,7 @@ def search(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, ids: np
             bound = q_rot[use, :HEAD] @ r_rot[begin:end, :HEAD].T
             bound += q_rest[use, None] * r_rest[None, begin:end]
             near = bound + slack[use, None] >= best.floor[use, None]
-            near &= query_ids[use, None] != ids[None, begin:end]
+            near &= query_rows[use, None] != numbers[None, begin:end]
             qi, ri = np.nonzero(near)
             if 4 * len(qi) > near.size:
                 score = (q_num[use] @ r_num[begin:end].T)[qi, ri]
@@ -135,11 +151,14 @@ def _block_search(axes: np.ndarray, k: int):
     width = len(axes)
 
     def found(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        left = left.sort_values("vec_id")
-        right = right.sort_values(["norm", "vec_id"], ascending=[False, True])
-        ids, q_ids = right["vec_id"].to_numpy(), left["vec_id"].to_numpy()
-        best = search(_matrix(left["v"], width), q_ids, _matrix(right["v"], width), ids, axes, k)
-        return pd.DataFrame({"query_id": q_ids[best.q], "vec_id": best.id, "score": best.score})
+        left = left.sort_values(["vec_id", "row"])
+        right = right.sort_values(["norm", "vec_id", "row"], ascending=[False, True, True])
+        ids, numbers, q_rows = right["vec_id"].to_numpy(), right["row"].to_numpy(), left["row"].to_numpy()
+        floor = left["floor"].to_numpy(float)
+        best = search(_matrix(left["v"], width), q_rows, _matrix(right["v"], width), numbers, axes, k, ids,
+                      np.where(np.isnan(floor), -np.inf, floor))
+        return pd.DataFrame({"row": q_rows[best.q], "query_id": left["vec_id"].to_numpy()[best.q], "vec_id": best.id,
+                             "score": best.score})
 
     return found
 
@@ -151,18 +170,34 @@ def top_k(vectors: DataFrame, k: int = TOP, every: int = EVERY, vec_id: str = "v
     n, width = rows.agg(F.count(F.lit(1)), F.max(F.size("v"))).first()
     width = width or 0
     axes = rotation(rows, width)
-    splits = max(1, -(-n // SPLIT_ROWS))
+    splits = max(1, -(-n // max(SPLIT_ROWS, min(ROOT_ROWS * math.isqrt(n), MOST_ROWS))))
     blocks = max(1, -(-n // (every * QUERY_BLOCK)))
-    # In falling order of length; neighbours go to different splits, so each split has long vectors to start from.
-    place = F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(splits)).cast("int")
-    block = F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int")
-    candidates = rows.withColumn("split", place).withColumn(
-        "block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    queries = (rows.where(F.col("vec_id") % every == 0).withColumn("block", block)
-               .withColumn("split", F.explode(F.sequence(F.lit(0), F.lit(splits - 1)))))
-    found = (queries.groupBy("block", "split").cogroup(candidates.groupBy("block", "split"))
-             .applyInPandas(_block_search(axes, k), "query_id long, vec_id long, score long"))
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    # In falling order of length; equal lengths spread by the row number, so no length is too much for a split.
+    ordered = rows.repartitionByRange(splits, F.desc("norm"), F.xxhash64("row")) if splits > 1 else rows.coalesce(1)
+    placed = stage(ordered.withColumn("split", F.spark_partition_id()), "vector-splits")
+    longest = placed.groupBy("split").agg(F.max("norm").alias("longest"))
+    last = placed.agg(F.max("split")).first()[0] or 0
+    block = F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int")
+    queries = rows.where(F.col("vec_id") % every == 0).withColumn("block", block)
+    candidates = placed.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    by, kept = ("block", "split"), "row long, query_id long, vec_id long, score long"
+
+    def searched(asked: DataFrame, part: Column) -> DataFrame:
+        # New columns: both sides of the cogroup come from one table.
+        asked = asked.select(*[F.col(c).alias(c) for c in ("row", "vec_id", "v", "floor", *by)])
+        return asked.groupBy(*by).cogroup(candidates.where(part).groupBy(*by)).applyInPandas(_block_search(axes, k), kept)
+
+    none = F.lit(None).cast("double")
+    found = searched(queries.withColumns({"split": F.lit(0), "floor": none}), F.col("split") == 0)
+    if last:
+        found = stage(found, "longest-searched")
+        floors = (found.groupBy(F.col("row").alias("_row")).agg(F.count(F.lit(1)).alias("_n"), F.min("score").alias("_least"))
+                  .select("_row", F.when(F.col("_n") >= k, F.col("_least").cast("double")).alias("floor")))
+        rest = (queries.join(floors, F.col("row") == F.col("_row"), "left")
+                .withColumn("split", F.explode(F.sequence(F.lit(1), F.lit(last)))).join(longest, "split"))
+        reach = F.col("norm") * F.col("longest") * (1 + EPS) + 1
+        found = found.unionByName(searched(rest.where(F.col("floor").isNull() | (reach >= F.col("floor"))), F.col("split") > 0))
+    best = Window.partitionBy("row").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
 
@@ -174,12 +209,11 @@ def op4(vectors: DataFrame) -> DataFrame:
 def op4_sql() -> str:
     """The same rows by DuckDB, every query against every vector."""
     return f"""
-with v as (select vec_id, min(list_transform(embedding, lambda c: c::double)) as x from embeddings
-           where vec_id is not null and embedding is not null
-             and len(list_filter(embedding, lambda c: c is null or not isfinite(c))) = 0 group by vec_id),
-w as (select vec_id, list_transform(x, lambda c: floor({SCALE} * c)) as w from v),
-s as (select q.vec_id as query_id, c.vec_id as vec_id, 
+with v as (select row_number() over () as r, vec_id, list_transform(embedding, lambda c: floor({SCALE} * c::double)::bigint) as w
+           from embeddings where vec_id is not null and embedding is not null
+             and len(list_filter(embedding, lambda c: c is null or not isfinite(c))) = 0),
+s as (select q.r, q.vec_id as query_id, c.vec_id as vec_id,
              coalesce(list_sum(list_transform(range(1, least(len(q.w), len(c.w)) + 1), lambda i: q.w[i] * c.w[i])), 0)::bigint as score
-      from w q join w c on q.vec_id <> c.vec_id where q.vec_id % {EVERY} = 0),
-r as (select query_id, (row_number() over (partition by query_id order by score desc, vec_id))::int as rank, vec_id, score from s)
+      from v q join v c on q.r <> c.r where q.vec_id % {EVERY} = 0),
+r as (select query_id, (row_number() over (partition by r order by score desc, vec_id))::int as rank, vec_id, score from s)
 select query_id, rank, vec_id, score from r where rank <= {TOP}"""

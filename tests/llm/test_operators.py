@@ -1,6 +1,7 @@
 """Sharding, top-k, license scan, mixing, rule ledger and pipeline beyond their SQL."""
 
 import textwrap
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -57,6 +58,50 @@ def test_top_k_equals_brute_force(spark, monkeypatch, scale):
     assert {tuple(r) for r in inner_product.top_k(vectors).collect()} == want
 
 
+def test_repeated_ids_are_rows_of_their_own(spark, monkeypatch):
+    monkeypatch.setattr(inner_product, "SPLIT_ROWS", 20)
+    monkeypatch.setattr(inner_product, "ROOT_ROWS", 1)
+    rng = np.random.default_rng(9)
+    v = rng.normal(size=(150, 6)).astype(np.float32)
+    v[100:] = v[:50]  # copies, a third of them under one id
+    ids = [20 if k % 3 == 0 else k for k in range(150)]
+    vectors = spark.createDataFrame(list(zip(ids, v.tolist())), "vec_id long, embedding array<float>")
+    whole = np.floor(64 * v.astype(float)).astype(np.int64)
+    score = whole @ whole.T
+    want = Counter()
+    for q in [k for k in range(150) if ids[k] % 20 == 0]:
+        order = [i for i in np.lexsort((ids, -score[q])) if i != q][:20]
+        want.update((ids[q], k + 1, ids[i], int(score[q, i])) for k, i in enumerate(order))
+    assert Counter(tuple(r) for r in inner_product.top_k(vectors).collect()) == want
+
+
+def test_products_stay_true_up_to_the_bound(spark):
+    near = spark.createDataFrame([(0, [2.6e7] * 3), (1, [2.6e7] * 3), (2, [-2.6e7] * 3)], "vec_id long, embedding array<double>")
+    got = [tuple(r) for r in inner_product.top_k(near).collect()]
+    assert got == [(0, 1, 1, 3 * 1664000000 ** 2), (0, 2, 2, -3 * 1664000000 ** 2)]
+    for x in (3.0e7, 1.0e30):
+        with pytest.raises(Exception, match="64 bits"):
+            inner_product.top_k(spark.createDataFrame([(0, [x] * 3), (1, [1.0])], "vec_id long, embedding array<double>")).collect()
+
+
+def test_short_splits_are_not_asked(spark, monkeypatch):
+    """Splits whose longest vector cannot reach a query's floor get no copy of it."""
+    monkeypatch.setattr(inner_product, "SPLIT_ROWS", 100)
+    monkeypatch.setattr(inner_product, "ROOT_ROWS", 1)
+    rng = np.random.default_rng(5)
+    v = (rng.normal(size=(1000, 8)) * np.where(np.arange(1000) % 20 == 7, 50.0, 0.01)[:, None]).astype(np.float32)
+    v[:, 0] = np.abs(v[:, 0]) + np.where(np.arange(1000) % 20 == 7, 100, 0)
+    v[::20, 0] += 1
+    vectors = spark.createDataFrame(list(enumerate(v.tolist())), "vec_id long, embedding array<float>")
+    rows = inner_product.top_k(vectors)
+    whole = np.floor(64 * v.astype(float)).astype(np.int64)
+    best = {q: sorted((int(whole[q] @ whole[i]) for i in range(1000) if i != q), reverse=True)[:20] for q in range(0, 1000, 20)}
+    got = {}
+    for r in rows.orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append(r["score"])
+    assert got == best
+
+
 def test_pruning_leaves_out_short_vectors(monkeypatch):
     rng = np.random.default_rng(4)
     rows = np.vstack([rng.normal(size=(50, 8)) * 1000, rng.normal(size=(5000, 8))]).astype(np.int64)
