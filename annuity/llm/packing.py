@@ -21,6 +21,7 @@ table gives an empty result.
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 import zlib
@@ -47,6 +48,8 @@ PLACE = "sequence_id long, offset long, room long"
 _PLAIN = re.compile("[\t-\r -~¡-±´-¸º»¿-įı-ſ–—‘-”…]*")
 # How the vocabulary's tokenizer cuts a lower-cased word (a fixed value), for such characters.
 _PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
+# The same, as the vocabulary's file states it (a fixed value).
+_CUT = {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}
 
 
 class _Words(dict):
@@ -78,6 +81,14 @@ class Tokens:
         from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        # The word table holds for tokenizers that compose, join white space, lower-case and cut as below, and no others.
+        cuts = (spec["pre_tokenizer"] or {}).get("pretokenizers") or [{}]
+        self.by_word = (spec["model"]["type"] == "BPE" and not spec["model"].get("dropout")
+                        and [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])] == ["NFC", "Replace", "Lowercase"]
+                        and [c.get("type") for c in cuts] == ["Split", "ByteLevel"] and cuts[0].get("pattern") == _CUT
+                        and not cuts[1].get("add_prefix_space") and not cuts[1].get("use_regex"))
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.words = _Words(self.tokenizer.model, ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str)
 
@@ -86,7 +97,7 @@ class Tokens:
 
     def __call__(self, text: str | None) -> bytes:
         text = text or ""
-        if not _PLAIN.fullmatch(text) or any(s in text for s in self.special):
+        if not self.by_word or not _PLAIN.fullmatch(text) or any(s in text for s in self.special):
             return self.whole(text)
         if len(self.words) > CACHED_WORDS:
             self.words.clear()
@@ -152,19 +163,24 @@ def improve(bins: list[list[int]], lengths: np.ndarray, capacity: int) -> list[l
     """Drain the emptier bins into the fuller ones by moves and swaps that raise the sum of squared fills.
 
     Bins are visited from the emptiest on, until a whole round finds no step
-    or no bin can be saved any more.
+    or no bin can be saved any more. Steps are looked for among the different
+    lengths of each bin, so many equal pieces cost no more than one.
     """
-    least = -(-int(lengths.sum()) // capacity)
+    # All fills are multiples of what divides every length.
+    unit = int(np.gcd.reduce(lengths))
+    least = -(-int(lengths.sum()) // (capacity // unit * unit))
     fill = np.array([lengths[b].sum() for b in bins], np.int64)
     where = np.empty(len(lengths), np.int64)
     for b, items in enumerate(bins):
         where[items] = b
+    values, kind = np.unique(lengths, return_inverse=True)
     better = True
     while better and (fill > 0).sum() > least:
         better = False
         for b in np.argsort(fill, kind="stable").tolist():
-            while 0 < fill[b] < capacity and (step := _step(b, where, lengths, fill, capacity)):
+            while 0 < fill[b] < capacity and (step := _step(b, where, kind, values, fill, capacity)):
                 out, to, back = step
+                out, back = _items(where, kind, b, out), _items(where, kind, to, back)
                 where[out], where[back] = to, b
                 gain = int(lengths[out].sum() - lengths[back].sum())
                 fill[to] += gain
@@ -177,34 +193,48 @@ def improve(bins: list[list[int]], lengths: np.ndarray, capacity: int) -> list[l
     return [part.tolist() for part in np.split(order, cuts[1:])]
 
 
-def _step(b: int, where, lengths, fill, capacity):
-    """(items out of b, bin they go to, items back) of the largest gain, or None."""
-    own = np.flatnonzero(where == b)
-    others = np.flatnonzero(where != b)
+def _items(where: np.ndarray, kind: np.ndarray, b: int, kinds: list[int]) -> list[int]:
+    """Different items of a bin, one of each of the ``kinds`` of length."""
+    out: list[int] = []
+    for k in kinds:
+        out.append(next(i for i in np.flatnonzero((where == b) & (kind == k))[:len(kinds)].tolist() if i not in out))
+    return out
+
+
+def _step(b: int, where: np.ndarray, kind: np.ndarray, values: np.ndarray, fill: np.ndarray, capacity: int):
+    """(kinds of length out of b, bin they go to, kinds back) of the largest gain, or None."""
+    at, back = np.divmod(np.unique(where * len(values) + kind), len(values))
+    target, back = at[at != b], back[at != b]
+    if not len(target):
+        return None
+    own, many = np.unique(kind[where == b], return_counts=True)
     room = capacity - fill
-    target = where[others]
     best = (0, None)
 
-    def consider(gain_of, taken, returned):
+    def consider(total, taken):
+        """Give ``taken`` for one piece of another bin."""
         nonlocal best
-        ok = (gain_of > 0) & (gain_of <= room[target]) & (fill[target] + gain_of > fill[b])
+        gain = total - values[back]
+        ok = (gain > best[0]) & (gain <= room[target]) & (fill[target] + gain > fill[b])
         if ok.any():
-            k = int(np.argmax(np.where(ok, gain_of, 0)))
-            if gain_of[k] > best[0]:
-                best = (int(gain_of[k]), (taken, int(target[k]), returned(k)))
+            k = int(np.argmax(np.where(ok, gain, 0)))
+            best = (int(gain[k]), (taken, int(target[k]), [int(back[k])]))
 
-    if not len(others):
-        return None
-    for i in own.tolist():  # a move, or one for one
-        n = int(lengths[i])
-        free = np.flatnonzero((room >= n) & (fill > 0) & (np.arange(len(fill)) != b) & (fill + n > fill[b]))
+    bins = np.unique(target)
+    for k in own[::-1].tolist():  # a move, or one for one
+        n = int(values[k])
+        free = bins[(room[bins] >= n) & (fill[bins] + n > fill[b])]
         if len(free) and n > best[0]:
-            best = (n, ([i], int(free[np.argmin(room[free])]), []))
-        consider(n - lengths[others], [i], lambda k: [int(others[k])])
+            best = (n, ([k], int(free[np.argmin(room[free])]), []))
+        consider(n, [k])
     if best[1] is None:  # two for one
+        seen = set()
         for x, i in enumerate(own.tolist()):
-            for j in own[x + 1:].tolist():
-                consider(int(lengths[i] + lengths[j]) - lengths[others], [i, j], lambda k: [int(others[k])])
+            for j in own[x + (many[x] < 2):].tolist():
+                total = int(values[i] + values[j])
+                if total not in seen:
+                    seen.add(total)
+                    consider(total, [i, j])
     return best[1]
 
 

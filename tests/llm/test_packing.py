@@ -11,7 +11,9 @@ from annuity.llm import packing
 
 @pytest.fixture(scope="module")
 def tokens():
-    return packing.Tokens(packing.tokenizer_path())
+    found = packing.Tokens(packing.tokenizer_path())
+    assert found.by_word
+    return found
 
 
 @settings(max_examples=300, deadline=None)
@@ -47,6 +49,33 @@ def test_exchange_two_for_one():
     assert len(bins) == 2
 
 
+@pytest.mark.parametrize("lengths", [[5] * 4096, [3] * 2048, [700] * 300 + [5] * 300, [7] * 500 + [11] * 500 + [1021] * 40])
+def test_few_different_lengths_take_few_looks(monkeypatch, lengths):
+    """What a step looks at are different lengths by bin, not pieces."""
+    looked, unique = [], np.unique
+
+    def counted(x, *args, **kwargs):
+        out = unique(x, *args, **kwargs)
+        looked.append(len(out[0] if isinstance(out, tuple) else out))
+        return out
+
+    rng = np.random.default_rng(1)
+    lengths = rng.permutation(np.array(lengths))
+    before = packing.best_fit(lengths, 2048)
+    monkeypatch.setattr(packing.np, "unique", counted)
+    bins = packing.improve(before, lengths, 2048)
+    assert sorted(i for b in bins for i in b) == list(range(len(lengths))) and len(bins) <= len(before)
+    assert all(lengths[b].sum() <= 2048 for b in bins)
+    assert sum(looked) < 200_000
+
+
+def test_other_vocabularies_are_asked_whole():
+    other = packing.Tokens(packing.tokenizer_path("byte_bpe_50k.json"))
+    assert not other.by_word
+    for text in ("The Quick  brown\nfox", "it's", ""):
+        assert other(text) == other.whole(text)
+
+
 def layout(df: pd.DataFrame, capacity: int):
     df = df.sort_values(["sequence_id", "offset"])
     assert (df.groupby("sequence_id")["length"].cumsum() - df["length"] == df["offset"]).all()
