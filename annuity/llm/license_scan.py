@@ -2,8 +2,8 @@
 
 A text is cut into blocks: its lines, and its whole word sequence, so that a
 notice wrapped over several lines lies in one block too. Of whatever has more
-than ``BLOCK_WORDS`` words, every window of that size at steps of half of it is
-a block: a notice of up to half of it and one more word is never cut. A block
+words than ``block_words`` of the templates, every window of that size at steps of half of it is
+a block; it is twice the longest template at least, so no notice is ever cut. A block
 matches a template when it holds at least ``THRESHOLD`` of the template's
 distinct words. The join is exact:
 
@@ -15,9 +15,10 @@ distinct words. The join is exact:
   and in the block must still reach ``need``;
 * the survivors are counted exactly.
 
-A block's labels are those of its templates, but for a template whose words
-are all in another one that the block matches too (the notice with a further
-condition is the one that holds).
+A block's labels are those of its templates. A template whose words are all in
+another one that the block matches too (the notice with a further condition) counts only if
+the block holds it beside that one: at least ``need`` of its words occur more often than the wider notice
+can be there, which is as often as the words that only the wider one has.
 
 Rows: one per input row. A null or empty text has no words, no places and no
 labels, score 0. Repeated rows and ids each get their own row (matches are
@@ -54,10 +55,11 @@ TEMPLATES = [
     ("cc_by", "cc-by", "licensed under cc by 4 0"),
     ("cc_by_nc", "cc-by-nc", "licensed under cc by nc 4 0"),
     ("mpl_notice", "mpl", "this source code form is subject to the terms of the mozilla public license v 2 0"),
+    ("reserved_bare", "all-rights-reserved", "all rights reserved"),
     ("reserved", "all-rights-reserved", "all rights reserved no part of this may be reproduced"),
 ]
 THRESHOLD = 0.9
-BLOCK_WORDS = 64
+LEAST_BLOCK = 64
 # Whatever separates words: all of ASCII but digits and (lower-case) letters.
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -70,6 +72,11 @@ def _template_words(templates) -> dict[str, list[str]]:
     return {name: sorted(set(text.split())) for name, _, text in templates}
 
 
+def block_words(templates) -> int:
+    """Words of a block: windows overlap by half, so the longest template lies in one whole."""
+    return max(LEAST_BLOCK, *(2 * (len(text.split()) - 1) for _, _, text in templates))
+
+
 def wider_templates(templates) -> dict[str, list[str]]:
     """For each template, those with all its words and more."""
     words = {name: set(ws) for name, ws in _template_words(templates).items()}
@@ -98,15 +105,15 @@ def prefix_rows(order: list[str], threshold: float, templates=TEMPLATES) -> list
     return rows
 
 
-def _blocks(text: Column, words: Column) -> Column:
+def _blocks(text: Column, words: Column, size: int) -> Column:
     """The words of every block: lines and the whole text, either as overlapping windows where it is long."""
-    step = BLOCK_WORDS // 2
+    step = size // 2
     lines = F.split(text, "\n")
     # A single line is the whole text.
     spans = F.concat(F.transform(lines, words_of), F.when(F.size(lines) > 1, F.array(words)).otherwise(F.array().cast("array<array<string>>")))
     cut = lambda ws: F.transform(
-        F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil((F.size(ws) - BLOCK_WORDS) / step).cast("int"))),
-        lambda i: F.slice(ws, i * step + 1, BLOCK_WORDS))
+        F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil((F.size(ws) - size) / step).cast("int"))),
+        lambda i: F.slice(ws, i * step + 1, size))
     return F.flatten(F.transform(spans, cut))
 
 
@@ -114,8 +121,8 @@ def matching_blocks(docs: DataFrame, order: list[str], threshold: float = THRESH
                     templates=TEMPLATES) -> DataFrame:
     """Every (block, template) at or above the threshold.
 
-    ``docs`` has doc_id, text and words. Columns: doc_id, text_hash, block,
-    template, label, shared, containment. The index is bounded by the
+    ``docs`` has doc_id, text and words. Columns: doc_id, text_hash, block, known
+    (the block's template words), many (how often it has each), template, label, shared, containment. The index is bounded by the
     templates and is broadcast; blocks without an index word are dropped
     before it is met.
     """
@@ -124,10 +131,12 @@ def matching_blocks(docs: DataFrame, order: list[str], threshold: float = THRESH
         rows, "word string, place int, template string, label string, template_words array<string>, need int")
     keys, vocabulary = F.array(*map(F.lit, sorted({r[0] for r in rows}))), F.array(*map(F.lit, order))
     blocks = (docs.where(F.arrays_overlap("words", keys))
-              .select("doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(_blocks(F.col("text"), F.col("words"))).alias("block", "ws"))
+              .select("doc_id", F.xxhash64("text").alias("text_hash"), 
+                      F.posexplode(_blocks(F.col("text"), F.col("words"), block_words(templates))).alias("block", "ws"))
               .where(F.arrays_overlap("ws", keys))
               # The block's template words in the global order.
-              .select("doc_id", "text_hash", "block", F.array_intersect(vocabulary, "ws").alias("known")))
+              .select("doc_id", "text_hash", "block", F.array_intersect(vocabulary, "ws").alias("known"), "ws"))
+    blocks = blocks.withColumn("many", F.transform("known", lambda w: F.size(F.filter("ws", lambda x: x == w)))).drop("ws")
     pairs = (blocks.select("*", F.explode(F.array_intersect("known", keys)).alias("word"))
              .join(F.broadcast(index), "word")
              .where(F.size("known") >= F.col("need"))
@@ -137,7 +146,7 @@ def matching_blocks(docs: DataFrame, order: list[str], threshold: float = THRESH
              .where(F.least(F.size("template_words") - F.col("place"), F.size("known") - F.col("at") + 1) >= F.col("need")))
     shared = F.size(F.array_intersect("template_words", "known"))
     return (pairs.withColumn("shared", shared).where(F.col("shared") >= F.col("need"))
-            .select("doc_id", "text_hash", "block", "template", "label", "shared",
+            .select("doc_id", "text_hash", "block", "known", "many", "template", "label", "shared",
                     (F.col("shared") / F.size("template_words")).alias("containment")))
 
 
@@ -162,11 +171,25 @@ def scan(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold:
     found = matching_blocks(own, word_order(own, templates), threshold, templates)
     # A block matches at most every template once, also where rows repeat.
     matches = F.collect_set(F.struct("template", "label", "containment"))
-    blocks = found.groupBy("doc_id", "text_hash", "block").agg(matches.alias("m"))
-    wider = F.create_map(*[c for name, names in wider_templates(templates).items()
-                           for c in (F.lit(name), F.array(*map(F.lit, names)).cast("array<string>"))])
-    narrower = lambda x: F.exists("m", lambda y: F.array_contains(wider[x["template"]], y["template"]))
-    labels = blocks.select("doc_id", "text_hash", F.inline(F.filter("m", lambda x: ~narrower(x))))
+    blocks = found.groupBy("doc_id", "text_hash", "block").agg(
+        matches.alias("m"), F.map_from_arrays(F.first("known"), F.first("many")).alias("many"))
+    by_name = lambda values: F.create_map(*[c for name, names in values.items()
+                                            for c in (F.lit(name), F.array(*map(F.lit, names)).cast("array<string>"))])
+    wider, words = by_name(wider_templates(templates)), by_name(_template_words(templates))
+    need = F.create_map(*[c for name, ws in _template_words(templates).items()
+                          for c in (F.lit(name), F.lit(math.ceil(threshold * len(ws) - 1e-9)))])
+    many = lambda w: F.coalesce(F.try_element_at("many", w), F.lit(0))
+
+    def hidden(x: Column) -> Column:
+        """Whether a wider template of the block accounts for this one."""
+        def within(y: Column) -> Column:
+            often = F.array_max(F.transform(F.array_except(words[y["template"]], words[x["template"]]), many))
+            beside = F.size(F.filter(words[x["template"]], lambda w: many(w) > often))
+            return F.array_contains(wider[x["template"]], y["template"]) & (beside < need[x["template"]])
+
+        return F.exists("m", within)
+
+    labels = blocks.select("doc_id", "text_hash", F.inline(F.filter("m", lambda x: ~hidden(x))))
     # One row per id and text; partial sets are merged before the shuffle.
     found = (labels.groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
              .agg(F.collect_set("label").alias("_labels"), F.max("containment").alias("_best")))
@@ -200,7 +223,8 @@ def op6_sql() -> str:
     phrases = " union all ".join(
         f"select k, i - 1 as start, '{label}' as label from pos where "
         + " and ".join(f"words[i + {j}] = '{w}'" for j, w in enumerate(p.split())) for p, label in PHRASES.items())
-    step = BLOCK_WORDS // 2
+    size = block_words(TEMPLATES)
+    step = size // 2
     return rf"""
 with templates(template, label, tw, need, wider) as (values {rows}),
 d as (select row_number() over () as k, doc_id, translate(coalesce(text, ''), '{upper}', '{lower}') as t from documents),
@@ -208,14 +232,21 @@ w as (select k, doc_id, t, regexp_extract_all(t, '{gap}') as words from d),
 pos as (select k, words, unnest(range(1, len(words) + 1)) as i from w),
 base as ({phrases}),
 b as (select k, count(*) as n, min(start) as lo, max(start) as hi, list_sort(list(distinct label)) as labels from base group by k),
-lines as (select k, regexp_extract_all(unnest(string_split(t, chr(10))), '{gap}') as ws from d),
-blocks as (select k, row_number() over () as b, list_distinct(ws[s + 1 : s + {BLOCK_WORDS}]) as bw from (
-           select k, ws, unnest(range(0, greatest(1, (ceil((len(ws) - {BLOCK_WORDS}) / {step}) + 1) * {step})::bigint, {step})) as s
+lines as (select k, regexp_extract_all(unnest(string_split(t, chr(10))), '{gap}') as ws from d
+          union all select k, words from w where contains(t, chr(10))),
+blocks as (select k, row_number() over () as b, ws[s + 1 : s + {size}] as raw, list_distinct(ws[s + 1 : s + {size}]) as bw from (
+           select k, ws, unnest(range(0, greatest(1, (ceil((len(ws) - {size}) / {step}) + 1) * {step})::bigint, {step})) as s
            from lines) x),
-hit as (select k, b, template, label, wider, len(list_intersect(bw, tw)) / len(tw) as containment
+hit as (select k, b, raw, template, label, tw, need, wider, len(list_intersect(bw, tw)) / len(tw) as containment
         from blocks, templates where len(list_intersect(bw, tw)) >= need),
-m as (select k, list(distinct label) as labels, max(containment) as best from hit where not exists (
-        select 1 from hit as h2 where h2.b = hit.b and list_contains(hit.wider, h2.template)) group by k)
+often as (select h.k, h.b, h.template, h.raw, h.tw, h.need,
+                 list_max(list_transform(list_filter(y.tw, lambda w: not list_contains(h.tw, w)),
+                                         lambda w: len(list_filter(h.raw, lambda z: z = w)))) as n
+          from hit h join hit y on y.b = h.b and list_contains(h.wider, y.template)),
+hidden as (select b, template from often
+           where len(list_filter(tw, lambda w: len(list_filter(raw, lambda z: z = w)) > n)) < need),
+m as (select k, list(distinct label) as labels, max(containment) as best from hit
+      where not exists (select 1 from hidden x where x.b = hit.b and x.template = hit.template) group by k)
 select w.doc_id, len(words)::bigint as n_words, coalesce(b.n, 0)::bigint as n_base, b.lo::bigint as first_word,
        b.hi::bigint as last_word, coalesce(array_to_string(b.labels, ','), '') as base_labels,
        coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(b.labels, []), coalesce(m.labels, [])))), ','), '') as labels,

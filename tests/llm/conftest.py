@@ -1,9 +1,17 @@
+import textwrap
+
 import pytest
 
 DOC_SCHEMA = ("doc_id long, text string, lang string, source string, n_chars long, score double, topic string, "
               "fingerprint string, measure double, text_hash long, label string, tokens string, at long, key long")
 
 
+# A notice wrapped over lines, in the middle of other words.
+WRAPPED = "\n".join(textwrap.wrap(
+    " ".join(f"w{i}" for i in range(50)) + " Redistribution and use in source and binary forms, with or without modification, are "
+    "permitted provided that the following conditions are met: " + " ".join(f"v{i}" for i in range(60)), 72))
+
+
 def edge_rows():
     """Nulls in every column, empty and long texts, ties and repeated rows; the other columns clash with working names."""
     long_text = "Thint onder ed an the " * 30_000

@@ -24,6 +24,29 @@ def test_shards_match_the_mixture(spark, sf_small, monkeypatch):
     assert (counts.max(axis=1) - counts.min(axis=1)).max() <= 2
 
 
+def test_a_third_of_equal_rows_is_split(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "BUCKET_ROWS", 100)
+    monkeypatch.setattr(sharding, "COPIES_AT_ONCE", 50)
+    rows = [(7, "same text", "hot")] * 2000 + [(None, None, None)] * 500 + [(k, f"text {k % 900}", f"s{k % 5}") for k in range(3500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    biggest = []
+    find = sharding.ranked
+
+    def watched(df, group, bucket, *args):
+        biggest.append(df.groupBy(*group, bucket).count().agg(F.max("count")).first()[0])
+        return find(df, group, bucket, *args)
+
+    monkeypatch.setattr(sharding, "ranked", watched)
+    out = sharding.shards(docs, 8, keep_text=True).toPandas()
+    assert max(biggest) < 250 and len(out) == 6000
+    assert Counter(zip(out["doc_id"].fillna(-1).astype(int), out["text"].fillna("null"))) == Counter(
+        (-1 if i is None else i, "null" if t is None else t) for i, t, _ in rows)
+    assert set(out.groupby("shard").size()) == {750}
+    for _, part in out.groupby("shard"):
+        assert sorted(part["slot"]) == list(range(750))
+        assert 249 <= (part["source"] == "hot").sum() <= 251
+
+
 def test_written_shards(spark, sf_small, tmp_path):
     docs = spark.read.parquet(f"{sf_small}/documents.parquet")
     path = sharding.write_shards(docs, str(tmp_path / "shards"), 4, 2)
@@ -133,6 +156,23 @@ def test_license_labels(spark):
     assert rows[5]["labels"] == rows[6]["labels"] == "" and rows[6]["first_word"] is None
 
 
+def test_a_narrower_notice_beside_a_wider_one(spark):
+    by, nc = "Licensed under CC BY 4.0", "licensed under CC BY-NC 4.0"
+    rows = scan(spark, f"{by}; figures {nc}.", f"{nc}. {nc}.", f"{nc}; {by}; {nc}", by, nc, "All rights reserved.",
+                "All rights reserved. No part of this may be reproduced.", "Licence: all, rights", f"{nc}\n{by}")
+    assert [rows[i]["labels"] for i in range(9)] == [
+        "cc-by,cc-by-nc", "cc-by-nc", "cc-by,cc-by-nc", "cc-by", "cc-by-nc", "all-rights-reserved", "all-rights-reserved", "",
+        "cc-by,cc-by-nc"]
+
+
+def test_long_templates_are_never_cut(spark):
+    notice = " ".join(f"term{i}" for i in range(150))
+    templates = [*license_scan.TEMPLATES, ("long", "own", notice)]
+    docs = spark.createDataFrame([(k, " ".join(f"w{i}" for i in range(k)) + " " + notice + " x" * 300) for k in (0, 40, 100, 148, 149, 150, 333)],
+                                 "doc_id long, text string")
+    assert all(r["all_labels"] == ["own"] and r["score"] == 1.0 for r in license_scan.scan(docs, templates=templates).collect())
+
+
 @pytest.mark.parametrize("lead", ["", " * ", "# "])
 def test_wrapped_notices(spark, lead):
     """Notices wrapped at 72 columns, as license headers are, at every offset to the windows."""
