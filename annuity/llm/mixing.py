@@ -4,7 +4,11 @@ Documents fall into cells (source, language, topic). The cells' token counts
 are raked: their weights are scaled to each marginal's target shares in turn
 until all marginals agree. A cell's documents are then kept with probability
 min(1, scale * raked weight / tokens), where the scale is solved so that the
-expected tokens are the wanted part of the input.
+expected tokens are the wanted part of the input. Unless a caller names a budget, that
+part is the largest at which the categories have the tokens that their targets ask for. Those that run
+out first, with up to ``SHORT`` of a marginal's target together, may fall short: they
+are kept whole, so that rare categories do not decide for all. Where the input has its
+target shares already, everything is kept.
 
 Every category has a target of its own; only where a caller names targets do
 the categories without one share ``other``. Up to ``MAX_CELLS`` cells are raked
@@ -32,7 +36,7 @@ from annuity.llm.common import fresh, stage
 # What the driver may hold; larger tables of cells are raked in Spark.
 MAX_CELLS = 1 << 17
 TEMPERATURE = 0.5
-KEEP = 0.5
+SHORT = 0.2
 SEED = 7
 ROUNDS, TOLERANCE = 500, 1e-9
 MARGINALS = ("source", "lang", "topic")
@@ -99,6 +103,19 @@ def probabilities(share: np.ndarray, tokens: np.ndarray, keep: float) -> np.ndar
     return np.ones(len(tokens))
 
 
+def affordable(there: np.ndarray, wanted: np.ndarray) -> float:
+    """The largest part of all tokens at which one marginal's target shares are there.
+
+    ``there``: its categories' shares of the input. Those that run out first are passed over while their
+    targets are within ``SHORT`` together.
+    """
+    on = wanted > 0
+    reach = there[on] / wanted[on]
+    order = np.argsort(reach, kind="stable")
+    late = np.flatnonzero(wanted[on][order].cumsum() > SHORT * wanted[on].sum())
+    return min(1.0, float(reach[order][late[0]])) if len(late) else 1.0
+
+
 def tempered(tokens: dict[str, int]) -> dict[str, float]:
     """Shares by the square root of the tokens, which lifts small categories."""
     total = sum(t ** TEMPERATURE for t in tokens.values())
@@ -121,7 +138,7 @@ def measured(docs: DataFrame, seed: int = SEED, topic: Column | None = None) ->
                              names["draw"]: draw.cast("long")}), names
 
 
-def _raked_here(cells: DataFrame, targets: dict[str, dict[str, float]], keep: float) -> list[tuple]:
+def _raked_here(cells: DataFrame, targets: dict[str, dict[str, float]], keep: float | None) -> list[tuple]:
     """(source, lang, topic, weight, probability) of at most ``MAX_CELLS`` cells."""
     rows = sorted(cells.collect(), key=lambda r: [r[m] for m in MARGINALS])
     if not rows:
@@ -136,6 +153,9 @@ def _raked_here(cells: DataFrame, targets: dict[str, dict[str, float]], keep: fl
         place = {c: k for k, c in enumerate(sorted({*given, *totals}))}
         index.append([place[r[m]] for r in rows])
         wanted.append(np.array([given.get(c, 0.0) for c in place]))
+    if keep is None:
+        there = [np.bincount(i, weights=tokens, minlength=len(w)) / tokens.sum() for i, w in zip(index, wanted)]
+        keep = min(affordable(t, np.where(t > 0, w, 0.0) / max(w[t > 0].sum(), 1e-300)) for t, w in zip(there, wanted))
     share, _ = rake(np.array(index).T, tokens, wanted, min(keep, 1.0))
     odds = probabilities(share, tokens, keep)
     return [(*[r[m] for m in MARGINALS], float(s * tokens.sum() / t), float(p))
@@ -156,15 +176,36 @@ def _wanted(cells: DataFrame, marginal: str, given: dict[str, float] | None) ->
     return there.select(marginal, (F.col("goal") / total if total else F.lit(1 / n)).alias("goal"))
 
 
-def _raked_there(cells: DataFrame, targets: dict[str, dict[str, float]], keep: float) -> DataFrame:
+# Categories are counted by their reach in steps of this part of a doubling.
+REACH_STEPS = 1024
+
+
+def _affordable(cells: DataFrame, marginal: str, wanted: DataFrame, total: float) -> float:
+    """``affordable`` over a table of categories of any size, rounded down by less than a thousandth."""
+    reach = F.col("t") / total / F.col("goal")
+    step = F.floor(F.log2(reach) * REACH_STEPS).cast("long")
+    steps = (cells.groupBy(marginal).agg(F.sum("tokens").alias("t")).join(wanted, marginal).where(F.col("goal") > 0)
+             .groupBy(F.greatest(F.least(step, F.lit(0)), F.lit(-64 * REACH_STEPS)).alias("step")).agg(F.sum("goal").alias("goal")))
+    # At most 64 doublings of steps.
+    found = sorted(map(tuple, steps.collect()))
+    short = 0.0
+    for step, goal in found:
+        short += goal
+        if short > SHORT:
+            return min(1.0, 2.0 ** (step / REACH_STEPS))
+    return 1.0
+
+
+def _raked_there(cells: DataFrame, targets: dict[str, dict[str, float]], keep: float | None) -> DataFrame:
     """The rows of ``_raked_here`` by the steps of ``rake`` and ``probabilities``, over a table of cells of any size.
 
     The cells are written after each step. It also ends when a round moves no cell by more than ``TOLERANCE``
     of its share, as further rounds would not either.
     """
-    keep, total = min(keep, 1.0), float(cells.agg(F.sum("tokens")).first()[0])
-    most = F.col("tokens") / total / keep if keep else F.lit(float("inf"))
+    total = float(cells.agg(F.sum("tokens")).first()[0])
     wanted = {m: _wanted(cells, m, targets.get(m)) for m in MARGINALS}
+    keep = min(_affordable(cells, m, wanted[m], total) for m in MARGINALS) if keep is None else min(keep, 1.0)
+    most = F.col("tokens") / total / keep if keep else F.lit(float("inf"))
     plain = [*MARGINALS, "tokens"]
     state = cells.select(*plain, (F.col("tokens") / total).alias("share"))
     for _ in range(ROUNDS):
@@ -196,11 +237,12 @@ def _raked_there(cells: DataFrame, targets: dict[str, dict[str, float]], keep: f
 
 
 def mixed(rows: DataFrame, names: dict[str, str], targets: dict[str, dict[str, float]] | None = None,
-          keep: float = KEEP) -> tuple[DataFrame, dict[str, str]]:
+          keep: float | None = None) -> tuple[DataFrame, dict[str, str]]:
     """``measured`` rows with weight, probability and selected; and the names of all added columns.
 
     ``targets``: shares by marginal and category (``other`` for the rest); a
-    marginal without targets gets ``tempered`` shares of its own tokens.
+    marginal without targets gets ``tempered`` shares of its own tokens. ``keep``: the part of
+    all tokens to keep, by default the largest at which the targets can be met.
     """
     added = ("weight", "probability", "selected")
     names = names | dict(zip(added, fresh(rows, *added)))

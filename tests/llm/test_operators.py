@@ -209,6 +209,66 @@ def test_rake_keeps_within_what_is_there():
     assert (share * 0.5 * tokens.sum() <= tokens * (1 + 1e-9)).all()
 
 
+def plain_mixture(cells: dict[tuple, int]) -> dict[tuple, float]:
+    """Probability by cell: square-root targets, proportional fitting within what is there, and a scale by halving."""
+    total = sum(cells.values())
+    goals, parts = [], []
+    for k in range(3):
+        there = Counter()
+        for cell, n in cells.items():
+            there[cell[k]] += n
+        roots = sum(n ** 0.5 for n in there.values())
+        goal = {c: n ** 0.5 / roots for c, n in there.items()}
+        passed = 0.0
+        for c in sorted(goal, key=lambda c: there[c] / goal[c]):
+            passed += goal[c]
+            if passed > 0.2:
+                parts.append(there[c] / total / goal[c])
+                break
+        goals.append(goal)
+    keep = min(1.0, *parts)
+    share = {cell: n / total for cell, n in cells.items()}
+    for _ in range(500):
+        for k, goal in enumerate(goals):
+            now = Counter()
+            for cell, x in share.items():
+                now[cell[k]] += x
+            share = {cell: min(x * goal[cell[k]] / now[cell[k]], cells[cell] / total / keep) for cell, x in share.items()}
+        off = max(abs(sum(x for cell, x in share.items() if cell[k] == c) - g) for k, goal in enumerate(goals) for c, g in goal.items())
+        if off < 1e-9:
+            break
+    low, high = 0.0, 1e6
+    for _ in range(200):
+        scale = (low + high) / 2
+        kept = sum(min(n, scale * share[cell] * total) for cell, n in cells.items())
+        low, high = (scale, high) if kept < keep * total else (low, scale)
+    return {cell: min(1.0, low * share[cell] * total / n) for cell, n in cells.items()}
+
+
+def test_op7_equals_plain_fitting(spark):
+    rows = mixing.op7(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).collect()
+    cells = Counter()
+    at = lambda r: tuple(r[c] or "none" for c in ("source", "lang", "topic"))
+    for r in rows:
+        cells[at(r)] += r["tokens"]
+    want = plain_mixture(cells)
+    assert len(rows) == 1000 and all(r["probability"] == pytest.approx(want[at(r)], rel=1e-5) for r in rows)
+    picked = sum(r["tokens"] for r in rows if r["selected"]) / sum(cells.values())
+    assert picked == pytest.approx(sum(want[c] * n for c, n in cells.items()) / sum(cells.values()), rel=0.1)
+
+
+def test_a_mixture_at_its_targets_is_kept_whole(spark):
+    rows = [(k, f"some words {k}", ["a", "b"][k % 2], "en") for k in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    assert all(r["selected"] and r["probability"] == pytest.approx(1.0) for r in mixing.op7(docs).collect())
+
+
+def test_nearly_empty_categories_do_not_decide(spark):
+    there, goal = np.array([0.5, 0.4997, 0.0003]), np.array([0.5, 0.495, 0.005])
+    assert mixing.affordable(there, goal) == 1.0
+    assert mixing.affordable(np.array([0.9, 0.1]), np.array([0.5, 0.5])) == pytest.approx(0.2)
+
+
 def test_mixture_follows_given_targets(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rows, names = mixing.mixed(*mixing.measured(docs), {"lang": {"en": 0.4, "fr": 0.2, "de": 0.2, "es": 0.2}, "topic": {"article": 0.7, "other": 0.3}}, 0.3)
@@ -230,7 +290,7 @@ def test_every_source_has_its_own_target(spark):
     assert all(got[s] / total == pytest.approx(n ** 0.5 / roots, rel=1e-6) for s, n in sizes)
 
 
-@pytest.mark.parametrize("targets,keep", [(None, 0.5), ({"lang": {"en": 0.5, "fr": 0.2, "xx": 0.1, "other": 0.2}}, 0.3), (None, 1.0)])
+@pytest.mark.parametrize("targets,keep", [(None, 0.5), ({"lang": {"en": 0.5, "fr": 0.2, "xx": 0.1, "other": 0.2}}, 0.3), (None, 1.0), (None, None)])
 def test_cells_raked_in_spark_equal_those_on_the_driver(spark, monkeypatch, targets, keep):
     monkeypatch.setattr(mixing, "ROUNDS", 4)
     rng = np.random.default_rng(3)
@@ -245,7 +305,10 @@ def test_cells_raked_in_spark_equal_those_on_the_driver(spark, monkeypatch, targ
         out = mixing.mixed(rows, names, targets, keep)[0].orderBy("doc_id").collect()
         assert len(out) == 200
         found.append(np.array([(r["weight"], r["probability"]) for r in out]))
-    assert np.allclose(*found, rtol=1e-9)
+    # The part that targets allow is found in small steps where cells stay in Spark.
+    assert np.allclose(*found, rtol=1e-9 if keep else 5e-3)
+    if keep is None:
+        return
     tokens = np.array([r["tokens"] for r in out])
     assert (tokens * found[1][:, 1]).sum() == pytest.approx(keep * tokens.sum())
 
