@@ -1,14 +1,17 @@
 """Interpolated Kneser-Ney character models over several classes.
 
-Text becomes a sequence of character codes: lower-cased letters a to z are 1 to
-26, other letters fall into 37 further codes, and every run of anything else
-is one gap (0). With ``ORDER`` codes of 6 bits an n-gram is a 24-bit hash, so
-a model has at most 2^24 n-grams whatever the corpus; this bounds what the
-driver collects and broadcasts. N-grams are stored as a sorted hash array with
-their log-probabilities beside it; the lower orders are whole tables.
+Text becomes a sequence of character codes: a lower-cased letter of any script
+is its own code (letters beyond the basic plane share 6,400 codes), and every run
+of anything else is one gap (0). ``ORDER`` codes of 16 bits are an n-gram, packed in one 64-bit
+key. Each order has a sorted array of the keys seen, with the log-probabilities of
+all classes beside it, and one of the contexts seen, with their back-off weights.
 
 Counting covers all texts given: each task counts its part and emits every
-(class, n-gram) once, and Spark adds them up.
+(class, n-gram) once, and Spark adds them up in a written table, which grows with the corpus.
+Of that table each class keeps its most frequent n-grams, all that reach a count: the
+lowest count at which the model stays within ``MAX_GRAMS`` n-grams and ``MAX_CELLS`` probabilities (up to
+that size nothing is left out). This, and at most ``MAX_CLASSES`` classes, bound what the driver
+smooths and what is broadcast; more classes fail the query.
 """
 
 from __future__ import annotations
@@ -21,12 +24,19 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BITS, ORDER = 6, 4
+from annuity.llm.common import stage
+
+BITS, ORDER = 16, 4
 CODES = 1 << BITS
-LETTERS = 26
+# Letters beyond the basic plane share the codes of its private area.
+SHARED_FROM, SHARED = 0xE000, 0x1900
 CONTEXT = ORDER - 1
+SHIFT = np.uint64(BITS)
 CHARS_AT_ONCE = 1 << 18
-COUNTS_AT_ONCE = 1 << 23
+COUNTS_AT_ONCE = 1 << 22
+MAX_CLASSES = 1024
+MAX_GRAMS, MAX_CELLS = 1 << 22, 1 << 25
+COUNT_BINS = 1000
 
 
 class Alphabet:
@@ -37,11 +47,10 @@ class Alphabet:
     @classmethod
     def codes(cls) -> np.ndarray:
         if cls.table is None:
-            table = np.zeros(0x110000, np.uint8)
+            table = np.zeros(0x110000, np.uint16)
             letter = np.array([chr(c).isalpha() for c in range(0x110000)])
             points = np.flatnonzero(letter)
-            table[points] = 1 + LETTERS + points % (CODES - 1 - LETTERS)
-            table[ord("a"):ord("a") + LETTERS] = 1 + np.arange(LETTERS)
+            table[points] = np.where(points < CODES, points, SHARED_FROM + points % SHARED)
             cls.table = table
         return cls.table
 
@@ -49,7 +58,7 @@ class Alphabet:
 def encode(text: str | None) -> np.ndarray:
     """Codes with CONTEXT gaps in front; runs of other characters are one gap."""
     raw = np.frombuffer((text or "").lower().encode("utf-32-le", "surrogatepass"), np.uint32)
-    codes = np.concatenate([np.zeros(CONTEXT, np.uint8), Alphabet.codes()[raw], np.zeros(1, np.uint8)])
+    codes = np.concatenate([np.zeros(CONTEXT, np.uint16), Alphabet.codes()[raw], np.zeros(1, np.uint16)])
     keep = np.r_[True, (codes[1:] | codes[:-1]) != 0]
     keep[:CONTEXT] = True
     return codes[keep]
@@ -57,12 +66,16 @@ def encode(text: str | None) -> np.ndarray:
 
 @dataclass
 class Chunk:
-    """N-grams of several texts: those of segment i are grams[start[i]:end[i]], of text doc[i]."""
+    """N-grams of several texts: those of segment i are grams[start[i]:end[i]], of text doc[i].
+
+    Of those, the first own[i] are in no later segment of the text.
+    """
 
     grams: np.ndarray
     start: np.ndarray
     end: np.ndarray
     doc: np.ndarray
+    own: np.ndarray
 
 
 def chunks(texts, overlap: int = 0) -> Iterator[Chunk]:
@@ -70,32 +83,34 @@ def chunks(texts, overlap: int = 0) -> Iterator[Chunk]:
 
     A longer text is cut into segments that share ``overlap`` n-grams.
     """
-    parts, docs, size = [], [], 0
+    parts, docs, own, size = [], [], [], 0
     for at, text in enumerate(texts):
         codes = encode(text)
         if len(codes) <= CONTEXT + 1 and not codes.any():
             continue
-        for begin in range(0, max(1, len(codes) - CONTEXT - overlap), CHARS_AT_ONCE):
+        stop = max(1, len(codes) - CONTEXT - overlap)
+        for begin in range(0, stop, CHARS_AT_ONCE):
             part = codes[begin:begin + CHARS_AT_ONCE + CONTEXT + overlap]
             parts.append(part)
             docs.append(at)
+            own.append(CHARS_AT_ONCE if begin + CHARS_AT_ONCE < stop else len(part) - CONTEXT)
             size += len(part)
             if size >= CHARS_AT_ONCE:
-                yield _chunk(parts, docs)
-                parts, docs, size = [], [], 0
+                yield _chunk(parts, docs, own)
+                parts, docs, own, size = [], [], [], 0
     if parts:
-        yield _chunk(parts, docs)
+        yield _chunk(parts, docs, own)
 
 
-def _chunk(parts, docs) -> Chunk:
-    codes = np.concatenate(parts).astype(np.uint32)
+def _chunk(parts, docs, own) -> Chunk:
+    codes = np.concatenate(parts).astype(np.uint64)
     n = len(codes) - CONTEXT
-    grams = np.zeros(n, np.uint32)
+    grams = np.zeros(n, np.uint64)
     for k in range(ORDER):
-        grams = (grams << np.uint32(BITS)) | codes[k:k + n]
+        grams = (grams << np.uint64(BITS)) | codes[k:k + n]
     lengths = np.array([len(p) for p in parts])
     start = np.cumsum(lengths) - lengths
-    return Chunk(grams, start, start + lengths - CONTEXT, np.array(docs))
+    return Chunk(grams, start, start + lengths - CONTEXT, np.array(docs), np.array(own))
 
 
 def _own(chunk: Chunk) -> np.ndarray:
@@ -129,12 +144,12 @@ def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     size = 0
     for label, parts in held.items():
         grams, n = merged(parts)[0]
-        yield pd.DataFrame({"label": label, "gram": grams.astype(np.int32), "n": n.astype(np.int64)})
+        yield pd.DataFrame({"label": label, "gram": grams.view(np.int64), "n": n.astype(np.int64)})
 
 
 def counted(rows: DataFrame) -> DataFrame:
     """(label, gram, n) over all ``rows`` (label, text)."""
-    parts = rows.select("label", "text").mapInPandas(_count, "label string, gram int, n long")
+    parts = rows.select("label", "text").mapInPandas(_count, "label string, gram long, n long")
     return parts.groupBy("label", "gram").agg(F.sum("n").alias("n"))
 
 
@@ -149,7 +164,7 @@ class Smoothed:
 
     def __init__(self, grams: np.ndarray, n: np.ndarray):
         self.grams, self.n, self.d = grams, n, discount(n)
-        context = grams >> BITS
+        context = grams >> SHIFT
         first = np.flatnonzero(np.r_[True, context[1:] != context[:-1]]) if len(grams) else np.zeros(0, np.int64)
         self.context = context[first]
         self.total = np.add.reduceat(n, first) if len(first) else np.zeros(0, np.int64)
@@ -162,9 +177,9 @@ class Smoothed:
 
     def probability(self, grams: np.ndarray, lower: np.ndarray) -> np.ndarray:
         at, hit = find(self.grams, grams)
-        c, seen = find(self.context, grams >> BITS)
+        c, seen = find(self.context, grams >> SHIFT)
         kept = np.where(hit, _take(self.n, at) - self.d, 0.0) / np.maximum(_take(self.total, c), 1)
-        return np.where(seen, kept, 0.0) + self.left_over(grams >> BITS) * lower
+        return np.where(seen, kept, 0.0) + self.left_over(grams >> SHIFT) * lower
 
 
 def find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -179,58 +194,73 @@ def _take(values: np.ndarray, at: np.ndarray) -> np.ndarray:
     return values[at] if len(values) else np.zeros(len(at))
 
 
-def _shorter(grams: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
-    """Continuation counts: in how many kinds of n-gram each shorter one ends."""
-    return np.unique(grams & ((1 << BITS * order) - 1), return_counts=True)
-
-
-def _lower(grams: np.ndarray) -> np.ndarray:
-    """Kneser-Ney probabilities of every (ORDER-1)-gram, from the kinds of n-grams alone."""
-    orders, kinds = {}, grams
-    for order in range(ORDER - 1, 0, -1):
-        kinds, n = _shorter(kinds, order)
-        orders[order] = Smoothed(kinds, n)
-    p = np.full(CODES, 1.0 / CODES)
-    for order in range(1, ORDER):
-        every = np.arange(1 << BITS * order)
-        p = orders[order].probability(every, p if order == 1 else p[every & ((1 << BITS * (order - 1)) - 1)])
-    return p
+def _tail(order: int) -> np.uint64:
+    """Mask of the last ``order`` codes."""
+    return np.uint64((1 << BITS * order) - 1)
 
 
 class Model:
-    """Per class log-probabilities: of stored n-grams, else back-off weight plus lower order."""
+    """Per class log-probabilities: of stored n-grams, else back-off weight plus the next lower order."""
 
     def __init__(self, labels: list[str], counts: dict[str, tuple[np.ndarray, np.ndarray]], shared: bool):
         """``shared``: the lower orders come from the n-grams of all classes together."""
         self.labels = labels
-        counts = {c: (g[o := np.argsort(g)].astype(np.int64), n[o]) for c, (g, n) in counts.items()}
-        keys = np.unique(np.concatenate([counts[c][0] for c in labels])) if labels else np.zeros(0, np.int64)
-        tail, contexts = (1 << BITS * CONTEXT) - 1, np.arange(1 << BITS * CONTEXT)
-        stored, lower, left = [], [], []
-        pooled = _lower(keys) if shared else None
-        for c in labels:
-            p = pooled if shared else _lower(counts[c][0])
-            top = Smoothed(*counts[c])
-            stored.append(np.log(top.probability(keys, p[keys & tail])))
-            lower.append(np.log(p))
-            left.append(np.log(top.left_over(contexts)))
-        as_table = lambda x, n: np.ascontiguousarray(np.array(x, np.float32).reshape(len(labels), n).T)
-        self.keys = keys.astype(np.uint32)
-        self.stored, self.lower = as_table(stored, len(keys)), as_table(lower, len(contexts))
-        self.left = as_table(left, len(contexts))
+        counts = {c: (g[o := np.argsort(g)], n[o]) for c, (g, n) in ((c, (g.astype(np.uint64), n)) for c, (g, n) in counts.items())}
+        every = np.unique(np.concatenate([counts[c][0] for c in labels])) if labels else np.zeros(0, np.uint64)
+        # Index 0 is unused: keys[k] and so on are of order k.
+        self.keys: list[np.ndarray] = [np.zeros(0, np.uint64)] * (ORDER + 1)
+        self.keys[ORDER] = every
+        for k in range(ORDER - 1, 0, -1):
+            self.keys[k] = np.unique(self.keys[k + 1] & _tail(k))
+        self.contexts = [np.unique(keys >> SHIFT) for keys in self.keys]
+        self.stored = [np.zeros((len(keys), len(labels)), np.float32) for keys in self.keys]
+        self.left = [np.zeros((len(contexts), len(labels)), np.float32) for contexts in self.contexts]
+        pooled = self._smooth(every, None) if shared else None
+        for at, c in enumerate(labels):
+            probabilities, left = self._smooth(*counts[c], pooled)
+            for k in range(1, ORDER + 1):
+                self.stored[k][:, at], self.left[k][:, at] = np.log(probabilities[k]), np.log(left[k])
+
+    def _smooth(self, grams: np.ndarray, n: np.ndarray | None, below: tuple[list, list] | None = None) -> tuple[list, list]:
+        """Probabilities of all keys and back-off weights of all contexts by order, of one class.
+
+        Lower orders count the kinds of n-grams that end in theirs, or are those of ``below``.
+        """
+        probabilities, left = ([None] * (ORDER + 1) for _ in range(2))
+        kinds, orders = grams, [None] * (ORDER + 1)
+        orders[ORDER] = Smoothed(grams, n) if n is not None else None
+        for k in range(ORDER - 1, 0, -1):
+            kinds, many = np.unique(kinds & _tail(k), return_counts=True)
+            orders[k] = Smoothed(kinds, many)
+        for k in range(1, ORDER + 1):
+            if below is not None and k < ORDER:
+                probabilities[k], left[k] = below[0][k], below[1][k]
+            elif orders[k] is not None:
+                lower = 1.0 / CODES if k == 1 else probabilities[k - 1][find(self.keys[k - 1], self.keys[k] & _tail(k - 1))[0]]
+                probabilities[k] = orders[k].probability(self.keys[k], lower)
+                left[k] = orders[k].left_over(self.contexts[k])
+        return probabilities, left
 
     def log_probabilities(self, grams: np.ndarray) -> np.ndarray:
         """One row per n-gram, one column per class."""
-        at, hit = find(self.keys, grams)
-        out = self.stored[at] if len(self.keys) else np.zeros((len(grams), len(self.labels)), np.float32)
-        miss = np.flatnonzero(~hit)
-        rest = grams[miss]
-        out[miss] = self.left[rest >> BITS] + self.lower[rest & np.uint32((1 << BITS * CONTEXT) - 1)]
+        grams = np.asarray(grams, np.uint64)
+        out = np.zeros((len(grams), len(self.labels)), np.float32)
+        rest = np.arange(len(grams))
+        for k in range(ORDER, 0, -1):
+            own = grams[rest] & _tail(k)
+            at, hit = find(self.keys[k], own)
+            out[rest[hit]] += self.stored[k][at[hit]]
+            rest, own = rest[~hit], own[~hit]
+            if not len(rest):
+                return out
+            at, seen = find(self.contexts[k], own >> SHIFT)
+            out[rest[seen]] += self.left[k][at[seen]]
+        out[rest] -= np.float32(np.log(CODES))
         return out
 
 
 def ship(df: DataFrame, model: Model):
-    """A broadcast of the model's arrays, whose size is bounded by the 2^24 n-grams per class."""
+    """A broadcast of the model's arrays: at most ``MAX_CELLS`` probabilities of an order."""
     return df.sparkSession.sparkContext.broadcast(vars(model))
 
 
@@ -240,9 +270,36 @@ def shipped(arrays) -> Model:
     return out
 
 
+def least_counts(bins: list[tuple[str, int, int]], classes: int) -> dict[str, int]:
+    """By class, the count from which its n-grams are kept, from (class, count, n-grams with it)."""
+    room = min(MAX_GRAMS, MAX_CELLS // max(classes, 1)) // max(classes, 1)
+    least: dict[str, int] = {}
+    held: dict[str, int] = {}
+    for label, n, grams in sorted(bins, key=lambda x: (x[0], -x[1])):
+        held[label] = held.get(label, 0) + grams
+        if held[label] <= room:
+            least[label] = n
+    return least
+
+
 def model(counts: DataFrame, shared: bool = False) -> Model:
-    """Collect the counts (at most 2^24 n-grams per class) and smooth them."""
-    pdf = counts.toPandas()
-    labels = sorted(pdf["label"].unique())
-    by = {c: (r["gram"].to_numpy(), r["n"].to_numpy()) for c, r in pdf.groupby("label")}
-    return Model(labels, by, shared)
+    """Smooth the counts of what each class keeps.
+
+    N-grams that occur ``COUNT_BINS`` times or more share one bin; a class with more of those than fit fails.
+    """
+    counts = stage(counts, "character-counts", narrow=True)
+    names = [r["label"] for r in counts.select("label").distinct().limit(MAX_CLASSES + 1).collect()]
+    if len(names) > MAX_CLASSES:
+        raise ValueError(f"character models of more than {MAX_CLASSES} classes")
+    names.sort()
+    bins = counts.groupBy("label", F.least(F.col("n"), F.lit(COUNT_BINS)).alias("n")).agg(F.count(F.lit(1)).alias("grams")).collect()
+    least = least_counts([(r["label"], r["n"], r["grams"]) for r in bins], len(names))
+    if set(least) != set(names):
+        raise ValueError("a class has more frequent n-grams than a model may hold")
+    if not names:
+        return Model([], {}, shared)
+    limit = F.create_map(*[c for name in names for c in (F.lit(name), F.lit(least[name]))])
+    number = F.create_map(*[c for k, name in enumerate(names) for c in (F.lit(name), F.lit(k))])
+    pdf = counts.where(F.col("n") >= limit[F.col("label")]).select(number[F.col("label")].alias("c"), "gram", "n").toPandas()
+    by = {names[c]: (r["gram"].to_numpy().view(np.uint64), r["n"].to_numpy()) for c, r in pdf.groupby("c")}
+    return Model(names, by, shared)
