@@ -159,6 +159,11 @@ def lor_year_ranges(lor: DataFrame, renewals: DataFrame, keep_unmatched: bool =
     return out.where(kept | F.col("gap").isNotNull()) if keep_unmatched else out.where(kept).drop("gap")
 
 
+def inverted_ranges(ranges: DataFrame) -> DataFrame:
+    """Ranges that end before they start. They are written as they are; the run counts them for someone to look at."""
+    return ranges.where(F.col("last_reduced_year") < F.col("first_reduced_year"))
+
+
 def minimum_fee_table(fee_rows: DataFrame) -> DataFrame:
     """One row per year: the year 3 and year 4 minimum fees in force that year.
 

@@ -151,6 +151,7 @@ def run(spark: SparkSession, src: SourceTables, cfg: RunConfig) -> RunResult:
             obs_status, *manifest.observed(status.columns),
             _count_if(F.col("type") == KIND_RESTORATION).alias("restorations_in_period"),
             _count_if(F.col("type") == KIND_LOR).alias("licences_of_right_in_period"),
+            _count_if(F.col("to_year") < F.col("from_year")).alias("inverted_lor_ranges"),
             _count_if(~F.col("type").isin(KIND_RESTORATION, KIND_LOR) | F.col("type").isNull())
             .alias("lapses_in_period"))
         with _timed(result, "status_report"):

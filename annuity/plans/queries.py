@@ -206,6 +206,7 @@ QUERIES: dict[str, Query] = {
     "lor_pivot": _q(lambda p: rules.lor_pivot(p.lor)),
     "lor_endorsement": _q(lambda p: p.renewals_enriched.select(*ENDORSEMENT_COLUMNS)),
     "lor_year_range": _q(lambda p: p.lor_ranges.select(*RANGE_COLUMNS)),
+    "lor_inverted_ranges": _q(lambda p: rules.inverted_ranges(p.lor_period).select(*RANGE_COLUMNS)),
     "minimum_fee_lookup": _q(_minimum_fee_lookup),
     "fee_splits": _q(lambda p: p.renewals_split.select(*SPLIT_COLUMNS)),
     # reports

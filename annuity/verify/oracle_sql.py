@@ -620,6 +620,9 @@ def oracle_queries(cfg: RunConfig, cfg_monthly: RunConfig) -> dict[str, str]:
         "lor_year_range": """
             select application_num, publication_num, filing_date, date_filed, date_processed, Addition_Deletion,
                    source, first_reduced_year, last_reduced_year from lor_ranges""",
+        "lor_inverted_ranges": """
+            select application_num, publication_num, filing_date, date_filed, date_processed, Addition_Deletion,
+                   source, first_reduced_year, last_reduced_year from lor_period where last_reduced_year < first_reduced_year""",
         "minimum_fee_lookup": """
             select application_num, renewal_year, date_filed, date_processed, renewal_due_date,
                    renewal_fee_year3, renewal_fee_year4 from split_all""",
