@@ -4,19 +4,19 @@ Vectors are whole numbers, floor(64 x) of each component. All vectors are
 rotated to the axes on which a sample varies most (an SVD of at most
 ``SAMPLE`` rows; the rotation changes no inner product), so the first
 components carry most of a product. Candidates are sorted by falling length
-and cut into splits in that order. Every query is first searched in the split of
-the longest vectors, which gives it a k-th best score to start from; it then
-goes only to the splits that can still reach it, as its length times
-the longest vector of the split tells before anything is shuffled. A task searches one block
-of queries in one split, taking longer vectors first:
+and cut into splits in that order, which are searched in rounds: the split of the longest
+vectors first, then as many splits as before in each round. After a round every query has the k best
+so far, and goes only to the splits of the next one that can still reach its k-th best score, as its
+length times the longest vector of the split tells before anything is shuffled. So the number of rounds
+is the logarithm of the splits, and what tasks return grows with the rounds, not with the splits. A task
+searches one block of queries in one split, taking longer vectors first:
 
 * a query stops when its length times the longest vector left is below its k-th best score;
 * otherwise the product of the first ``HEAD`` rotated components plus the
   product of the residual lengths (Cauchy-Schwarz) bounds the score, and only
   candidates that may reach the k-th best are scored, in whole numbers.
 
-Every split returns its k best per query; the best of those are the result.
-Where lengths are alike no split can be left out, and the work grows with queries times rows.
+Every split returns its k best per query that reach the score so far. Where lengths are alike no split can be left out, and the work grows with queries times rows.
 
 Rows: vectors that are null or hold a null or non-finite component take no
 part, nor do null ids. Repeated ids and rows are rows of their own: each is a
@@ -187,19 +187,26 @@ def top_k(vectors: DataFrame, k: int = TOP, every: int = EVERY, vec_id: str = "v
         asked = asked.select(*[F.col(c).alias(c) for c in ("row", "vec_id", "v", "floor", *by)])
         return asked.groupBy(*by).cogroup(candidates.where(part).groupBy(*by)).applyInPandas(_block_search(axes, k), kept)
 
-    none = F.lit(None).cast("double")
-    found = searched(queries.withColumns({"split": F.lit(0), "floor": none}), F.col("split") == 0)
-    if last:
-        found = stage(found, "longest-searched")
+    best = Window.partitionBy("row").orderBy(F.desc("score"), "vec_id")
+
+    def ranked(found: DataFrame) -> DataFrame:
+        return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+
+    found = searched(queries.withColumns({"split": F.lit(0), "floor": F.lit(None).cast("double")}), F.col("split") == 0)
+    begin = 1
+    while begin <= last:
+        # As many splits again as have been searched.
+        end = min(2 * begin, last + 1)
+        found = stage(ranked(found).drop("rank"), "best-so-far")
         floors = (found.groupBy(F.col("row").alias("_row")).agg(F.count(F.lit(1)).alias("_n"), F.min("score").alias("_least"))
                   .select("_row", F.when(F.col("_n") >= k, F.col("_least").cast("double")).alias("floor")))
-        rest = (queries.join(floors, F.col("row") == F.col("_row"), "left")
-                .withColumn("split", F.explode(F.sequence(F.lit(1), F.lit(last)))).join(longest, "split"))
+        asked = (queries.join(floors, F.col("row") == F.col("_row"), "left")
+                 .withColumn("split", F.explode(F.sequence(F.lit(begin), F.lit(end - 1)))).join(longest, "split"))
         reach = F.col("norm") * F.col("longest") * (1 + EPS) + 1
-        found = found.unionByName(searched(rest.where(F.col("floor").isNull() | (reach >= F.col("floor"))), F.col("split") > 0))
-    best = Window.partitionBy("row").orderBy(F.desc("score"), "vec_id")
-    return (found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-            .select("query_id", "rank", "vec_id", "score"))
+        asked = asked.where(F.col("floor").isNull() | (reach >= F.col("floor")))
+        found = found.unionByName(searched(asked, F.col("split").between(begin, end - 1)))
+        begin = end
+    return ranked(found).select("query_id", "rank", "vec_id", "score")
 
 
 def op4(vectors: DataFrame) -> DataFrame:
