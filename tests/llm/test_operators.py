@@ -372,10 +372,10 @@ def test_pipeline_equals_its_plain_version(spark):
 
     mild = stage(steps["toxicity"](spark, good, folder), "test")
     model = toxicity.train(good, labels)
-    a, b = toxicity.calibrate(good, labels, model)
+    *a, b = toxicity.calibrate(good, labels, model)
     rows = good.collect()
-    measure = toxicity.measure(model, [r["text"] for r in rows])
-    assert ids(mild) == sorted(r["doc_id"] for r, m in zip(rows, measure) if 1 / (1 + np.exp(-(a * m + b))) < 0.5)
+    found = toxicity.features(model, [r["text"] for r in rows])
+    assert ids(mild) == sorted(r["doc_id"] for r, x in zip(rows, found) if 1 / (1 + np.exp(-(x @ np.array(a) + b))) < 0.5)
 
     single = stage(steps["simhash near-dedup"](spark, mild, folder), "test")
     rows = mild.collect()
@@ -397,8 +397,16 @@ def test_pipeline_equals_its_plain_version(spark):
     assert ids(single) == sorted(kept)
 
     sample = stage(steps["mixing sources"](spark, single, folder), "test")
-    chosen, names = mixing.mixed(*mixing.measured(single))
-    assert ids(sample) == ids(chosen.where(names["selected"]))
+    # Tokens, topics and draws are the operator's; what is kept follows from plain fitting.
+    rows, names = mixing.measured(single)
+    rows = rows.collect()
+    at = lambda r: (r["source"] or "none", r["lang"] or "none", r[names["topic"]])
+    cells = Counter()
+    for r in rows:
+        cells[at(r)] += r[names["tokens"]]
+    chance = plain_mixture(cells)
+    near = [r["doc_id"] for r in rows if abs(r[names["draw"]] / 16 ** 13 - chance[at(r)]) < 1e-6]
+    assert not near and ids(sample) == sorted(r["doc_id"] for r in rows if r[names["draw"]] / 16 ** 13 < chance[at(r)])
 
     out = steps["best-fit packing"](spark, sample, folder).toPandas()
     tokens = packing.Tokens(packing.tokenizer_path())
