@@ -17,8 +17,6 @@ are ignored. An empty table gives an empty result.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -63,15 +61,8 @@ def predict(model: char_lm.Model, texts) -> pd.DataFrame:
 
 def identified(docs: DataFrame) -> DataFrame:
     """(doc_id, lang, lang_pred, score, entropy, rejected) of every row."""
-    arrays = char_lm.ship(docs, train(docs))
-
-    @F.pandas_udf("lang_pred string, score double, entropy double")
-    def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        own = char_lm.shipped(arrays)
-        for texts in batches:
-            yield predict(own, texts.tolist())
-
-    rows = stage(docs.select("doc_id", "lang", of(F.col("text")).alias("p")).select("doc_id", "lang", "p.*"), "languages")
+    known = char_lm.applied(docs.select("doc_id", "lang", "text"), train(docs), predict, "lang_pred string, score double, entropy double", "p")
+    rows = stage(known.select("doc_id", "lang", "p.*"), "languages")
     right = rows.where(~held_out(F.col("doc_id"), FOLDS, FOLD) & (F.col("lang") == F.col("lang_pred"))
                        & ~F.isnan("entropy"))
     # One row per learned language.

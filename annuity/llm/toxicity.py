@@ -21,8 +21,6 @@ an empty result.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -92,15 +90,7 @@ def features(model: char_lm.Model, texts) -> np.ndarray:
 
 def measured(docs: DataFrame, model: char_lm.Model, name: str) -> DataFrame:
     """``docs`` with the features as an array; every other column stays."""
-    arrays = char_lm.ship(docs, model)
-
-    @F.pandas_udf("array<double>")
-    def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        own = char_lm.shipped(arrays)
-        for texts in batches:
-            yield pd.Series(list(features(own, texts.tolist())))
-
-    return docs.withColumn(name, of(F.col("text")))
+    return char_lm.applied(docs, model, lambda own, texts: pd.Series(list(features(own, texts))), "array<double>", name)
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = RIDGE) -> np.ndarray:

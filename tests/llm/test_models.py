@@ -251,3 +251,35 @@ def test_one_id_with_many_rows_does_not_rule(spark):
     assert 0 < np.count_nonzero(quality_classifier.train(texts, labels, max_train=40)) <= 40 * 7 + 1
     one = labels.where("doc_id = 1")
     assert 0 < np.count_nonzero(quality_classifier.train(texts, one, max_train=3)) <= 3 * 7 + 1
+
+
+@pytest.mark.parametrize("room", [0, 400])
+def test_ngrams_beyond_the_arrays_are_looked_up(spark, monkeypatch, room):
+    """The same probabilities, scores and languages, whether all n-grams fit the broadcast arrays, some or none."""
+    rng = np.random.default_rng(6)
+    words = made_up(rng, np.array([chr(0x430 + i) for i in range(20)]), 60, 7) + made_up(rng, np.array(list("\uac00\uac01\uac02z")), 60, 7)
+    rows = [(k, " ".join(rng.choice(words[k % 3 * 30:k % 3 * 30 + 60], 15)), "abc"[k % 3]) for k in range(90)]
+    rows += [(90, None, "a"), (91, "12 !", "a"), (92, "", None), (5, rows[5][1], "b"), (None, rows[6][1], None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    labels = spark.createDataFrame([(k, int(k % 4 == 0)) for k in range(90)], "doc_id long, toxic int")
+    monkeypatch.setattr(toxicity, "_calibrates", lambda i: F.coalesce(i % 3 == 1, F.lit(False)))
+
+    def results():
+        scores = toxicity.scored(docs, labels).orderBy("doc_id", "text").collect()
+        langs = language_id.identified(docs).orderBy("doc_id", "entropy").collect()
+        return scores, langs
+
+    scores, langs = results()
+    assert toxicity.train(docs, labels).tables is None
+    monkeypatch.setattr(char_lm, "MAX_GRAMS", room)
+    monkeypatch.setattr(char_lm, "CHARS_A_BATCH", 2000)
+    cut = toxicity.train(docs, labels)
+    assert cut.tables is not None and len(cut.keys[char_lm.ORDER]) <= room and bool(len(cut.keys[char_lm.ORDER])) == bool(room)
+    scores_again, langs_again = results()
+    assert len(scores) == len(scores_again) == len(langs_again) == len(rows)
+    for a, b in zip(scores, scores_again):
+        assert (a["doc_id"], a["text"], a["lang"]) == (b["doc_id"], b["text"], b["lang"])
+        assert a["score"] == pytest.approx(b["score"], abs=1e-4) and a["measure"] == pytest.approx(b["measure"], abs=1e-3)
+    for a, b in zip(langs, langs_again):
+        assert (a["doc_id"], a["lang"], a["lang_pred"], a["rejected"]) == (b["doc_id"], b["lang"], b["lang_pred"], b["rejected"])
+        assert a["score"] == pytest.approx(b["score"], abs=1e-4) and a["entropy"] == pytest.approx(b["entropy"], abs=1e-4, nan_ok=True)
