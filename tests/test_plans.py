@@ -156,3 +156,25 @@ def test_a_hot_application_is_not_bucketed(spark, monkeypatch):
 def test_audit_counts_scan_less(spark, sf_small, shuffled_joins):
     text = plan(QUERIES["audit_counts"](spark, sf_small))
     assert text.count("FileScan") <= 25
+
+
+def test_period_outputs_leave_out_applications_without_an_event_in_it(spark, sf_small):
+    """The same rows of the period from fewer applications; a payment without an application leaves nothing out."""
+    from annuity.plans.pipeline import PERIOD_EXTRACTS, Pipeline
+    from annuity.plans.queries import pipeline
+
+    whole = pipeline(spark, sf_small)
+    own = whole.for_period(*PERIOD_EXTRACTS)
+    for stage in ("renewals_period", "lor_period", "lor_unmatched_period", "lapses", "restorations_period"):
+        got, want = getattr(own, stage), getattr(whole, stage)
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0, stage
+    for stage in ("renewals", "lor"):
+        assert getattr(own, stage).count() < 0.5 * getattr(whole, stage).count(), stage
+    nameless = whole.src.replaced(right=lambda: whole.src.right.withColumn("application_num", F.lit(None).cast("string")))
+    p = Pipeline(nameless, whole.cfg)
+    assert p.for_period(*PERIOD_EXTRACTS) is p
+
+
+def test_whole_outputs_derive_each_extract_once(spark, sf_small, shuffled_joins):
+    for name in ("lor_endorsement", "lor_year_range"):
+        assert plan(QUERIES[name](spark, sf_small)).count("FileScan") <= 12, name
