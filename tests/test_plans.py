@@ -178,3 +178,39 @@ def test_period_outputs_leave_out_applications_without_an_event_in_it(spark, sf_
 def test_whole_outputs_derive_each_extract_once(spark, sf_small, shuffled_joins):
     for name in ("lor_endorsement", "lor_year_range"):
         assert plan(QUERIES[name](spark, sf_small)).count("FileScan") <= 12, name
+
+
+def test_status_report_goes_through_the_line_items_for_lapses_alone(spark, sf_small, shuffled_joins):
+    """Renewals, restorations and licences start from the stored sources of the period's applications."""
+    assert plan(QUERIES["status_report"](spark, sf_small)).count("lineitem.parquet") <= 2
+
+
+def test_licence_forms_are_not_joined_with_what_they_do_not_use(spark, sf_small, shuffled_joins):
+    text = plan(extracts.lor_legacy(fixture_tables(spark, sf_small)))
+    assert text.count("FileScan") == 2 and text.count("Join ") == 1
+
+
+def test_dated_applications_hold_every_application_with_a_row_in_the_period(spark, sf_small, shuffled_joins):
+    from annuity.operators import reports
+    from annuity.plans.pipeline import PERIOD_EXTRACTS
+
+    src = fixture_tables(spark, sf_small)
+    for name in PERIOD_EXTRACTS:
+        dated = extracts.applications_dated(src, name, *TEST_CONFIG.period)
+        needed = reports.in_period(getattr(extracts, name)(src), *TEST_CONFIG.period).select("application_num")
+        assert needed.count() > 0 and needed.exceptAll(needed.join(dated, "application_num", "left_semi")).count() == 0, name
+        if name.endswith("_legacy"):
+            assert "Join" not in plan(dated), name
+
+
+def test_many_applications_give_the_same_rows(spark, sf_small, monkeypatch):
+    """Beyond ``FEW_APPLICATIONS`` the applications are hashed; the rows of the period stay the same."""
+    from annuity.plans.pipeline import PERIOD_EXTRACTS
+    from annuity.plans.queries import pipeline
+
+    monkeypatch.setattr(extracts, "FEW_APPLICATIONS", 0)
+    whole = pipeline(spark, sf_small)
+    own = whole.for_period(*PERIOD_EXTRACTS)
+    for stage in ("renewals_period", "lor_period", "restorations_period"):
+        got, want = getattr(own, stage), getattr(whole, stage)
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0, stage
