@@ -1,5 +1,7 @@
 """Physical-plan properties: no Python workers, filters and projections reach the scans."""
 
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -214,3 +216,62 @@ def test_many_applications_give_the_same_rows(spark, sf_small, monkeypatch):
     for stage in ("renewals_period", "lor_period", "restorations_period"):
         got, want = getattr(own, stage), getattr(whole, stage)
         assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0, stage
+
+
+@pytest.fixture()
+def repeated_register(spark, sf_small):
+    """The fixture with each application five times in the legacy register, with other dates, and one of them under another publication number."""
+    src = fixture_tables(spark, sf_small)
+    copy = F.explode(F.sequence(F.lit(0), F.lit(4)))
+    standing = src.standing.withColumn("_copy", copy).select(*[
+        (F.date_add(c, F.col("_copy") * 37) if c in ("filing_date", "grant_date", "date_of_lor", "date_lor_cancel")
+         else F.when(F.col("_copy") == 4, F.concat(F.trim(c), F.lit("X"))).otherwise(F.col(c)) if c == "publication_num"
+         else F.col(c)).alias(c) for c in CANONICAL["standing"]]).persist()
+    yield src.replaced(standing=standing)
+    standing.unpersist()
+
+
+@pytest.fixture()
+def stages(monkeypatch):
+    """Names and rows of the stages that a pipeline writes."""
+    from annuity.plans import pipeline
+    written = {}
+
+    def noted(df, name):
+        written[name] = stage(df, name)
+        return written[name]
+
+    stage = pipeline.stage
+    monkeypatch.setattr(pipeline, "stage", noted)
+    return written
+
+
+def test_period_file_writes_no_rows_beyond_the_period_but_payments_and_licences(spark, repeated_register, stages):
+    """An application that the register holds several times multiplies payments and ranges in the period alone."""
+    from annuity.operators import reports
+    from annuity.plans.pipeline import Pipeline
+    from annuity.plans.queries import _period_file
+
+    whole, own = Pipeline(repeated_register, TEST_CONFIG), _period_file(Pipeline(repeated_register, TEST_CONFIG))
+    for output in ("exchange_lines", "rejects"):
+        assert Counter(getattr(own, output).collect()) == Counter(getattr(whole, output).collect()), output
+    joined = {name: df for name, df in stages.items() if "date_processed" in df.columns and name not in ("payments", "lor", "renewals_new")}
+    assert {"renewals_in_period", "renewals_split", "lor_ranges_period"} <= set(joined)
+    for name, df in joined.items():
+        assert df.count() == reports.in_period(df, *TEST_CONFIG.period).count(), name
+    forms = repeated_register.formslog.where(F.col("form_type_num") == extracts.FORM_RENEWAL).count()
+    assert 0 < stages["payments"].where("source = 'Legacy'").count() <= 2 * forms
+
+
+def test_counted_payments_stand_for_the_renewals(spark, repeated_register):
+    """Rows counted before the join are those of the join, by day and by year, with forms of unknown applications too."""
+    from annuity.operators import rules
+    from annuity.plans.pipeline import Pipeline
+
+    src = repeated_register.replaced(standing=lambda: repeated_register.standing.where("length(trim(publication_num)) % 3 > 0 or substring(application_num, 9, 1) > '2'"))
+    p = Pipeline(src, TEST_CONFIG)
+    keys = [*extracts.PAYMENT_COLUMNS, "source"]
+    want = p.renewals.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    assert Counter(p.counted_payments.groupBy(*keys).agg(F.sum("_rows").alias("n")).collect()) == Counter(want.collect())
+    days, counted = ({tuple(r) for r in rules.multiple_payment_groups(x).collect()} for x in (p.renewals, p.counted_payments))
+    assert days and days == counted
