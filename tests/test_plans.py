@@ -275,3 +275,25 @@ def test_counted_payments_stand_for_the_renewals(spark, repeated_register):
     assert Counter(p.counted_payments.groupBy(*keys).agg(F.sum("_rows").alias("n")).collect()) == Counter(want.collect())
     days, counted = ({tuple(r) for r in rules.multiple_payment_groups(x).collect()} for x in (p.renewals, p.counted_payments))
     assert days and days == counted
+
+
+def test_stored_cases_and_incidents_have_no_ids_of_their_own(spark, sf_small, stages):
+    from annuity.plans.pipeline import PERIOD_EXTRACTS
+    from annuity.plans.queries import pipeline
+
+    pipeline(spark, sf_small).for_period(*PERIOD_EXTRACTS)
+    assert "incident_id" not in stages["incident"].columns and "case_id" not in stages["case"].columns
+    kinds = {r[0] for r in stages["case"].select("case_category_id").distinct().collect()}
+    assert kinds == {extracts.CATEGORY_RESTORATION, extracts.CATEGORY_LOR}
+
+
+def test_licences_of_both_systems_collapse_once(spark, sf_small, shuffled_joins):
+    """The forms before their join and the union after it: no aggregate of each system's rows between them."""
+    from annuity.operators import merge
+    from annuity.plans.queries import pipeline
+    from annuity.schemas import KIND_LOR
+
+    p = pipeline(spark, sf_small)
+    twice = merge.dedupe_union(p.lor_legacy, p.lor_new, KIND_LOR)
+    assert plan(p.lor).count("HashAggregate(keys") == 4 < plan(twice).count("HashAggregate(keys")
+    assert Counter(p.lor.collect()) == Counter(twice.collect())
