@@ -297,3 +297,14 @@ def test_licences_of_both_systems_collapse_once(spark, sf_small, shuffled_joins)
     twice = merge.dedupe_union(p.lor_legacy, p.lor_new, KIND_LOR)
     assert plan(p.lor).count("HashAggregate(keys") == 4 < plan(twice).count("HashAggregate(keys")
     assert Counter(p.lor.collect()) == Counter(twice.collect())
+
+
+@pytest.mark.parametrize("name", ["exchange_file_written", "exchange_reconciliation"])
+def test_written_file_stores_joined_rows_of_the_period_alone(spark, sf_small, stages, name):
+    from annuity.operators import reports
+
+    assert QUERIES[name](spark, sf_small).count() > 0
+    assert not {"renewals", "lor_ranges_all"} & set(stages)
+    for stage in ("renewals_in_period", "lor_ranges_period"):
+        df = stages[stage]
+        assert 0 < df.count() == reports.in_period(df, *TEST_CONFIG.period).count(), stage
